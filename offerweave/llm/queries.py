@@ -2,20 +2,68 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from offerweave.llm import bpe, graph_ann, html_text, line_quality, quality_model, substring_dedup, token_counts, token_records
 from offerweave.llm.near_dup import near_duplicates
 
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+END_ID = 2
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return token_records.read_report(spark, token_records.write_records(docs, public_tokenizers.path(WORD_BPE), END_ID))
+
+
+def op2_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return graph_ann.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality_report(_table(spark, sf_dir, "documents"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_report(_table(spark, sf_dir, "documents"))
+
+
+def op8_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trips(_table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_documents(spark, sf_dir))
+    return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_token_records": op1_token_records,
+    "op2_graph_ann": op2_graph_ann,
+    "op3_line_quality": op3_line_quality,
+    "op4_html_text": op4_html_text,
+    "op6_token_counts": op6_token_counts,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_quality_model": op8_quality_model,
+    "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
