@@ -5,12 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerweave.llm import bpe, graph_ann, html_text, line_quality, quality_model, substring_dedup, token_counts, token_records
+from offerweave.llm import bpe, graph_ann, html_text, line_quality, mixing, quality_model, substring_dedup, token_counts, token_records
 from offerweave.llm.near_dup import near_duplicates
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
 END_ID = 2
+MIXTURE = mixing.Mixture(
+    domains={"src0": "web", **{f"src{k}": "books" for k in range(1, 6)}, **{f"src{k}": "news" for k in range(6, 13)}},
+    domain_weights={"web": 2, "books": 4, "news": 3, "other": 1},
+    lang_weights={"en": 5, "de": 3, "fr": 2, "es": 2},
+    source_weights={"src1": 3, "src7": 2},
+    share=(9, 10),
+    max_epochs=2,
+    seed=17,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +44,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_rows(_table(spark, sf_dir, "documents"), MIXTURE)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -60,6 +73,7 @@ QUERIES = {
     "op2_graph_ann": op2_graph_ann,
     "op3_line_quality": op3_line_quality,
     "op4_html_text": op4_html_text,
+    "op5_mixing": op5_mixing,
     "op6_token_counts": op6_token_counts,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_model": op8_quality_model,
@@ -67,4 +81,4 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIXTURE)}
