@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.llm.components import components
@@ -152,15 +152,9 @@ def _compare_blocks(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a_out, pa.binary()), "b": pa.array(b_out, pa.binary())})
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text; other columns are ignored).
-
-    Null and blank texts have empty sets and are linked with nothing: their component is their own doc_id. Rows
-    of equal texts are linked (equal sets). A null doc_id counts only where a component has no other id; then
-    the component is null, and ``kept`` is true for such rows. Repeated doc_ids are rows of their own.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node (class; null: empty set), root (component) and its least_id, per row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     made = stored(rows.mapInArrow(_sketches, _SKETCH_SCHEMA), "sketches")
     classes = stored(
         made.where("node is not null")
@@ -174,64 +168,83 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         ),
         "classes",
     )
-    lists = stored(classes.select("node", F.explode("keys").alias("value")), "lists")
+    lists = classes.select("node", F.explode("keys").alias("value"))
     tops = lists.groupBy("value").agg(F.min("node").alias("top"), F.count("*").alias("members")).where("members > 1")
-    tops = stored(tops, "tops")
-    pairs = lists.join(tops.select("value", "top"), "value").where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b")).distinct()
-    texts = _texts_of(rows, classes, tops, lists)
-    first = _links(pairs, classes, texts)
-    first = stored(first, "links1")
-    found = _second_pass(spark, first, lists, tops, classes, texts)
+    lists = stored(lists.join(tops, "value"), "lists")  # values that several classes retain
+    met = stored(classes.join(lists.select("node").distinct(), "node").select("node", "sketch", "n", "of"), "met")
+    texts = _texts_of(rows, met)
+    pairs = lists.where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b")).distinct()
+    first = stored(_links(pairs, met, texts), "links1")
+    found = _second_pass(first, lists, met, texts)
     roots = components(found)
     named = classes.select("node", "least_id").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least_id")
-    ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    label = named.join(ids, "root").select("node", "component_id")
-    return (
-        made.select("doc_id", "n_shingles", "node")
-        .join(label, "node", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        )
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
-    )
+    ids = named.groupBy("root").agg(F.min("least_id").alias("least_id"))
+    label = named.select("node", "root").join(ids, "root")
+    return made.select("doc_id", "text_hash", "n_shingles", "node").join(label, "node", "left")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for each row of ``docs`` (doc_id, text; other columns are ignored).
+
+    Null and blank texts have empty sets and are linked with nothing: their component is their own doc_id. Rows
+    of equal texts are linked (equal sets). A null doc_id counts only where a component has no other id; then
+    the component is null, and ``kept`` is true for such rows. Repeated doc_ids are rows of their own.
+    """
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("least_id"))
+    return _grouped(docs).select("doc_id", "n_shingles", own.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _texts_of(rows: DataFrame, classes: DataFrame, tops: DataFrame, lists: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, one of each component: that of the smallest doc_id (null last), then of a text hash.
+
+    Rows without words stay, all of them. Of rows that repeat both id and text one stays.
+    """
+    group = stored(_grouped(docs).select("doc_id", "text_hash", "node", "root"), "groups")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    chosen = group.where("node is not null").groupBy("root").agg(F.min(order).alias("c")).select("c.doc_id", "c.text_hash")
+    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.lit(True).alias("__one"))
+    empty = group.where("node is null").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.lit(False).alias("__one")).distinct()
+    keyed = docs.withColumn("__hash", F.xxhash64(F.col("text").cast("string")))
+    kept = chosen.unionByName(empty)
+    met = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__hash"] == kept["__hash"])).drop(kept["__hash"])
+    repeat = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(F.lit(0)))
+    return met.withColumn("__k", repeat).where("not __one or __k = 1").select(*docs.columns)
+
+
+def _texts_of(rows: DataFrame, met: DataFrame) -> DataFrame:
     """(node, text) of the classes that share a list with another: one text stands for its class."""
-    shared = lists.join(tops.select("value"), "value").select("node").distinct()
-    of = classes.join(shared, "node").select("node", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
-    met = rows.join(of, (rows["text_hash"] == of["of_hash"]) & rows["doc_id"].eqNullSafe(of["of_id"])).select("node", "text")
-    return stored(met.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    of = met.select("node", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
+    found = rows.join(of, (rows["text_hash"] == of["of_hash"]) & rows["doc_id"].eqNullSafe(of["of_id"])).select("node", "text")
+    # rows that repeat id and text give the same text again; any one does
+    return stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
-def _links(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, met: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) that pass the estimate and whose full sets are similar."""
-    side = classes.select("node", "sketch", "n")
+    side = met.select("node", "sketch", "n")
     a = side.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"), F.col("n").alias("n_a"))
     b = side.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"), F.col("n").alias("n_b"))
     near_size = SIMILAR[1] * F.least("n_a", "n_b") >= SIMILAR[0] * F.greatest("n_a", "n_b")
-    met = pairs.join(a, "a").join(b, "b").where(near_size).select("a", "b", "sketch_a", "sketch_b")
-    met = met.mapInArrow(_estimate, "a binary, b binary")
+    near = pairs.join(a, "a").join(b, "b").where(near_size).select("a", "b", "sketch_a", "sketch_b")
+    near = near.mapInArrow(_estimate, "a binary, b binary")
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return met.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
+    return near.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
 
 
-def _second_pass(spark: SparkSession, first: DataFrame, lists: DataFrame, tops: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _second_pass(first: DataFrame, lists: DataFrame, met: DataFrame, texts: DataFrame) -> DataFrame:
     """All links: those of the first pass, and those between its components within any one list."""
     roots = components(first)
-    labelled = lists.join(roots, "node", "left").select("value", "node", F.coalesce("root", "node").alias("root"))
-    mixed = labelled.groupBy("value").agg(F.count("*").alias("members"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("value", "members")
+    labelled = stored(lists.join(roots, "node", "left").select("value", "node", "members", F.coalesce("root", "node").alias("root")), "labelled")
+    mixed = labelled.groupBy("value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("value")
     members = stored(labelled.join(mixed, "value"), "members")
     short = members.where(F.col("members") <= SHORT_LIST)
     other = short.select("value", F.col("node").alias("b"), F.col("root").alias("root_b"))
     across = short.join(other, "value").where("node < b and root <> root_b").select(F.col("node").alias("a"), "b").distinct()
-    more = _links(across, classes, texts)
+    more = _links(across, met, texts)
     long = members.where(F.col("members") > SHORT_LIST).withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     long = long.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = long.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
-    blocks = met.join(texts, "node").groupBy("value", "i", "j").applyInArrow(_compare_blocks, "a binary, b binary")
+    dealt = long.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
+    blocks = dealt.join(texts, "node").groupBy("value", "i", "j").applyInArrow(_compare_blocks, "a binary, b binary")
     return first.unionByName(stored(more, "links2")).unionByName(stored(blocks, "links3"))

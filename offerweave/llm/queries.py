@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,6 +80,7 @@ QUERIES = {
     "op8_quality_model": op8_quality_model,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIXTURE)}

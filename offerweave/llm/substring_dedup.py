@@ -234,35 +234,43 @@ def substring_report(docs: DataFrame) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column is ``__ranges``: the same without it, ``text`` (and n_chars) made anew where it is set."""
     for batch in slices(batches, "text"):
-        data, at = buffers(batch.column(2))
-        start, _, _, first = word_table(data, at)
-        texts = []
-        for k, ranges in enumerate(batch.column(3).to_pylist()):
-            a, b = int(first[k]), int(first[k + 1])
-            keep = _keep_mask(b - a, ranges)
-            # a kept word goes with the white space after it
-            bounds = np.concatenate([start[a:b], [at[k + 1]]])
-            whole = data[at[k] : at[k + 1]]
-            drop = np.repeat(~keep, np.diff(bounds))
-            lead = int(bounds[0] - at[k]) if b > a else len(whole)
-            texts.append(whole[np.concatenate([np.zeros(lead, bool), drop]) == 0].tobytes().decode())
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["id", "hash", "cut"])
+        names = batch.schema.names[:-1]
+        columns = dict(zip(names, batch.columns, strict=False))
+        ranges = batch.column(len(names)).to_pylist()
+        if any(ranges):
+            data, at = buffers(columns["text"])
+            start, _, _, first = word_table(data, at)
+            texts = columns["text"].to_pylist()
+            sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else None
+            for k, own in enumerate(ranges):
+                if not own:
+                    continue
+                a, b = int(first[k]), int(first[k + 1])
+                # a kept word goes with the white space after it
+                bounds = np.concatenate([start[a:b], [at[k + 1]]])
+                keep = np.ones(int(at[k + 1] - at[k]), bool)
+                keep[int(bounds[0] - at[k]) :] = np.repeat(_keep_mask(b - a, own), np.diff(bounds))
+                texts[k] = data[at[k] : at[k + 1]][keep].tobytes().decode()
+                if sizes is not None:
+                    sizes[k] = len(texts[k])
+            columns["text"] = pa.array(texts, columns["text"].type)
+            if sizes is not None:
+                columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+        yield pa.record_batch([columns[n] for n in names], names)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with all words cut from ``text`` that repeated windows cover; rows and columns stay as they are.
 
-    A removed word goes with the white space after it. Where ``docs`` has n_chars it is set anew for cut texts.
+    A removed word goes with the white space after it. Where ``docs`` has a whole-number n_chars it is set anew for
+    cut texts.
     """
-    ranges = repeated_ranges(docs)
+    ranges = repeated_ranges(docs).select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.col("ranges").alias("__ranges"))
     keyed = docs.withColumns({
         "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
         "__hash": F.xxhash64(F.col("text").cast("string")),
     })
-    met = _rows(docs).join(ranges, ["id", "hash"]).mapInArrow(_cut, "id long, hash long, cut string").dropDuplicates(["id", "hash"])
-    met = met.select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.col("cut").alias("__cut"))
-    new = {"text": F.coalesce("__cut", "text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("__cut").isNull(), F.col("n_chars")).otherwise(F.length("__cut")).cast(docs.schema["n_chars"].dataType)
-    return keyed.join(met, ["__id", "__hash"], "left").withColumns(new).select(*docs.columns)
+    met = keyed.join(ranges, ["__id", "__hash"], "left").select(*docs.columns, "__ranges")
+    return met.mapInArrow(_cut, docs.schema)
