@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import Column
@@ -36,56 +37,82 @@ def telework(folded: Column, cleaned: Column) -> Column:
     )
 
 
-_TIME = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?: ?(?:Z|[+-]\d{2}:?\d{2}))?)?"
+_CLOCK = r"\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?"
+_ZONE = r"(?: ?(?:Z|UTC|GMT|[+-]\d{2}(?::?\d{2})?))?"
+_TIME = rf"(?:[T ]{_CLOCK}{_ZONE})?"
 _MONTH = (
     "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
     "|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
 )
+_DAY_NAME = r"(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? +)?"
 
 
 def _to_ts(iso: Column) -> Column:
-    """ISO-like text to timestamp; offsets without colon and blanks before them accepted."""
-    tidy = F.regexp_replace(iso, r" ?([+-]\d{2}):?(\d{2})\z", "$1:$2")
-    tidy = F.when(iso.rlike(r"\d:\d{2}.* ?[+-]\d{2}:?\d{2}\z"), tidy).otherwise(
-        F.regexp_replace(iso, r" Z\z", "Z")
-    )
+    """ISO-like text to timestamp; zones as Z, UTC, GMT, +02, +0200 or +02:00, blanks before them accepted."""
+    tidy = F.regexp_replace(iso, r"(?<=:\d{2}(?:\.\d{1,9})?) ?(?:Z|UTC|GMT)\z", "Z")
+    tidy = F.regexp_replace(tidy, r"(:\d{2}(?:\.\d{1,9})?) ?([+-]\d{2})\z", "$1$2:00")
+    tidy = F.regexp_replace(tidy, r"(:\d{2}(?:\.\d{1,9})?) ?([+-]\d{2}):?(\d{2})\z", "$1$2:$3")
     return tidy.try_cast("timestamp")
 
 
 def parse_timestamp(cleaned: Column, day_first: bool) -> Column:
-    """Closed list of date layouts, read as UTC; null for anything else.
+    """Date layouts of offers, read as UTC; null for anything else (``unparsed`` counts those).
 
     Numeric dates prefer day or month first as told and swap when that is no valid date.
     """
+    year_first = rf"\A(\d{{4}})([-/.])(\d{{1,2}})\2(\d{{1,2}})({_TIME})\z"
     numeric = rf"\A(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{4}})({_TIME})\z"
-    dmy = _to_ts(F.regexp_replace(cleaned, numeric, "$3-$2-$1$4"))
-    mdy = _to_ts(F.regexp_replace(cleaned, numeric, "$3-$1-$2$4"))
-    english_dm = rf"(?i)\A(\d{{1,2}})[ -]({_MONTH})[ -,]+(\d{{4}})\z"
-    english_md = rf"(?i)\A({_MONTH})[ -](\d{{1,2}})[ ,]+(\d{{4}})\z"
+    short = rf"\A(\d{{1,2}})[/.-](\d{{1,2}})[/.-](\d{{2}})({_TIME})\z"
+    compact = r"\A(\d{4})(\d{2})(\d{2})(?:T(\d{2})(\d{2})(\d{2})?(Z|[+-]\d{2}:?\d{2})?)?\z"
+    century = F.when(F.regexp_extract(cleaned, short, 3).try_cast("int") < 69, "20").otherwise("19")
+
+    def both(pattern: str, year: Column) -> Column:
+        part = lambda n: F.lpad(F.regexp_extract(cleaned, pattern, n), 2, "0")
+        time = F.regexp_extract(cleaned, pattern, 4)
+        dmy = _to_ts(F.concat(year, F.lit("-"), part(2), F.lit("-"), part(1), time))
+        mdy = _to_ts(F.concat(year, F.lit("-"), part(1), F.lit("-"), part(2), time))
+        return F.coalesce(dmy, mdy) if day_first else F.coalesce(mdy, dmy)
 
     def english(pattern: str, day: int, month: int) -> Column:
-        short = F.initcap(F.substring(F.regexp_extract(cleaned, pattern, month), 1, 3))
-        joined = F.concat_ws(
-            " ",
-            F.lpad(F.regexp_extract(cleaned, pattern, day), 2, "0"),
-            short,
-            F.regexp_extract(cleaned, pattern, 3),
+        name = F.initcap(F.substring(F.regexp_extract(cleaned, pattern, month), 1, 3))
+        date = F.try_to_timestamp(
+            F.concat_ws(" ", F.lpad(F.regexp_extract(cleaned, pattern, day), 2, "0"), name, F.regexp_extract(cleaned, pattern, 3)),
+            F.lit("dd MMM yyyy"),
         )
-        return F.try_to_timestamp(joined, F.lit("dd MMM yyyy"))
-
+        time = F.trim(F.regexp_extract(cleaned, pattern, 4))
+        return F.when(time == "", date).otherwise(_to_ts(F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" "), time)))
+
+    end = rf"(?:,?[T ]+({_CLOCK}{_ZONE}))?\z"
+    english_dm = rf"(?i)\A{_DAY_NAME}(\d{{1,2}})[ -]({_MONTH})[ -,]+(\d{{4}}){end}"
+    english_md = rf"(?i)\A{_DAY_NAME}({_MONTH})[ -](\d{{1,2}})[ ,]+(\d{{4}}){end}"
+    ymd = F.concat(
+        F.regexp_extract(cleaned, year_first, 1), F.lit("-"), F.lpad(F.regexp_extract(cleaned, year_first, 3), 2, "0"), F.lit("-"),
+        F.lpad(F.regexp_extract(cleaned, year_first, 4), 2, "0"), F.regexp_extract(cleaned, year_first, 5),
+    )
+    clock = F.when(
+        F.regexp_extract(cleaned, compact, 4) != "",
+        F.concat(
+            F.lit("T"), F.regexp_extract(cleaned, compact, 4), F.lit(":"), F.regexp_extract(cleaned, compact, 5), F.lit(":"),
+            F.coalesce(F.nullif(F.regexp_extract(cleaned, compact, 6), F.lit("")), F.lit("00")), F.regexp_extract(cleaned, compact, 7),
+        ),
+    ).otherwise("")
+    packed = F.concat(F.concat_ws("-", *[F.regexp_extract(cleaned, compact, n) for n in (1, 2, 3)]), clock)
     return (
-        F.when(cleaned.rlike(rf"\A\d{{4}}-\d{{2}}-\d{{2}}{_TIME}\z"), _to_ts(cleaned))
-        .when(cleaned.rlike(numeric), F.coalesce(dmy, mdy) if day_first else F.coalesce(mdy, dmy))
-        .when(
-            cleaned.rlike(r"\A\d{8}\z"),
-            _to_ts(F.regexp_replace(cleaned, r"\A(\d{4})(\d{2})(\d{2})\z", "$1-$2-$3")),
-        )
+        F.when(cleaned.rlike(year_first), _to_ts(ymd))
+        .when(cleaned.rlike(numeric), both(numeric, F.regexp_extract(cleaned, numeric, 3)))
+        .when(cleaned.rlike(short), both(short, F.concat(century, F.regexp_extract(cleaned, short, 3))))
+        .when(cleaned.rlike(compact), _to_ts(packed))
         .when(cleaned.rlike(r"\A\d{4}(?:-\d{2})?\z"), _to_ts(cleaned))
         .when(cleaned.rlike(english_dm), english(english_dm, 1, 2))
         .when(cleaned.rlike(english_md), english(english_md, 2, 1))
     )
 
 
+def unparsed(cleaned: Column, parsed: Column) -> Column:
+    """True for a date text that is there and wasn't read."""
+    return (cleaned != "") & parsed.isNull()
+
+
 def iso_text(ts: Column) -> Column:
     """Timestamp as ISO text with UTC offset, microseconds only when present; null as ''."""
     whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
@@ -164,11 +191,11 @@ def salary_struct(
     )
 
 
-def completeness(skill_count: Column, has_bound: Column, predicted: Column) -> Column:
-    """Weighted count of filled fields; needs the cleaned columns of the offer by name."""
+def completeness(fields: Mapping[str, Column], skill_count: Column, has_bound: Column, predicted: Column) -> Column:
+    """Weighted count of filled fields; ``fields`` gives the cleaned column of each weighted name."""
     score = F.least(F.lit(3), skill_count)
     for name, weight in vocab.COMPLETENESS_WEIGHTS:
-        score = score + F.when(F.col(name) != "", weight).otherwise(0)
+        score = score + F.when(fields[name] != "", weight).otherwise(0)
     return score + F.when(has_bound, 2).otherwise(0) - F.when(predicted, 1).otherwise(0)
 
 
@@ -179,8 +206,16 @@ def source_priority(source: Column) -> Column:
     return chain.otherwise(0)
 
 
-def bounds_label(low: Column, high: Column) -> Column:
-    """'min - max', the one present, or ''."""
+def plain_number(c: Column) -> Column:
+    """A double as text with decimals and no exponent: 12000000.0."""
+    whole = F.format_string("%d.0", c.cast("long"))
+    return F.when(c == F.floor(c), whole).otherwise(F.regexp_replace(c.cast("decimal(28,6)").cast("string"), "0+$", ""))
+
+
+def bounds_label(low: Column, high: Column, numeric: bool = False) -> Column:
+    """'min - max', the one present, or ''; as numbers, 0 counts as missing."""
+    if numeric:
+        low, high = (F.when(c != 0, plain_number(c)) for c in (low, high))
     low, high = text(low), text(high)
     return (
         F.when((low != "") & (high != ""), F.concat(low, F.lit(" - "), high))
@@ -191,4 +226,17 @@ def bounds_label(low: Column, high: Column) -> Column:
 
 def storage_skills(skills: Column) -> Column:
     """Stripped exact-distinct non-blank list."""
-    return F.array_distinct(F.filter(F.transform(F.coalesce(skills, F.array()), lambda s: strip(text(s))), lambda s: s != ""))
+    cleaned = F.transform(F.coalesce(skills, F.array().cast("array<string>")), lambda s: strip(text(s)))
+    return F.array_distinct(F.filter(cleaned, lambda s: s != ""))
+
+
+def storage_skills_of_text(skills: Column) -> Column:
+    """A text is one skill, not a list of them."""
+    return storage_skills(F.array(skills))
+
+
+def amount_of_number(c: Column, kind: str) -> Column:
+    """Typed amounts: booleans are none, NaN is missing."""
+    if kind == "boolean":
+        return F.lit(None).cast("double")
+    return F.when(~F.isnan(c.cast("double")), c.cast("double"))

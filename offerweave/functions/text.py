@@ -58,15 +58,29 @@ def first_non_blank(*cols: Column) -> Column:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def _unescape(rows: pd.Series) -> pd.Series:
+    known: dict[str, str] = {}
+
+    def once(v: str | None) -> str | None:
+        if v is None:
+            return None
+        if (out := known.get(v)) is None:
+            out = known[v] = html.unescape(v)
+        return out
+
     def decode(values):
         if values is None:
             return None
-        once = [None if v is None else html.unescape(v) for v in values]
-        return once + [None if v is None else html.unescape(v) for v in once]
+        first = [once(v) for v in values]
+        return first + [once(v) for v in first]
 
     return rows.map(decode)
 
 
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is referred to."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def clean_stage(
     df: DataFrame, cols: Mapping[str, Column], again: Sequence[str] = ()
 ) -> DataFrame:
@@ -114,25 +128,34 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(single) + "".join(deleted), "".join(single.values()), expand
 
 
-def _expand_multi(c: Column) -> Column:
-    _, _, expand = _fold_tables()
-    pairs = [F.lit(v) for kv in expand.items() for v in kv]
-    table = F.create_map(*pairs)
-    chars = F.regexp_extract_all(c, F.lit("(?s)(.)"), F.lit(1))
-    swapped = F.array_join(
-        F.transform(chars, lambda x: F.coalesce(F.element_at(table, x), x)), ""
-    )
-    return F.when(c.rlike("[" + "".join(expand) + "]"), swapped).otherwise(c)
+def _swap(c: Column, table: Mapping[str, str]) -> Column:
+    """Replace characters outside ASCII by table; the work follows the distinct ones that a text holds."""
+    pairs = F.create_map(*[F.lit(v) for kv in table.items() for v in kv])
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"([^\x00-\x7f])"), F.lit(1)))
+    return F.aggregate(found, c, lambda acc, ch: F.replace(acc, ch, F.coalesce(F.element_at(pairs, ch), ch)))
+
+
+def _if_not_ascii(c: Column, otherwise: Column) -> Column:
+    return F.when(c.rlike(r"[^\x00-\x7f]"), otherwise).otherwise(c)
 
 
 def fold(c: Column) -> Column:
     """Cleaned text -> lower-case unaccented text made of [a-z0-9+/&-] and single spaces."""
-    src, dst, _ = _fold_tables()
-    ascii_only = F.translate(_expand_multi(c), src, dst)
-    base = F.when(c.rlike(r"[^\x00-\x7f]"), ascii_only).otherwise(c)
+    src, dst, expand = _fold_tables()
+    base = _if_not_ascii(c, F.translate(_swap(c, expand), src, dst))
     return F.trim(F.regexp_replace(F.lower(base), "[^a-z0-9+/&-]+", " "))
 
 
+@lru_cache(maxsize=1)
+def _casefold_table() -> dict[str, str]:
+    """Characters that casefold changes in another way than lower does."""
+    return {c: c.casefold() for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.casefold() != c.lower()}
+
+
+def casefold(c: Column) -> Column:
+    return F.lower(_if_not_ascii(c, _swap(c, _casefold_table())))
+
+
 def signature(folded: Column, size: int = 6) -> Column:
     """First significant tokens of a folded text."""
     tokens = F.filter(
@@ -160,45 +183,47 @@ def canonical_url(cleaned: Column) -> Column:
 def slugify(c: Column) -> Column:
     """ASCII slug: accents dropped, other non-ASCII removed, the rest joined by '-'."""
     src, dst, expand = _slug_tables()
-    plain = F.translate(c, src, dst)
-    for char, chars in expand:
-        plain = F.when(plain.contains(char), F.replace(plain, F.lit(char), F.lit(chars))).otherwise(plain)
-    plain = F.regexp_replace(plain, r"[^\x00-\x7f]", "")
+    plain = _if_not_ascii(c, F.regexp_replace(F.translate(_swap(c, expand), src, dst), r"[^\x00-\x7f]", ""))
     return F.trim(F.regexp_replace(F.lower(plain), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 @lru_cache(maxsize=1)
-def _slug_tables() -> tuple[str, str, list[tuple[str, str]]]:
-    """NFKD then ASCII-only; Latin characters up to U+024F that give several are expanded."""
-    single, several = {}, []
+def _slug_tables() -> tuple[str, str, dict[str, str]]:
+    """NFKD then ASCII only; characters that give several are expanded."""
+    single, several = {}, {}
     for cp in range(0x80, sys.maxunicode + 1):
         if 0xD800 <= cp <= 0xDFFF:
             continue
         base = unicodedata.normalize("NFKD", chr(cp)).encode("ascii", "ignore").decode("ascii")
-        if len(base) == 1:
-            single[chr(cp)] = base
-        elif base and cp < 0x250:
-            several.append((chr(cp), base))
+        if base:
+            (single if len(base) == 1 else several)[chr(cp)] = base
     return "".join(single), "".join(single.values()), several
 
 
-def split_skills(cleaned: Column) -> Column:
-    """Cleaned free text -> skill candidates."""
-    return F.filter(F.transform(F.split(cleaned, "[;,|/]+"), squash), lambda s: s != "")
+def split_parts(cleaned: Column) -> Column:
+    """Cleaned free text -> its parts joined by LIST_MARK, to be cleaned once more as one column."""
+    return F.regexp_replace(cleaned, "[;,|/]+", LIST_MARK)
+
+
+def parts_of(joined: Column) -> Column:
+    """Cleaned joined parts -> list of non-blank texts."""
+    return F.filter(F.transform(F.split(joined, LIST_MARK), squash), lambda s: s != "")
 
 
-def distinct_by_key(items: Column, keys: Column) -> Column:
-    """Keep items whose key is non-blank and appears for the first time."""
-    return F.filter(
-        items,
-        lambda x, i: (F.get(keys, i) != "") & (F.array_position(keys, F.get(keys, i)) == i + 1),
+def distinct_by_key(items: Column, key) -> Column:
+    """Keep items whose key (a function of the item) is non-blank and appears for the first time."""
+    return let(
+        F.struct(items.alias("items"), F.transform(items, key).alias("keys")),
+        lambda s: F.filter(
+            s["items"],
+            lambda x, i: (F.get(s["keys"], i) != "") & (F.array_position(s["keys"], F.get(s["keys"], i)) == i + 1),
+        ),
     )
 
 
 def distinct_ignore_case(items: Column) -> Column:
     """Ordered distinct non-blank strings, compared without case."""
-    stripped = F.filter(F.transform(items, strip), lambda s: s != "")
-    return distinct_by_key(stripped, F.transform(stripped, F.lower))
+    return distinct_by_key(F.filter(F.transform(items, strip), lambda s: s != ""), casefold)
 
 
 def fallback_id(own: Column, prefix: str, parts: Sequence[Column]) -> Column:

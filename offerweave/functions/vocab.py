@@ -110,7 +110,7 @@ COMPLETENESS_WEIGHTS = (
 
 # --- fixed values: URL schemes whose last path segment may carry ";params" ---------------------
 PARAM_SCHEMES = (
-    "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtspu", "sip", "sips", "mms",
+    "ftp", "hdl", "prospero", "http", "https", "shttp", "rtsp", "rtsps", "rtspu", "imap", "sip", "sips", "mms",
     "sftp", "tel",
 )
 

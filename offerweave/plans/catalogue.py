@@ -1,11 +1,144 @@
-"""All registered queries of the job-offer engine, and their SQL."""
+"""All registered queries of the job-offer engine, and their SQL. Each reads its whole tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from offerweave.functions import fields, text, vocab
+from offerweave.operators import normalize, pages, scope, skills
+from offerweave.plans.oracles import ORACLES as SQL
+from offerweave.plans.oracles import SELECTED
+from offerweave.sources import bridge
+
+AS_OF = datetime(2024, 6, 15)
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 FLAGSHIP = "skills_by_region"
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
+
+def query(function: Query) -> Query:
+    QUERIES[function.__name__] = function
+    return function
+
+
+def offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bridge offers; every fifth row says whether its salary is predicted."""
+    flag = F.when(F.col("ord") % 5 == 4, (F.col("ord") % 2).cast("int"))
+    return bridge.offers(spark, sf_dir).withColumn("salary_is_predicted", flag)
+
+
+def canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.normalized(offers(spark, sf_dir), AS_OF)
+
+
+@query
+def eu_jobs_france(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = [F.array_join(c, ",").alias(c) for c in ("countries", "stack")]
+    return skills.in_france(bridge.jobs(spark, sf_dir)).select("id", "title", "location", *joined, "salary_min", "posted_at")
+
+
+def _exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skills.exploded_skills(skills.in_france(bridge.jobs(spark, sf_dir)))
+
+
+@query
+def skills_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exploded(spark, sf_dir).select("id", "title", "region", "competence", "posted_at")
+
+
+@query
+def skills_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skills.counts_by_region(_exploded(spark, sf_dir))
+
+
+@query
+def skills_by_region_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return skills.counts_by_region(_exploded(spark, sf_dir), named_only=False)
+
+
+@query
+def aggregate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = skills_by_region(spark, sf_dir)
+    n = F.col("nb").cast("string")
+    raw = counted.select("competence", "region", F.when(F.col("nb") % 3 == 0, "").otherwise(n).alias("count"), F.when(F.col("nb") % 2 == 0, F.concat(n, F.lit(".5"))).otherwise(n).alias("nb"))
+    return skills.aggregate_records(raw)
+
+
+@query
+def volumes_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scope.volumes(offers(spark, sf_dir), SELECTED)
+
+
+@query
+def normalized_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical(spark, sf_dir).select("ord", "title_normalized", "company_normalized", "location_normalized", "title_signature", "company_signature", "location_signature")
+
+
+@query
+def normalized_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical(spark, sf_dir).select("ord", "contract_type_normalized", "telework_normalized", "url_canonical")
+
+
+@query
+def normalized_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = fields.iso_text(fields.parse_timestamp(F.col("c_published_at"), day_first=False))
+    return canonical(spark, sf_dir).select("ord", "published_date", "published_iso", stored.alias("stored_iso"), "date_unparsed")
+
+
+@query
+def normalized_salary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical(spark, sf_dir).select("ord", "salary_min_normalized", "salary_max_normalized", "salary_currency", "salary_period", "salary_predicted")
+
+
+@query
+def normalized_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = F.array_join(fields.storage_skills_of_text(F.col("c_skills_text")), "|")
+    return canonical(spark, sf_dir).select("ord", F.array_join("skills_normalized", "|").alias("skills_normalized"), stored.alias("stored_skill"))
+
+
+@query
+def completeness_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical(spark, sf_dir).select("ord", "completeness_score", "record_preference_score")
+
+
+@query
+def scope_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scope.evaluated(offers(spark, sf_dir)).select("ord", "source", "scope_score", F.array_join("scope_reasons", ",").alias("reasons"), "filter_status")
+
+
+@query
+def scope_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scope.report(offers(spark, sf_dir))
+
+
+@query
+def match_text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = bridge.table(spark, sf_dir, "documents").withColumn("folded", text.fold(text.squash(text.text(F.col("text")))))
+    return docs.select("doc_id", F.md5("folded").alias("folded_md5"), text.keyword_hits(F.col("folded"), vocab.FOCUS_KEYWORDS).cast("long").alias("focus_hits"))
+
+
+@query
+def slugify_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bridge.table(spark, sf_dir, "part").select("p_partkey", text.slugify(F.col("p_name")).alias("slug"))
+
+
+@query
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.links(bridge.table(spark, sf_dir, "pages"), r"\A/[a-z]+/?\z")
+
+
+@query
+def page_last_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.last_page(bridge.table(spark, sf_dir, "pages"), vocab.PAGE_NUMBER_PATTERN)
+
+
+@query
+def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.blocks(bridge.table(spark, sf_dir, "pages"), "p")
+
+
+ORACLES: dict[str, str] = {name: SQL[name] for name in QUERIES if name in SQL}

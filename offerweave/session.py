@@ -14,16 +14,12 @@ SETTINGS = {
 
 
 def get_spark(app: str = "offerweave", master: str | None = None, **extra: str) -> SparkSession:
-    """Session with the engine's settings; cluster settings given outside stay untouched."""
+    """The session that there is, untouched, or a new one with the engine's settings."""
+    if (there := SparkSession.getActiveSession()) is not None:
+        return there
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def use_utc(spark: SparkSession) -> SparkSession:
-    """All date semantics are UTC; pin the session time zone whoever created it."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
