@@ -7,6 +7,7 @@ null for every row without an entity.
 from __future__ import annotations
 
 import html
+import json
 import sys
 import unicodedata
 from collections.abc import Mapping, Sequence
@@ -130,7 +131,8 @@ def _fold_tables() -> tuple[str, str, dict[str, str]]:
 
 def _swap(c: Column, table: Mapping[str, str]) -> Column:
     """Replace characters outside ASCII by table; the work follows the distinct ones that a text holds."""
-    pairs = F.create_map(*[F.lit(v) for kv in table.items() for v in kv])
+    # one foldable node instead of a literal for each entry: plans with many folded columns stay small
+    pairs = F.from_json(F.lit(json.dumps(table)), "map<string,string>")
     found = F.array_distinct(F.regexp_extract_all(c, F.lit(r"([^\x00-\x7f])"), F.lit(1)))
     return F.aggregate(found, c, lambda acc, ch: F.replace(acc, ch, F.coalesce(F.element_at(pairs, ch), ch)))
 

@@ -47,10 +47,10 @@ def cleaned(df: DataFrame) -> DataFrame:
 
 
 def normalized(df: DataFrame, as_of: datetime) -> DataFrame:
-    """All canonical columns of raw offers ``df``; ``as_of`` is what relative dates count from."""
+    """All canonical columns of raw offers ``df`` (cleaned already or not); ``as_of`` is what relative dates count from."""
     c = lambda n: F.col(f"c_{n}")
     f = lambda n: F.col(f"f_{n}")
-    out = cleaned(df)
+    out = df if "f_title" in df.columns else cleaned(df)
     number = lambda n: fields.amount(text.squash(text.text(F.col(n)))) if n in df.columns else F.lit(None).cast("double")
     predicted = F.coalesce(F.col("salary_is_predicted").cast("int") != 0, F.lit(False)) if "salary_is_predicted" in df.columns else F.lit(False)
     out = out.withColumns({

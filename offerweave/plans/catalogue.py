@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerweave.functions import fields, text, vocab
-from offerweave.operators import normalize, pages, scope, skills
+from offerweave.operators import dedup, normalize, pages, scope, skills, store
+from offerweave.operators.tables import written
 from offerweave.plans.oracles import ORACLES as SQL
 from offerweave.plans.oracles import SELECTED
-from offerweave.sources import bridge
+from offerweave.sources import bridge, mappings
 
 AS_OF = datetime(2024, 6, 15)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,4 +142,161 @@ def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.blocks(bridge.table(spark, sf_dir, "pages"), "p")
 
 
+def _of(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    return bridge.offers(spark, sf_dir).where(F.col("source") == source)
+
+
+def _france_travail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as pages of JSON, up to ten in a page, then read and mapped."""
+    row = F.struct(
+        F.col("ord").cast("string").alias("code"),
+        F.col("external_id").alias("id"),
+        F.col("title").alias("intitule"),
+        "description",
+        F.struct(F.col("company_name").alias("nom")).alias("entreprise"),
+        F.struct(F.when(F.col("ord") % 3 == 0, "").otherwise(F.col("location_label")).alias("libelle"), F.col("location_label").alias("commune"), F.lit("75001").alias("codePostal")).alias("lieuTravail"),
+        F.struct(F.when(F.col("ord") % 2 == 0, F.col("salary")).otherwise("").alias("libelle"), F.col("salary").alias("commentaire")).alias("salaire"),
+        F.transform(F.split("skills", ","), lambda x: F.struct(F.lit("none").alias("code"), x.alias("libelle"))).alias("competences"),
+        F.col("contract_type").alias("typeContrat"),
+        F.when(F.col("ord") % 2 == 0, F.col("contract_type")).otherwise("").alias("typeContratLibelle"),
+        F.col("published_at").alias("dateCreation"),
+        F.lit("2024-01-01").alias("dateActualisation"),
+    )
+    raw = _of(spark, sf_dir, "france_travail").select("g", row.alias("row"))
+    pages_ = raw.groupBy("g").agg(F.to_json(F.struct(F.collect_list("row").alias("resultats"))).alias("page")).select("page")
+    kind = mappings.FT_ROW.replace("struct<id:", "struct<code:string,id:", 1)
+    rows = mappings.envelope_rows(pages_, "page", kind, ("resultats", "results", "items"))
+    return mappings.france_travail(rows.withColumn("_ord", F.col("code").cast("long")).drop("code"))
+
+
+@query
+def map_france_travail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _france_travail(spark, sf_dir).select(F.col("_ord").alias("ord"), "external_id", "title", "company_name", "location_label", "salary", "contract_type", "published_at", "description", F.array_join("skills", "|").alias("skills"))
+
+
+@query
+def france_travail_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _france_travail(spark, sf_dir)
+    keyed = rows.withColumn("k", F.array_join(mappings.france_travail_key(rows), "|"))
+    return mappings.first_wins(keyed, ["k"], "_ord").select("k", F.col("_ord").alias("ord"))
+
+
+@query
+def map_wttj(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fallback rows, half of them with a JSON list of skills."""
+    raw = _of(spark, sf_dir, "welcome_to_the_jungle").select(
+        F.col("ord").alias("_ord"), F.col("external_id").alias("id"), F.col("title").alias("titre"), F.col("company_name").alias("entreprise"), F.col("location_label").alias("lieu"),
+        F.col("salary").alias("salaire"), F.col("published_at").alias("date_publication"), F.when(F.col("ord") % 2 == 0, F.to_json(F.array("skills", F.lit("x")))).otherwise(F.col("skills")).alias("skills"),
+    )
+    mapped = mappings.wttj(raw)
+    return mapped.select(F.col("_ord").alias("ord"), "external_id", "title", "company", "location", "salary", "published_at", F.array_join("skills", "|").alias("skills"))
+
+
+BPCE = ("_ord", "référence de l'offre", "Visualisation de l'offre", "Titre de l'annonce", "Entreprise", "Ville", "Pays", "salary_min", "salary_max", "Type de contrat", "Date dernière modification", "teletravail", "description")
+
+
+@query
+def map_bpce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of CSV with semicolons and untidy headers, then read, trimmed and mapped."""
+    url = F.when(F.col("ord") % 2 == 0, F.col("url")).otherwise("")
+    values = [F.col("ord"), F.col("external_id"), url, F.col("title"), F.col("company_name"), F.col("location_label"), F.lit("France"), *[F.col(c) for c in ("salary_min", "salary_max", "contract_type", "published_at", "telework", "description")]]
+    line = F.to_csv(F.struct(*[v.cast("string").alias(f"c{k}") for k, v in enumerate(values)]), {"sep": ";", "quoteAll": "true"})
+    lines = _of(spark, sf_dir, "bpce").select(line.alias("line"))
+    schema = ", ".join(f"c{k} string" for k in range(len(BPCE)))
+    rows = lines.select(F.from_csv("line", F.lit(schema), {"sep": ";"}).alias("r")).select(*[F.col(f"r.c{k}").alias(f"\ufeff{n} " if k == 1 else n) for k, n in enumerate(BPCE)])
+    rows = mappings.not_blank(mappings.trimmed(rows), list(BPCE[1:]))
+    mapped = mappings.bpce(rows)
+    return mapped.select(F.col("_ord").cast("long").alias("ord"), "external_id", "title", "company_name", "location_label", "salary", "contract_type", "published_at", "url", "telework")
+
+
+@query
+def map_ile_de_france(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _of(spark, sf_dir, "region_ile_de_france").select(
+        F.col("ord").alias("_ord"), F.col("external_id").alias("id"), F.col("title").alias("Titre du poste"), F.col("company_name").alias("Nom de la collectivité"), F.lit("Entité").alias("Entité"),
+        F.col("location_label").alias("Commune du lycée"), F.lit("").alias("Code postal du lycée"), F.lit("Ailleurs").alias("Lieu de Travail"), F.col("published_at").alias("Date de mise en ligne"),
+        F.col("description").alias("Vos Missions (format texte)"), F.lit("Votre profil").alias("Votre Profil (format texte)"), F.col("description").alias("Pied de page (format texte)"),
+        F.concat(F.lit("- "), "skills", F.lit(" -\nBAC+5\n\n- BAC+5")).alias("Formations obligatoires"), F.col("contract_type").alias("Type de contrat"), F.col("telework").alias("Durée hebdomadaire de travail"),
+    )
+    mapped = mappings.ile_de_france(raw)
+    return mapped.select(F.col("_ord").alias("ord"), "external_id", "title", "company_name", "location_label", "description", F.array_join("skills", "|").alias("skills"), F.col("weekly_work_duration").alias("weekly"))
+
+
+def _adzuna(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")).cast("double"), F.lit(0.0)).alias(c)
+    row = F.struct(
+        F.col("ord").alias("latitude"), F.col("external_id").alias("id"), "title", "description", F.col("published_at").alias("created"), F.col("url").alias("redirect_url"), F.struct(F.col("company_name").alias("display_name")).alias("company"),
+        F.struct(F.col("location_label").alias("display_name")).alias("location"), F.when(F.col("g") % 2 == 0, F.struct(F.lit("IT Jobs").alias("label"), F.lit("it-jobs").alias("tag"))).alias("category"),
+        number("salary_min"), number("salary_max"), F.when(F.col("ord") % 2 == 0, "oui").otherwise("0").alias("salary_is_predicted"),
+    )
+    pages_ = bridge.offers(spark, sf_dir).select("g", row.alias("row")).groupBy("g").agg(F.to_json(F.struct(F.collect_list("row").alias("results"))).alias("page")).select("page")
+    rows = mappings.envelope_rows(pages_, "page", mappings.ADZUNA_ROW, ("results",), bare=False)
+    return mappings.adzuna(rows.withColumn("_ord", F.col("latitude").cast("long")))
+
+
+@query
+def map_adzuna(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _adzuna(spark, sf_dir).select(F.col("_ord").alias("ord"), "external_id", "title", "salary", "salary_is_predicted", "category", "url")
+
+
+@query
+def adzuna_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mappings.adzuna_status(_adzuna(spark, sf_dir))
+    return rows.groupBy("status").agg(F.count("*").alias("offers"), F.sum("salary_is_predicted").alias("predicted"))
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.storage_rows(bridge.offers(spark, sf_dir))
+
+
+@query
+def storage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir).select("ord", "source", "external_id", "title", "company", "location", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"), F.coalesce(F.get("skills", F.lit(0)), F.lit("")).alias("skills"))
+
+
+@query
+def upsert_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of half the keys, and a batch of every third row with keys of both kinds."""
+    rows = _stored(spark, sf_dir)
+    then = fields.as_of_column(datetime(2024, 6, 1))
+    target = mappings.last_wins(rows, store.KEY, "ord").drop("ord").where(F.length("external_id") % 2 == 0).withColumns({"imported_at": then, "updated_at": then})
+    batch = rows.where("ord % 3 = 0").withColumn("title", F.concat("title", F.lit(" *")))
+    out = store.upsert(target, batch, AS_OF)
+    return out.select("source", "external_id", "title", F.date_format("imported_at", "yyyy-MM-dd").alias("imported"), F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
+
+
+@query
+def history_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = store.recent(_stored(spark, sf_dir), AS_OF, 30)
+    mapped = mappings.history(rows.withColumn("title", F.concat_ws("#", F.col("ord").cast("string"), "title")))
+    return mapped.select(F.substring_index("title", "#", 1).cast("long").alias("ord"), "origin_source", "external_id", "company_name", "location_label", "published_at")
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical offers with their scope score, computed once and written: what follows reads it several times."""
+    return written(normalize.normalized(scope.evaluated(offers(spark, sf_dir)), AS_OF))
+
+
+@query
+def dedup_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical(spark, sf_dir).select(F.explode(dedup.block_keys()).alias("key")).groupBy("key").agg(F.count("*").alias("offers"))
+
+
+@query
+def dedup_first_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.first_matches(_judged(spark, sf_dir))
+
+
+@query
+def dedup_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.leaders(_judged(spark, sf_dir).where("filter_status = 'kept_offer'"))
+
+
+@query
+def final_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filter, normalise, find duplicates, merge: one row per offer that is left."""
+    kept = _judged(spark, sf_dir).where("filter_status = 'kept_offer'")
+    out = dedup.merged(kept, dedup.leaders(kept))
+    return out.withColumns({"duplicate_sources": F.array_join("duplicate_sources", ","), "skills_normalized": F.array_join("skills_normalized", "|")})
+
+
 ORACLES: dict[str, str] = {name: SQL[name] for name in QUERIES if name in SQL}

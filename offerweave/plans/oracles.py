@@ -133,6 +133,17 @@ SCOPE = (
     "CASE WHEN nothing THEN 'invalid' WHEN keep THEN 'kept_offer' ELSE 'out_of_scope' END AS filter_status FROM t3)",
 )
 
+# --- store and dedup ---------------------------------------------------------------------------------------------------
+STORED = (
+    "SELECT ord, source, external_id0 AS external_id, title, company_name AS company, location_label AS location, published_raw, published, skills FROM ("
+    "SELECT *, CASE WHEN external_id <> '' THEN external_id ELSE 'fallback_' || substring(sha1(concat_ws(' | ', source, nullif(title, ''), nullif(company_name, ''), nullif(location_label, ''), nullif(published_raw, ''))), 1, 16) END AS external_id0 FROM ("
+    f"SELECT ord, source, trim(external_id) AS external_id, trim(title) AS title, company_name, location_label, published_at AS published_raw, {parsed('published_at', False)} AS published, trim(skills) AS skills "
+    f"FROM o WHERE source IN ({words(vocab.STORE_SOURCES)})) a) b"
+)
+SIGNED = (
+    f"n AS (SELECT ord, {CANONICAL} AS url, {signature('f_title', 6)} AS ts, {signature('f_company', 4)} AS cs, {signature('f_location', 4)} AS ls, coalesce(strftime({PUBLISHED}, '%Y-%m-%d'), '') AS d FROM c)"
+)
+
 ISO = "coalesce(strftime({0}, '%Y-%m-%dT%H:%M:%S') || '+00:00', '')"
 SELECTED = ("france_travail", "bpce", "hive_aggregates", "postgresql_history")
 
@@ -196,4 +207,75 @@ ORACLES: dict[str, str] = {
         r"""WITH h AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '(?is)<p[^>]*>(.*?)</p>', 1) AS l FROM pages), u AS (SELECT page_id, unnest(l) AS inner_html, generate_subscripts(l, 1) - 1 AS position FROM h)"""
         r""" SELECT page_id, CAST(position AS INTEGER) AS position, trim(regexp_replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS label, CAST(length(trim(regexp_replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS INTEGER) AS chars FROM u"""
     ),
+    "map_france_travail": offers(
+        "SELECT ord, external_id, title, company_name, coalesce(nullif(CASE WHEN ord % 3 = 0 THEN '' ELSE location_label END, ''), nullif(location_label, ''), '75001') AS location_label, "
+        "nullif(salary, '') AS salary, nullif(contract_type, '') AS contract_type, coalesce(nullif(published_at, ''), '2024-01-01') AS published_at, description, "
+        "array_to_string(list_filter(list_transform(string_split(skills, ','), lambda x: coalesce(nullif(x, ''), 'none')), lambda x: trim(x) <> ''), '|') AS skills FROM o WHERE source = 'france_travail'"
+    ),
+    "france_travail_first": offers(
+        "SELECT k, min(ord) AS ord FROM (SELECT ord, CASE WHEN external_id <> '' THEN 'id|' || external_id ELSE concat_ws('|', 'secours', title, company_name, "
+        "coalesce(nullif(CASE WHEN ord % 3 = 0 THEN '' ELSE location_label END, ''), nullif(location_label, ''), '75001'), coalesce(nullif(published_at, ''), '2024-01-01')) END AS k FROM o WHERE source = 'france_travail') x GROUP BY k"
+    ),
+    "map_wttj": offers(
+        "SELECT ord, nullif(external_id, '') AS external_id, nullif(title, '') AS title, nullif(company_name, '') AS company, nullif(location_label, '') AS location, nullif(salary, '') AS salary, "
+        "nullif(published_at, '') AS published_at, CASE WHEN ord % 2 = 0 THEN skills || '|x' ELSE '' END AS skills FROM o WHERE source = 'welcome_to_the_jungle'"
+    ),
+    "map_bpce": offers(
+        f"SELECT ord, CASE WHEN own <> '' THEN own WHEN joined = '' THEN '' ELSE 'bpce_' || substring(sha1(joined), 1, 16) END AS external_id, title, company_name, place AS location_label, "
+        "CASE WHEN salary_min <> '' AND salary_max <> '' THEN salary_min || ' - ' || salary_max WHEN salary_min <> '' THEN salary_min ELSE salary_max END AS salary, contract_type, published_at, url, telework FROM ("
+        "SELECT *, coalesce(nullif(trim(external_id), ''), CASE WHEN ord % 2 = 0 THEN nullif(trim(url), '') END, '') AS own, concat_ws(' | ', nullif(title_t, ''), nullif(company_name, ''), nullif(place, ''), nullif(published_at, '')) AS joined FROM ("
+        "SELECT ord, external_id, trim(title) AS title, trim(title) AS title_t, company_name, array_to_string(list_distinct_ordered, ', ') AS place, salary_min, salary_max, contract_type, published_at, CASE WHEN ord % 2 = 0 THEN url ELSE '' END AS url, telework FROM ("
+        "SELECT *, list_filter([location_label, CASE WHEN location_label = 'France' THEN '' ELSE 'France' END], lambda x: x <> '') AS list_distinct_ordered FROM o WHERE source = 'bpce') a) b) c"
+    ),
+    "map_ile_de_france": offers(
+        "SELECT ord, CASE WHEN external_id <> '' THEN external_id WHEN joined = '' THEN '' ELSE 'idf_' || substring(sha1(joined), 1, 16) END AS external_id, title, company_name, location_label, description, skills, weekly FROM ("
+        "SELECT *, concat_ws(' | ', nullif(title, ''), nullif(company_name, ''), nullif(location_label, ''), nullif(published_at, '')) AS joined FROM ("
+        "SELECT ord, external_id, trim(title) AS title, coalesce(nullif(company_name, ''), 'Entité') AS company_name, published_at, CASE WHEN location_label <> '' THEN location_label ELSE 'Ailleurs' END AS location_label, "
+        "CASE WHEN trim(description) <> '' THEN trim(description) || chr(10) || chr(10) ELSE '' END || 'Votre profil' AS description, CASE WHEN skills <> '' THEN trim(skills, ' -') || '|' ELSE '' END || 'BAC+5' AS skills, telework AS weekly "
+        "FROM o WHERE source = 'region_ile_de_france') a) b"
+    ),
+    "adzuna_status": offers(
+        "SELECT status, count(*) AS offers, sum(predicted) AS predicted FROM (SELECT CASE WHEN salary_min = '' AND salary_max = '' THEN 'no_salary' WHEN ord % 2 = 0 THEN 'predicted' WHEN external_id = '' THEN 'no_id' ELSE 'kept' END AS status, "
+        "CASE WHEN ord % 2 = 0 THEN 1 ELSE 0 END AS predicted FROM o) x GROUP BY status"
+    ),
+    "map_adzuna": offers(
+        "SELECT ord, external_id, title, CASE WHEN salary_min <> '' AND salary_max <> '' THEN salary_min || '.0 - ' || salary_max || '.0' WHEN salary_min <> '' THEN salary_min || '.0' WHEN salary_max <> '' THEN salary_max || '.0' ELSE '' END AS salary, "
+        "CASE WHEN ord % 2 = 0 THEN 1 ELSE 0 END AS salary_is_predicted, CASE WHEN g % 2 = 0 THEN 'IT Jobs' END AS category, url FROM o"
+    ),
+    "storage_rows": offers(
+        "SELECT ord, source, external_id, title, company, location, strftime(published, '%Y-%m-%d %H:%M:%S') AS published, skills FROM (" + STORED + ") s",
+        CLEANED,
+    ),
+    "upsert_offers": offers(
+        "SELECT coalesce(t.source, i.source) AS source, coalesce(t.external_id, i.external_id) AS external_id, CASE WHEN i.external_id IS NOT NULL THEN i.title ELSE t.title END AS title, "
+        "CASE WHEN t.external_id IS NOT NULL THEN '2024-06-01' ELSE '2024-06-15' END AS imported, CASE WHEN i.external_id IS NOT NULL THEN '2024-06-15' ELSE '2024-06-01' END AS updated FROM t FULL OUTER JOIN i ON t.source = i.source AND t.external_id = i.external_id",
+        CLEANED,
+        f"s AS ({STORED})",
+        "b AS (SELECT source, external_id, arg_max(title, ord) AS title FROM s GROUP BY ALL)",
+        "t AS (SELECT source, external_id, title FROM b WHERE length(external_id) % 2 = 0)",
+        "i AS (SELECT source, external_id, arg_max(title, ord) || ' *' AS title FROM s WHERE ord % 3 = 0 GROUP BY source, external_id)",
+    ),
+    "history_recent": offers(
+        "SELECT ord, source AS origin_source, external_id, company AS company_name, location AS location_label, published_raw AS published_at FROM s WHERE published IS NULL OR published >= TIMESTAMP '2024-06-15' - INTERVAL 30 DAY",
+        CLEANED,
+        f"s AS ({STORED})",
+    ),
+    "dedup_blocks": offers(
+        "SELECT key, count(*) AS offers FROM (SELECT unnest(list_filter([CASE WHEN url <> '' THEN 'url:' || url END, CASE WHEN ts <> '' AND cs <> '' THEN 'title_company:' || ts || '|' || cs END, "
+        "CASE WHEN ts <> '' AND d <> '' THEN 'title_date:' || ts || '|' || d END, CASE WHEN cs <> '' AND d <> '' THEN 'company_date:' || cs || '|' || d END, CASE WHEN ts <> '' AND ls <> '' THEN 'title_location:' || ts || '|' || ls END], lambda x: x IS NOT NULL)) AS key FROM n) x GROUP BY key",
+        CLEANED,
+        SIGNED,
+    ),
+    "dedup_first_matches": offers(
+        "SELECT n.ord, f.first_ord FROM n LEFT JOIN (SELECT a.ord, arg_min(r2.ord, m.first) AS first_ord FROM a JOIN m USING (key) JOIN ranked r2 ON r2.r = m.first WHERE m.first < a.r GROUP BY a.ord) f ON f.ord = n.ord",
+        CLEANED,
+        *PAID,
+        *SKILL_LIST,
+        SIGNED,
+        *SCOPE,
+        f"scored AS (SELECT ord, {PRIORITY} + {COMPLETE} AS pref, {COMPLETE} AS compl FROM (SELECT s3.*, p4.lo, p4.hi FROM s3 JOIN p4 USING (ord)) z)",
+        "ranked AS (SELECT ord, row_number() OVER (ORDER BY pref DESC, scope_score DESC, compl DESC, ord) AS r FROM scored JOIN t4 USING (ord))",
+        "a AS (SELECT n.ord, r, unnest(list_filter([CASE WHEN url <> '' THEN 'url:' || url END, CASE WHEN ts <> '' AND cs <> '' AND d <> '' THEN 'date:' || concat_ws('|', ts, cs, d) END, CASE WHEN ts <> '' AND cs <> '' AND ls <> '' THEN 'place:' || concat_ws('|', ts, cs, ls) END], lambda x: x IS NOT NULL)) AS key FROM n JOIN ranked USING (ord))",
+        "m AS (SELECT key, min(r) AS first FROM a GROUP BY key)",
+    ),
 }
