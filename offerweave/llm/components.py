@@ -5,29 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.shared import stored
+from offerweave.llm.shared import Scratch
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of edges (a, b), root being the smallest node that can be reached.
 
     Every round each node takes the smallest label among its own and its neighbours', then the label of that
     label, so that long chains shorten by half. Labels are written to the shared folder after each round: a
-    lost executor costs one round. The rounds end when no label changes. Null ends are ignored.
+    lost executor costs one round. They and the result are ``scratch``'s. The rounds end when no label changes. Null ends are ignored.
     """
-    both = stored(
+    both = scratch.stored(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
         .select("e.a", "e.b")
         .distinct(),
         "links",
     )
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
+    labels = scratch.stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), F.col("root").alias("other")), "b").groupBy("a").agg(F.min("other").alias("near"))
         moved = labels.join(near, labels["node"] == near["a"]).select("node", "root", F.least("root", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("root").alias("beyond"))
-        labels = stored(
+        labels = scratch.stored(
             moved.join(jump, "next").select("node", F.least("next", "beyond").alias("root"), (F.least("next", "beyond") != F.col("root")).alias("changed")),
             "labels",
         )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerweave.llm.shared import stored
+from offerweave.llm.shared import Scratch, stored
 
 SHARD = 5000
 QUERY_BLOCK = 4096
@@ -203,11 +203,12 @@ def index(vectors: DataFrame, k: int) -> DataFrame:
     one = Window.partitionBy("embedding").orderBy("vec_id")
     rows = _usable(vectors).withColumn("copy", F.row_number().over(one)).where(F.col("copy") <= k + 1)
     classes = rows.groupBy("embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    classes = stored(classes.withColumn("size", F.size("embedding")).withColumn("ids_least", F.col("ids")[0]), "vectors")
-    shards = max(1, -(-classes.count() // SHARD))
-    dealt = classes.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)))
-    schema = "size int, shard long, vectors binary, graph binary, entries binary, ids binary, copies binary"
-    return stored(dealt.repartition(shards, "shard").groupBy("size", "shard").applyInArrow(_build_shard, schema), "index")
+    with Scratch(vectors.sparkSession) as scratch:
+        classes = scratch.stored(classes.withColumn("size", F.size("embedding")).withColumn("ids_least", F.col("ids")[0]), "vectors")
+        shards = max(1, -(-classes.count() // SHARD))
+        dealt = classes.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)))
+        schema = "size int, shard long, vectors binary, graph binary, entries binary, ids binary, copies binary"
+        return stored(dealt.repartition(shards, "shard").groupBy("size", "shard").applyInArrow(_build_shard, schema), "index")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:

@@ -107,18 +107,24 @@ _MADE = (
 )
 
 
-def _marked(docs: DataFrame, text: bool) -> tuple[DataFrame, DataFrame]:
-    """Measured rows with a row number, host (and text); and of these numbers, what is removed."""
-    # the host column is read by name before anything is added; clashing extra columns are never selected
-    rows = docs.select(
-        F.col("doc_id").alias("doc_id"),
+KEY = ("__id", "__hash", "__host")
+
+
+def _keys() -> list:
+    """What rows are told apart by; rows that agree in all of it get one verdict. Null hosts count as ''."""
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("__id"),
+        F.xxhash64(F.col("text").cast("string")).alias("__hash"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("__host"),
-        *([F.col("text").cast("string").alias("__whole")] if text else []),
-        F.col("text").cast("string").alias("__text"),
-    )
+    ]
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    """Per row of ``docs``: its keys and counts, the words in lines above the limit, their hashes, and the verdict."""
+    rows = docs.select(*_keys(), F.col("doc_id"), F.col("text").cast("string").alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     made = rows.mapInArrow(_measure, f"{schema}, {_MADE}").withColumn("__row", F.monotonically_increasing_id())
-    made = stored(made, "measured")
+    made = stored(made, "measured")  # row numbers stay as they are written
     lines = made.select("__row", "__host", "__sign", F.explode(F.arrays_zip("__lines", "__words")).alias("l"))
     lines = lines.select("__row", "__host", "__sign", F.col("l.__lines").alias("line"), F.col("l.__words").alias("words"))
     counts = lines.groupBy("__host", "line").agg(F.count_distinct("__sign").alias("documents")).where(F.col("documents") >= LEAST_DOCUMENTS)
@@ -127,10 +133,6 @@ def _marked(docs: DataFrame, text: bool) -> tuple[DataFrame, DataFrame]:
     above = above.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = lines.withColumn("salt", F.pmod("__row", F.lit(SALTS)).cast("int"))
     removed = salted.join(above, ["__host", "line", "salt"]).groupBy("__row").agg(F.sum("words").alias("n_removed_words"), F.collect_list("line").alias("__gone"))
-    return made, removed
-
-
-def _verdict(made: DataFrame, removed: DataFrame) -> DataFrame:
     met = made.drop("__lines", "__words", "__sign").join(removed, "__row", "left")
     met = met.withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
     left = F.col("n_words") - F.col("n_removed_words")
@@ -142,36 +144,41 @@ def quality_report(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, n_removed_words, depleted and kept for each row of ``docs``.
 
     ``docs`` has doc_id, text and source (the host; null counts as ''). A null or empty text has no words and fails
-    the base rules. Rows with equal texts or ids are separate rows. Lines without a word are never counted.
+    the base rules. Rows with equal texts or ids are separate rows. Lines without a word are never counted. Other
+    columns aren't read.
     """
-    return _verdict(*_marked(docs, text=False)).select(
+    return _marked(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_removed_words", "depleted"
     )
 
 
 def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text, gone in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            gone = set(gone)
-            lines = text.encode().split(b"\n")
-            texts.append(b"\n".join(x for x in lines if not x.strip() or line_hash(x) not in gone).decode())
-        yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], ["__row", "__text"])
+    """Rows whose last column is ``__gone``: the same without it, and without these lines in ``text``."""
+    for batch in slices(batches, "text"):
+        names = batch.schema.names[:-1]
+        columns = dict(zip(names, batch.columns, strict=False))
+        gone = batch.column(len(names)).to_pylist()
+        if any(gone):
+            texts = columns["text"].to_pylist()
+            sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else None
+            for k, own in enumerate(gone):
+                if own:
+                    own = set(own)
+                    lines = texts[k].encode().split(b"\n")
+                    texts[k] = b"\n".join(x for x in lines if not x.strip() or line_hash(x) not in own).decode()
+                    if sizes is not None:
+                        sizes[k] = len(texts[k])
+            columns["text"] = pa.array(texts, columns["text"].type)
+            if sizes is not None:
+                columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+        yield pa.record_batch([columns[n] for n in names], names)
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, lines above the limit removed from ``text``.
 
-    All columns are returned. Where ``docs`` has n_chars it is set anew for shortened texts.
+    All columns are returned. Where ``docs`` has a whole-number n_chars it is set anew for shortened texts.
     """
-    numbered = stored(docs.withColumn("__id", F.monotonically_increasing_id()), "numbered")
-    made, removed = _marked(numbered.select(F.col("__id").alias("doc_id"), "text", "source"), text=False)
-    kept = _verdict(made, removed).where("kept").select(F.col("doc_id").alias("__id"), "__gone")
-    met = numbered.join(kept, "__id")
-    shortened = met.where("__gone is not null").select("__id", F.col("text").alias("__whole"), "__gone")
-    shortened = shortened.mapInArrow(_without_lines, "__row long, __text string").select(F.col("__row").alias("__id"), "__text")
-    out = met.join(shortened, "__id", "left")
-    new = {"text": F.coalesce("__text", "text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("__text").isNull(), F.col("n_chars")).otherwise(F.length("__text")).cast(docs.schema["n_chars"].dataType)
-    return out.withColumns(new).select(*docs.columns)
+    kept = _marked(docs).where("kept").groupBy(*KEY).agg(F.first("__gone").alias("__gone"))
+    met = docs.select("*", *_keys()).join(kept, list(KEY)).select(*docs.columns, "__gone")
+    return met.mapInArrow(_without_lines, docs.schema)

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerweave.llm.shared import stored
+from offerweave.llm.shared import Scratch, stored
 
 SLOT_DIGITS = 3
 SLOTS = 16**SLOT_DIGITS
@@ -81,10 +81,10 @@ def _deal(nodes: DataFrame, parents: list[str]) -> DataFrame:
     return marked.withColumn("budget", F.when(F.col("full"), F.col("capacity")).otherwise(part).cast("long"))
 
 
-def leaf_budgets(tokens: DataFrame, mix: Mixture) -> DataFrame:
+def leaf_budgets(tokens: DataFrame, mix: Mixture, scratch: Scratch) -> DataFrame:
     """One row per leaf (the levels, tokens, budget) from rows with the levels and n_tokens."""
     leaves = tokens.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"))
-    leaves = stored(leaves.withColumn("capacity", F.col("tokens") * mix.max_epochs), "leaves")
+    leaves = scratch.stored(leaves.withColumn("capacity", F.col("tokens") * mix.max_epochs), "leaves")
     total = leaves.agg(F.floor(F.sum("tokens").cast(_WIDE) * mix.share[0] / mix.share[1]).cast("long").alias("parent_budget"))
     weights = dict(zip(LEVELS, (mix.domain_weights, mix.lang_weights, mix.source_weights), strict=True))
     above = total.withColumn("__root", F.lit(0))
@@ -106,15 +106,17 @@ def plan(docs: DataFrame, mix: Mixture) -> tuple[DataFrame, DataFrame]:
     """Slim rows (doc_id, the levels, n_tokens), and per leaf: tokens, budget, epochs, rest, end slot, tokens before it."""
     slim = docs.select("doc_id", F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("long").alias("n_tokens"), *[c.alias(n) for n, c in leaves_of(docs, mix).items()])
     slim = stored(slim, "slim")
-    budgets = leaf_budgets(slim, mix)
-    budgets = budgets.withColumn("epochs", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0)).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
-    budgets = stored(budgets, "budgets")
-    slots = slim.join(budgets, list(LEVELS)).where("rest > 0").withColumn("slot", F.substring(_order(mix.seed, F.col("epochs")), 1, SLOT_DIGITS))
-    slots = slots.groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("slot_tokens"), F.first("rest").alias("rest"))
-    before = F.sum("slot_tokens").over(Window.partitionBy(*LEVELS).orderBy("slot")) - F.col("slot_tokens")
-    ends = slots.withColumn("before", before).where("before < rest").groupBy(*LEVELS).agg(F.max(F.struct("slot", "before")).alias("end"))
-    table = budgets.join(ends, list(LEVELS), "left").withColumns({"end_slot": F.col("end.slot"), "before": F.col("end.before")}).drop("end")
-    return slim, stored(table, "plan")
+    with Scratch(docs.sparkSession) as scratch:
+        budgets = leaf_budgets(slim, mix, scratch)
+        epochs = F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0)
+        budgets = budgets.withColumn("epochs", epochs).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
+        budgets = scratch.stored(budgets, "budgets")
+        slots = slim.join(budgets, list(LEVELS)).where("rest > 0").withColumn("slot", F.substring(_order(mix.seed, F.col("epochs")), 1, SLOT_DIGITS))
+        slots = slots.groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("slot_tokens"), F.first("rest").alias("rest"))
+        before = F.sum("slot_tokens").over(Window.partitionBy(*LEVELS).orderBy("slot")) - F.col("slot_tokens")
+        ends = slots.withColumn("before", before).where("before < rest").groupBy(*LEVELS).agg(F.max(F.struct("slot", "before")).alias("end"))
+        table = budgets.join(ends, list(LEVELS), "left").withColumns({"end_slot": F.col("end.slot"), "before": F.col("end.before")}).drop("end")
+        return slim, stored(table, "plan")
 
 
 def _selected(rows: DataFrame, table: DataFrame, mix: Mixture, tie: Column) -> DataFrame:

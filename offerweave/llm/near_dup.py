@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.llm.components import components
-from offerweave.llm.shared import stored
+from offerweave.llm.shared import Scratch, stored
 from offerweave.llm.words import buffers, mix, slices, windows, word_table
 
 SHINGLE = 5
@@ -156,7 +156,14 @@ def _grouped(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n_shingles, node (class; null: empty set), root (component) and its least_id, per row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     made = stored(rows.mapInArrow(_sketches, _SKETCH_SCHEMA), "sketches")
-    classes = stored(
+    with Scratch(docs.sparkSession) as scratch:
+        label = stored(_labels(rows, made, scratch), "components")
+    return made.select("doc_id", "text_hash", "n_shingles", "node").join(label, "node", "left")
+
+
+def _labels(rows: DataFrame, made: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root, least_id) of every class."""
+    classes = scratch.stored(
         made.where("node is not null")
         .groupBy("node")
         .agg(
@@ -170,17 +177,16 @@ def _grouped(docs: DataFrame) -> DataFrame:
     )
     lists = classes.select("node", F.explode("keys").alias("value"))
     tops = lists.groupBy("value").agg(F.min("node").alias("top"), F.count("*").alias("members")).where("members > 1")
-    lists = stored(lists.join(tops, "value"), "lists")  # values that several classes retain
-    met = stored(classes.join(lists.select("node").distinct(), "node").select("node", "sketch", "n", "of"), "met")
-    texts = _texts_of(rows, met)
+    lists = scratch.stored(lists.join(tops, "value"), "lists")  # values that several classes retain
+    met = scratch.stored(classes.join(lists.select("node").distinct(), "node").select("node", "sketch", "n", "of"), "met")
+    texts = _texts_of(rows, met, scratch)
     pairs = lists.where("node <> top").select(F.col("top").alias("a"), F.col("node").alias("b")).distinct()
-    first = stored(_links(pairs, met, texts), "links1")
-    found = _second_pass(first, lists, met, texts)
-    roots = components(found)
+    first = scratch.stored(_links(pairs, met, texts), "links1")
+    found = _second_pass(first, lists, met, texts, scratch)
+    roots = components(found, scratch)
     named = classes.select("node", "least_id").join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least_id")
     ids = named.groupBy("root").agg(F.min("least_id").alias("least_id"))
-    label = named.select("node", "root").join(ids, "root")
-    return made.select("doc_id", "text_hash", "n_shingles", "node").join(label, "node", "left")
+    return named.select("node", "root").join(ids, "root")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -211,12 +217,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return met.withColumn("__k", repeat).where("not __one or __k = 1").select(*docs.columns)
 
 
-def _texts_of(rows: DataFrame, met: DataFrame) -> DataFrame:
+def _texts_of(rows: DataFrame, met: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, text) of the classes that share a list with another: one text stands for its class."""
     of = met.select("node", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
     found = rows.join(of, (rows["text_hash"] == of["of_hash"]) & rows["doc_id"].eqNullSafe(of["of_id"])).select("node", "text")
     # rows that repeat id and text give the same text again; any one does
-    return stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    return scratch.stored(found.groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 def _links(pairs: DataFrame, met: DataFrame, texts: DataFrame) -> DataFrame:
@@ -232,12 +238,12 @@ def _links(pairs: DataFrame, met: DataFrame, texts: DataFrame) -> DataFrame:
     return near.join(ta, "a").join(tb, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
 
 
-def _second_pass(first: DataFrame, lists: DataFrame, met: DataFrame, texts: DataFrame) -> DataFrame:
+def _second_pass(first: DataFrame, lists: DataFrame, met: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """All links: those of the first pass, and those between its components within any one list."""
-    roots = components(first)
-    labelled = stored(lists.join(roots, "node", "left").select("value", "node", "members", F.coalesce("root", "node").alias("root")), "labelled")
+    roots = components(first, scratch)
+    labelled = scratch.stored(lists.join(roots, "node", "left").select("value", "node", "members", F.coalesce("root", "node").alias("root")), "labelled")
     mixed = labelled.groupBy("value").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("value")
-    members = stored(labelled.join(mixed, "value"), "members")
+    members = scratch.stored(labelled.join(mixed, "value"), "members")
     short = members.where(F.col("members") <= SHORT_LIST)
     other = short.select("value", F.col("node").alias("b"), F.col("root").alias("root_b"))
     across = short.join(other, "value").where("node < b and root <> root_b").select(F.col("node").alias("a"), "b").distinct()
@@ -247,4 +253,4 @@ def _second_pass(first: DataFrame, lists: DataFrame, met: DataFrame, texts: Data
     dealt = long.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "root")
     blocks = dealt.join(texts, "node").groupBy("value", "i", "j").applyInArrow(_compare_blocks, "a binary, b binary")
-    return first.unionByName(stored(more, "links2")).unionByName(stored(blocks, "links3"))
+    return first.unionByName(scratch.stored(more, "links2")).unionByName(scratch.stored(blocks, "links3"))

@@ -27,11 +27,32 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/offerweave/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+class Scratch:
+    """Stored tables that an operator needs only until its own last table is written; then they are deleted."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        self.paths.append(path)
+        return stored(df, name, path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """``df`` computed once and written as Parquet in the shared folder; later jobs read the files.
 
     Unlike a cache it outlives lost executors, and unlike localCheckpoint it has no single copy on one.
     """
-    path = new_path(df.sparkSession, name)
+    path = path or new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerweave.llm.shared import Scratch
 from offerweave.llm.word_encoder import encoder
 from offerweave.llm.words import buffers, slices
 
@@ -59,17 +60,15 @@ def _merge(table: pa.Table) -> pa.Table:
 
 def frequent_chunks(texts: DataFrame) -> dict[bytes, int]:
     """The most common chunks of column ``text`` with counts that are too low by a bounded part at most."""
-    from offerweave.llm.shared import stored
-
-    summaries = stored(texts.mapInArrow(_summarise, "summary binary").withColumn("task", F.spark_partition_id()), "summaries")
-    tasks = (summaries.agg(F.max("task")).first()[0] or 0) + 1
-    while tasks > 1:
-        merged = summaries.groupBy(F.floor(F.col("task") / MERGED).alias("task"))
-        # the group's key is not part of what a one-argument function returns: number the groups anew
-        summaries = stored(merged.applyInArrow(_merge_keyed, "summary binary, task long"), "summaries")
-        tasks = -(-tasks // MERGED)
-    rows = summaries.limit(1).collect()
-    return dict(Counter(pickle.loads(rows[0]["summary"])).most_common(FREQUENT)) if rows else {}
+    with Scratch(texts.sparkSession) as scratch:
+        summaries = scratch.stored(texts.mapInArrow(_summarise, "summary binary").withColumn("task", F.spark_partition_id().cast("long")), "summaries")
+        tasks = (summaries.agg(F.max("task")).first()[0] or 0) + 1
+        while tasks > 1:
+            groups = summaries.groupBy(F.floor(F.col("task") / MERGED).alias("task"))
+            summaries = scratch.stored(groups.applyInArrow(_merge_keyed, "summary binary, task long"), "summaries")
+            tasks = -(-tasks // MERGED)
+        rows = summaries.limit(1).collect()
+    return pickle.loads(rows[0]["summary"]) if rows else {}
 
 
 def _merge_keyed(key: tuple, table: pa.Table) -> pa.Table:
