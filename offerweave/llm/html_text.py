@@ -116,6 +116,8 @@ class TreeBuilder(HTMLParser):
 def tree(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
+    if re.match(r"<[a-zA-Z/!?]", builder.rawdata):  # a tag or comment that the page's end cuts off
+        builder.rawdata = ""
     builder.close()
     return builder.root
 
