@@ -64,7 +64,7 @@ def frequent_chunks(texts: DataFrame) -> dict[bytes, int]:
         summaries = scratch.stored(texts.mapInArrow(_summarise, "summary binary").withColumn("task", F.spark_partition_id().cast("long")), "summaries")
         tasks = (summaries.agg(F.max("task")).first()[0] or 0) + 1
         while tasks > 1:
-            groups = summaries.groupBy(F.floor(F.col("task") / MERGED).alias("task"))
+            groups = summaries.select(F.floor(F.col("task") / MERGED).alias("task"), "summary").groupBy("task")
             summaries = scratch.stored(groups.applyInArrow(_merge_keyed, "summary binary, task long"), "summaries")
             tasks = -(-tasks // MERGED)
         rows = summaries.limit(1).collect()
