@@ -77,13 +77,16 @@ def _unescape(rows: pd.Series) -> pd.Series:
     return rows.map(decode)
 
 
+_unescape_in_place = F.pandas_udf(_unescape.func, T.ArrayType(T.StringType())).asNondeterministic()
+
+
 def let(value: Column, use) -> Column:
     """``use`` of a value that is computed once, however often it is referred to."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def clean_stage(
-    df: DataFrame, cols: Mapping[str, Column], again: Sequence[str] = ()
+    df: DataFrame, cols: Mapping[str, Column], again: Sequence[str] = (), barrier: bool = False
 ) -> DataFrame:
     """Add cleaned text columns: entities decoded, whitespace collapsed, null as ''.
 
@@ -97,7 +100,9 @@ def clean_stage(
     for r in raw:
         has_entity = has_entity | F.col(r).contains("&")
     df = df.withColumns(raw)
-    df = df.withColumn("__ent", _unescape(F.when(has_entity, F.array(*gated))))
+    # as a barrier the stage counts as non-deterministic, which keeps the optimizer from moving filters below it
+    decode = _unescape_in_place if barrier else _unescape
+    df = df.withColumn("__ent", decode(F.when(has_entity, F.array(*gated))))
     out = {}
     for i, n in enumerate(names):
         plain = F.col(f"__raw{i}")
@@ -260,11 +265,15 @@ def keyword_hits(folded: Column, words: Sequence[str]) -> Column:
     """
     one_word = [w for w in words if " " not in w]
     phrases = [w for w in words if " " in w]
-    padded = _bounded(folded)
-    total = F.lit(0)
-    if one_word:
-        tokens = F.split(padded, " ")
-        total = total + F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in one_word])))
-    for p in phrases:
-        total = total + padded.contains(f" {p} ").cast("int")
-    return total
+
+    def count(padded: Column) -> Column:
+        total = F.lit(0)
+        if one_word:
+            tokens = F.split(padded, " ")
+            total = total + F.size(F.array_intersect(tokens, F.array(*[F.lit(w) for w in one_word])))
+        for p in phrases:
+            total = total + padded.contains(f" {p} ").cast("int")
+        return total
+
+    # bound once: a filter that is pushed below this column would else repeat the text for every phrase
+    return let(_bounded(folded), count)

@@ -41,9 +41,12 @@ def cleaned(df: DataFrame) -> DataFrame:
     words = [F.col(n) for n in JOB_WORDS if n in df.columns]
     cols["c_job_words"] = F.concat_ws(" ", *words) if words else F.lit("")
     out = text.clean_stage(df, cols, [f"c_{n}" for n in AGAIN])
-    out = out.withColumn("__parts", text.split_parts(F.col("c_skills_text")))
-    out = text.clean_stage(out, {"__parts_clean": F.col("__parts")})
-    return out.withColumns({f"f_{n}": text.fold(F.col(f"c_{n}__re")) for n in AGAIN})
+    folded = {f"f_{n}": text.fold(F.col(f"c_{n}__re")) for n in AGAIN}
+    folded["f_scope"] = text.fold(F.concat_ws(" ", "c_title__re", "c_job_words__re"))
+    folded["f_skills_text"] = text.fold(F.col("c_skills_text"))
+    out = out.withColumns({**folded, "__parts": text.split_parts(F.col("c_skills_text"))})
+    # the second stage comes after folding: nothing is pushed or folded into one expression across it
+    return text.clean_stage(out, {"__parts_clean": F.col("__parts")}, barrier=True)
 
 
 def normalized(df: DataFrame, as_of: datetime) -> DataFrame:

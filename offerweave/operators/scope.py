@@ -14,9 +14,8 @@ LONG_DESCRIPTION = 250
 def evaluated(df: DataFrame) -> DataFrame:
     """Adds hits, scope_score, scope_reasons, in_scope and filter_status to raw or cleaned offers."""
     out = df if "f_title" in df.columns else cleaned(df)
-    title = text.fold(F.concat_ws(" ", F.col("c_title__re"), F.col("c_job_words__re")))
-    out = out.withColumn("scope_title", title)
-    out = out.withColumn("scope_long", F.trim(F.concat_ws(" ", "scope_title", F.nullif(F.col("f_description"), F.lit("")), F.nullif(text.fold(F.col("c_skills_text")), F.lit("")))))
+    out = out.withColumn("scope_title", F.col("f_scope"))
+    out = out.withColumn("scope_long", F.trim(F.concat_ws(" ", "scope_title", F.nullif(F.col("f_description"), F.lit("")), F.nullif(F.col("f_skills_text"), F.lit("")))))
     out = out.withColumns({
         "role_title": text.keyword_hits(F.col("scope_title"), vocab.ROLE_KEYWORDS),
         "focus_title": text.keyword_hits(F.col("scope_title"), vocab.FOCUS_KEYWORDS),

@@ -89,10 +89,11 @@ def test_random_rows_on_several_partitions(spark):
 
 
 def test_final_dataset_merges_whole_groups(spark, sf_dir):
+    from offerweave.operators import scope
     from offerweave.plans import catalogue
 
     out = catalogue.final_dataset(spark, sf_dir)
     total = out.agg(F.sum("duplicate_count").alias("n"), F.count("*").alias("k"), F.count_distinct("leader_ord").alias("d")).first()
-    kept = catalogue.scope_filter(spark, sf_dir).where("filter_status = 'kept_offer'").count()
+    kept = scope.kept(catalogue.offers(spark, sf_dir)).count()
     assert total["n"] == kept
     assert total["k"] == total["d"] < kept
