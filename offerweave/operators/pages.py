@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from offerweave.functions import vocab
+
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
 
 
@@ -62,7 +64,7 @@ def offer_cards(pages: DataFrame, base: str) -> DataFrame:
     rest = F.slice("meta", 4, 1000)
     first = lambda keep: F.coalesce(F.get(F.filter(rest, keep), F.lit(0)), F.lit(""))
     is_pay, is_size = (lambda x: x.contains("Salaire")), (lambda x: x.contains("collaborateur"))
-    out = out.where(F.col("href").rlike(r"(?i)\A/fr/companies/[^/]+/jobs/[^/?#]+/?\n?\z")).withColumns({
+    out = out.where(F.col("href").rlike(vocab.OFFER_HREF_PATTERN)).withColumns({
         "external_id": F.when(F.col("object_id") != "", F.col("object_id")).otherwise(F.regexp_extract(F.rtrim(F.col("href"), F.lit("/")), r"([^/]+)\z", 1)),
         "url": F.concat(F.lit(base), F.col("href")),
         "contract_type": F.coalesce(F.get("meta", F.lit(0)), F.lit("")),

@@ -59,6 +59,15 @@ def report(df: DataFrame) -> DataFrame:
     return evaluated(df).groupBy("source", "filter_status").agg(F.count("*").alias("offers"))
 
 
+def selected(only: tuple[str, ...] = (), skip: tuple[str, ...] = ()) -> tuple[str, ...]:
+    """Source names to collect, in their fixed order; ValueError if none is left or a name is unknown."""
+    unknown = {*only, *skip} - {*vocab.COLLECT_SOURCES}
+    left = tuple(s for s in vocab.COLLECT_SOURCES if (not only or s in only) and s not in skip)
+    if unknown or not left:
+        raise ValueError(f"unknown sources {sorted(unknown)}" if unknown else "no source is selected")
+    return left
+
+
 def volumes(df: DataFrame, sources: tuple[str, ...]) -> DataFrame:
     """Rows per selected source, those without rows as 0, and the total as source 'total'."""
     spark = df.sparkSession

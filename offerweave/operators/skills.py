@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerweave.functions import vocab
+
 FRANCE_WORDS = ("france", "paris")
 
 
@@ -38,7 +40,7 @@ def aggregate_records(rows: DataFrame) -> DataFrame:
     number = F.coalesce(F.nullif(F.col("count"), F.lit("")), F.nullif(F.col("nb"), F.lit("")))
     complete = rows.where((F.trim("competence") != "") & (F.trim("region") != "") & number.isNotNull())
     return complete.select(
-        F.lit("hive_aggregates").alias("source"),
+        F.lit(vocab.AGGREGATE_SOURCE).alias("source"),
         F.trim("competence").alias("competence"),
         F.trim("region").alias("region"),
         F.coalesce(F.when(number.rlike(r"\A\s*[+-]?\d+\s*\z"), number.try_cast("int")), F.lit(0)).alias("count"),

@@ -71,7 +71,7 @@ def aggregate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def volumes_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scope.volumes(offers(spark, sf_dir), SELECTED)
+    return scope.volumes(offers(spark, sf_dir), scope.selected(only=SELECTED))
 
 
 @query
