@@ -80,7 +80,7 @@ class Bpe:
                 self.longest.add_word(token.decode("latin-1"), (len(token) - 1, k))
         self.longest.make_automaton()
         self.single = [of[bytes([b])] for b in range(256)]
-        # the longest token that starts a token
+        # the longest shorter token that a token begins with
         self.shorter = {k: next((of[t[:n]] for n in range(len(t) - 1, 0, -1) if t[:n] in of), -1) for t, k in of.items()}
         self.pairs: dict[int, bool] = {}
         self.never = frozenset(k for k in of.values() if not self._reached(k))

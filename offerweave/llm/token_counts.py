@@ -41,7 +41,8 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in slices(batches, "text"):
         data, at = buffers(batch.column(0))
-        counts.update(data[at[0] : at[-1]].tobytes().split() if batch.num_rows == 1 else b" ".join(data[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)).split())
+        for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            counts.update(data[x:y].tobytes().split())
         if len(counts) > 2 * SUMMARY:
             counts = _shrink(counts, SUMMARY)
     yield _row(_shrink(counts, FREQUENT))
