@@ -134,7 +134,8 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_last_number(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages.last_page(bridge.table(spark, sf_dir, "pages"), vocab.PAGE_NUMBER_PATTERN)
+    """-1 where a page has no number."""
+    return pages.last_page(bridge.table(spark, sf_dir, "pages"), vocab.PAGE_NUMBER_PATTERN).fillna(-1, ["last_page"])
 
 
 @query
@@ -283,7 +284,8 @@ def dedup_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dedup_first_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.first_matches(_judged(spark, sf_dir))
+    """-1 where no rule links an offer with an earlier one."""
+    return dedup.first_matches(_judged(spark, sf_dir)).fillna(-1, ["first_ord"])
 
 
 @query

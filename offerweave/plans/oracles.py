@@ -200,8 +200,8 @@ ORACLES: dict[str, str] = {
         " SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first_at) - 1 AS INTEGER) AS position, href FROM r"
     ),
     "page_last_number": (
-        r"""SELECT page_id, list_max(list_transform(list_concat([coalesce(url, '')], regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)),"""
-        r""" lambda x: TRY_CAST(nullif(regexp_extract(x, '[?&]page=(\d+)', 1), '') AS BIGINT))) AS last_page FROM pages"""
+        r"""SELECT page_id, coalesce(list_max(list_transform(list_concat([coalesce(url, '')], regexp_extract_all(coalesce(html, ''), '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1)),"""
+        r""" lambda x: TRY_CAST(nullif(regexp_extract(x, '[?&]page=(\d+)', 1), '') AS BIGINT))), -1) AS last_page FROM pages"""
     ),
     "page_cards": (
         r"""WITH h AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '(?is)<p[^>]*>(.*?)</p>', 1) AS l FROM pages), u AS (SELECT page_id, unnest(l) AS inner_html, generate_subscripts(l, 1) - 1 AS position FROM h)"""
@@ -235,7 +235,7 @@ ORACLES: dict[str, str] = {
         "FROM o WHERE source = 'region_ile_de_france') a) b"
     ),
     "adzuna_status": offers(
-        "SELECT status, count(*) AS offers, sum(predicted) AS predicted FROM (SELECT CASE WHEN salary_min = '' AND salary_max = '' THEN 'no_salary' WHEN ord % 2 = 0 THEN 'predicted' WHEN external_id = '' THEN 'no_id' ELSE 'kept' END AS status, "
+        "SELECT status, count(*) AS offers, CAST(sum(predicted) AS BIGINT) AS predicted FROM (SELECT CASE WHEN salary_min = '' AND salary_max = '' THEN 'no_salary' WHEN ord % 2 = 0 THEN 'predicted' WHEN external_id = '' THEN 'no_id' ELSE 'kept' END AS status, "
         "CASE WHEN ord % 2 = 0 THEN 1 ELSE 0 END AS predicted FROM o) x GROUP BY status"
     ),
     "map_adzuna": offers(
@@ -267,7 +267,7 @@ ORACLES: dict[str, str] = {
         SIGNED,
     ),
     "dedup_first_matches": offers(
-        "SELECT n.ord, f.first_ord FROM n LEFT JOIN (SELECT a.ord, arg_min(r2.ord, m.first) AS first_ord FROM a JOIN m USING (key) JOIN ranked r2 ON r2.r = m.first WHERE m.first < a.r GROUP BY a.ord) f ON f.ord = n.ord",
+        "SELECT n.ord, coalesce(f.first_ord, -1) AS first_ord FROM n LEFT JOIN (SELECT a.ord, arg_min(r2.ord, m.first) AS first_ord FROM a JOIN m USING (key) JOIN ranked r2 ON r2.r = m.first WHERE m.first < a.r GROUP BY a.ord) f ON f.ord = n.ord",
         CLEANED,
         *PAID,
         *SKILL_LIST,
