@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; where it is unset (tests, one machine) a folder of our own."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir is unset: a cluster must name a shared folder")
-    if app not in _own:
-        _own[app] = "file://" + tempfile.mkdtemp(prefix="offerweave-")
-    return _own[app]
+from offerweave.operators.tables import shared_dir
 
 
 def new_path(spark: SparkSession, name: str) -> str:
