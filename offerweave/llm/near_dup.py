@@ -35,6 +35,7 @@ KEYS = 16  # retained values that are inverted
 LEAST_SHARED = 0.5  # part of the union sketch: 4.6 standard deviations below 0.75 at k = 64
 SHORT_LIST = 64
 BLOCK = 4096
+SIDE = 1024  # rows of a block that are compared with as many at once
 
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -133,7 +134,7 @@ def _compare_blocks(key: tuple, table: pa.Table) -> pa.Table:
             m[k, np.searchsorted(values, sketch[r][np.isin(sketch[r], values, assume_unique=True)])] = 1
         return m
 
-    step = max(1, (8 << 20) // max(1, len(values)))
+    step = max(1, min(SIDE, (8 << 20) // max(1, len(values))))
     for r0 in range(0, len(right), step):
         rows = right[r0 : r0 + step]
         there = incidence(rows)
