@@ -26,7 +26,7 @@ from offerweave.llm.words import buffers, mix, slices, windows, word_table
 
 WINDOW = 35
 MINIMISER = 6
-BUCKET_BYTES = 5 << 20  # of input text; packed strings are about three times that
+BUCKET_BYTES = 3 << 20  # of input text; packed strings are about three times that
 LEAST_BUCKETS = 16
 NO_ID = -(1 << 63)
 
@@ -65,7 +65,7 @@ def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
 
 def _pack(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=5)
         for batch in slices(batches, "text"):
             ids, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             data, at = buffers(batch.column(2))
