@@ -25,6 +25,7 @@ from offerweave.llm.shared import Scratch, stored
 
 SLOT_DIGITS = 3
 SLOTS = 16**SLOT_DIGITS
+SALTS = 16
 WORD = r"[^\x20\x09-\x0D]+"
 _WIDE = "decimal(38,0)"
 
@@ -111,7 +112,7 @@ def plan(docs: DataFrame, mix: Mixture) -> tuple[DataFrame, DataFrame]:
         epochs = F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(0)
         budgets = budgets.withColumn("epochs", epochs).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
         budgets = scratch.stored(budgets, "budgets")
-        slots = slim.join(budgets, list(LEVELS)).where("rest > 0").withColumn("slot", F.substring(_order(mix.seed, F.col("epochs")), 1, SLOT_DIGITS))
+        slots = _with_plan(slim, budgets).where("rest > 0").withColumn("slot", F.substring(_order(mix.seed, F.col("epochs")), 1, SLOT_DIGITS))
         slots = slots.groupBy(*LEVELS, "slot").agg(F.sum("n_tokens").alias("slot_tokens"), F.first("rest").alias("rest"))
         before = F.sum("slot_tokens").over(Window.partitionBy(*LEVELS).orderBy("slot")) - F.col("slot_tokens")
         ends = slots.withColumn("before", before).where("before < rest").groupBy(*LEVELS).agg(F.max(F.struct("slot", "before")).alias("end"))
@@ -119,9 +120,16 @@ def plan(docs: DataFrame, mix: Mixture) -> tuple[DataFrame, DataFrame]:
         return slim, stored(table, "plan")
 
 
+def _with_plan(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Rows with their leaf's columns; each leaf is joined in ``SALTS`` parts, as one may hold a third of all rows."""
+    parts = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(SALTS)).cast("int"))
+    return salted.join(parts, [*LEVELS, "__salt"]).drop("__salt")
+
+
 def _selected(rows: DataFrame, table: DataFrame, mix: Mixture, tie: Column) -> DataFrame:
     """``rows`` (with the levels, doc_id and n_tokens) once for each epoch they are chosen in, with ``epoch``."""
-    keyed = rows.join(table.drop("tokens", "budget"), list(LEVELS)).withColumn("__at", _order(mix.seed, F.col("epochs"))).withColumn("__tie", tie)
+    keyed = _with_plan(rows, table.drop("tokens", "budget")).withColumn("__at", _order(mix.seed, F.col("epochs"))).withColumn("__tie", tie)
     slot = F.substring("__at", 1, SLOT_DIGITS)
     sure = keyed.where(F.col("end_slot").isNull() | (slot != F.col("end_slot")))
     sure = sure.withColumn("__n", F.col("epochs") + F.coalesce(slot < F.col("end_slot"), F.lit(False)).cast("int"))
