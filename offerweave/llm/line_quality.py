@@ -2,10 +2,11 @@
 
 Every line is normalised (A-Z to a-z, runs of white space to one space, ends trimmed) and hashed. A line is *above
 the limit* in a host if at least ``LEAST_DOCUMENTS`` distinct documents of the host have it and these are more than
-``SHARE`` of the host's rows. So that a text copied many times, exactly or nearly, does not turn its own lines into
-boilerplate, documents count as distinct only by their smallest 5-word-shingle hash: exact copies agree on it
-always, near copies of similarity s with probability s. Lines above the limit are removed; a document that keeps
-less than ``LEAST_LEFT`` of its words is depleted and rejected, as are those that fail the base rules.
+``SHARE`` of the host's distinct documents. Documents are distinct by a digest of their whole text, so that a text
+copied many times does not turn its own lines into boilerplate; texts that differ anywhere, near copies too, are
+documents of their own, since pages that are little but a common line are near copies of each other. Lines above the
+limit are removed; a document that keeps less than ``LEAST_LEFT`` of its words is depleted and rejected, as are those
+that fail the base rules.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.near_dup import shingle_sets
 from offerweave.llm.shared import stored
 from offerweave.llm.words import SPACE, buffers, slices, windows, word_table
 
@@ -73,7 +73,6 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, h, first = word_table(data, at)
         n_words = np.diff(first)
         repeated = np.fromiter((repeated_words(h[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)), np.int64, len(n_words))
-        sign = [int(s[0].view(np.int64)) if len(s) else 0 for s in shingle_sets(column)]
         dup, size, hashes, words = [], [], [], []
         for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
             lines = [x for x in data[a:b].tobytes().split(b"\n") if x.strip()]
@@ -87,7 +86,6 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = pa.array(np.cumsum([0, *size]), pa.int32())
         failed = (n_words < LEAST_WORDS) | (MOST_REPEATED[1] * repeated > MOST_REPEATED[0] * n_words)
         made = {
-            "__sign": pa.array(sign, pa.int64()),
             "n_words": pa.array(n_words),
             "word_chars": pa.array(_sums(_CHARACTER, data, at)),
             "n_symbols": pa.array(_sums(_SYMBOL, data, at)),
@@ -102,7 +100,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _MADE = (
-    "__sign long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "base_failed boolean, __lines array<long>, __words array<long>"
 )
 
@@ -125,15 +123,15 @@ def _marked(docs: DataFrame) -> DataFrame:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     made = rows.mapInArrow(_measure, f"{schema}, {_MADE}").withColumn("__row", F.monotonically_increasing_id())
     made = stored(made, "measured")  # row numbers stay as they are written
-    lines = made.select("__row", "__host", "__sign", F.explode(F.arrays_zip("__lines", "__words")).alias("l"))
-    lines = lines.select("__row", "__host", "__sign", F.col("l.__lines").alias("line"), F.col("l.__words").alias("words"))
-    counts = lines.groupBy("__host", "line").agg(F.count_distinct("__sign").alias("documents")).where(F.col("documents") >= LEAST_DOCUMENTS)
-    hosts = made.groupBy("__host").agg(F.count("*").alias("rows"))
-    above = counts.join(hosts, "__host").where(SHARE[1] * F.col("documents") > SHARE[0] * F.col("rows")).select("__host", "line")
+    lines = made.select("__row", "__host", "__hash", F.explode(F.arrays_zip("__lines", "__words")).alias("l"))
+    lines = lines.select("__row", "__host", "__hash", F.col("l.__lines").alias("line"), F.col("l.__words").alias("words"))
+    counts = lines.groupBy("__host", "line").agg(F.count_distinct("__hash").alias("documents")).where(F.col("documents") >= LEAST_DOCUMENTS)
+    hosts = made.groupBy("__host").agg(F.count_distinct("__hash").alias("texts"))
+    above = counts.join(hosts, "__host").where(SHARE[1] * F.col("documents") > SHARE[0] * F.col("texts")).select("__host", "line")
     above = above.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = lines.withColumn("salt", F.pmod("__row", F.lit(SALTS)).cast("int"))
     removed = salted.join(above, ["__host", "line", "salt"]).groupBy("__row").agg(F.sum("words").alias("n_removed_words"), F.collect_list("line").alias("__gone"))
-    met = made.drop("__lines", "__words", "__sign").join(removed, "__row", "left")
+    met = made.drop("__lines", "__words").join(removed, "__row", "left")
     met = met.withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0)))
     left = F.col("n_words") - F.col("n_removed_words")
     depleted = LEAST_LEFT[1] * left < LEAST_LEFT[0] * F.col("n_words")

@@ -207,6 +207,21 @@ def test_frequent_lines_go_and_depleted_documents_with_them(spark):
     assert all(out[k]["text"] == texts[k] for k in range(30, 40))
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_all_carriers_of_a_line_are_depleted(spark, seed):
+    """30 of 100 documents are a 190-word line and 10 words of their own; 50 copies of one text are one document."""
+    draw = random.Random(seed)
+    prose = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    menu = prose(190)
+    texts = [menu + "\n" + prose(10) for _ in range(30)] + [prose(60) + "\n" + prose(60) for _ in range(70)] + [prose(30) + "\n" + prose(30)] * 50
+    got = {r["doc_id"]: r for r in line_quality.quality_report(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()}
+    assert [got[k]["depleted"] for k in range(150)] == [True] * 30 + [False] * 120
+    # with few other texts besides, copies don't hide the line by filling up the host
+    texts = texts[:30] + texts[30:40] + texts[100:101] * 300
+    got = {r["doc_id"]: r for r in line_quality.quality_report(spark.createDataFrame(rows_of(texts), SCHEMA)).collect()}
+    assert [got[k]["depleted"] for k in range(340)] == [True] * 30 + [False] * 310
+
+
 # --- op4 ---------------------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize(
     ("html", "text"),
