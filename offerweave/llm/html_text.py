@@ -1,7 +1,7 @@
 """HTML to text by layout: a tree with implied tags, visibility rules, block spacing, lists and aligned tables.
 
-The tree builder closes what HTML lets authors leave open (paragraphs before blocks, list items, table rows and
-cells, options, definition terms), ignores end tags without a start, and adds missing rows. The renderer drops what
+The tree builder closes what HTML lets authors leave open (the head before what can't stand in it, paragraphs before
+blocks, list items, table rows and cells, options, definition terms), ignores end tags without a start, and adds missing rows. The renderer drops what
 a browser doesn't show (head, scripts, styles, templates, the hidden attribute, ``display:none``,
 ``visibility:hidden``, closed details except their summary, form state) and emits all other text: inline text with
 white space collapsed across tags, blocks on lines of their own with a blank line where browsers leave a margin,
@@ -27,6 +27,7 @@ UNSEEN = frozenset("head title script style template noscript iframe object audi
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre figure table menu fieldset".split())
 BLOCKS = SPACED | frozenset("html body div section article aside header footer nav main address hgroup form li dt dd figcaption details summary legend center tr thead tbody tfoot caption option optgroup search dialog".split())
 CLOSES_P = (BLOCKS - frozenset("html body li dt dd tr thead tbody tfoot caption option optgroup summary legend figcaption".split())) | {"hr"}
+IN_HEAD = frozenset("title meta link script style base template noscript noframes".split())
 ROW_GROUPS = frozenset(("thead", "tbody", "tfoot"))
 CELLS = frozenset(("td", "th"))
 # an opening tag closes these open elements, unless one of the second kind lies between
@@ -76,7 +77,9 @@ class TreeBuilder(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag == "html":
             return
-        if tag == "body":  # a head left open ends here
+        if tag not in IN_HEAD:
+            self._end_head()
+        if tag == "body":  # a head ends here with all that is open in it
             self._close({"head"}, set())
         elif tag in CLOSES_P:
             self._close({"p"}, SCOPES)
@@ -93,11 +96,17 @@ class TreeBuilder(HTMLParser):
         if not void and len(self.open) < DEEPEST:
             self.open.append(node)
 
+    def _end_head(self) -> None:
+        """What comes next can't stand in a head: one left open ends before it."""
+        if self.open[-1].tag == "head":
+            self.open.pop()
+
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # in HTML the slash means nothing
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
+            self._end_head()
             self._add(Node("br", {}), True)
             return
         for k in range(len(self.open) - 1, 0, -1):
@@ -110,6 +119,8 @@ class TreeBuilder(HTMLParser):
             self.open[-1].children.append(Node("p", {}))
 
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
         self.open[-1].children.append(data)
 
 

@@ -247,6 +247,21 @@ def test_layout(html, text):
     assert html_text.html_to_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("<html><head><title>T</title><p>All the text<p>and more", "All the text\n\nand more"),
+        ("<head>\n<meta charset=utf-8><link rel=x><title>T</title>\n loose <b>text</b>", "loose text"),
+        ("<head><title>T</title></br>after", "\nafter"),
+        ("<head><title>T</title><style>p {}</style><noscript><p>no</p></noscript><script>no()</script><div>a</div><title>no</title>b", "a\nb"),
+        ("<head><title>T</title><body><p>a", "a"),
+        ("<p>a</p><head>b<p>c", "a\n\nb\n\nc"),
+    ],
+)
+def test_a_head_left_open_ends_before_the_text(html, text):
+    assert html_text.html_to_text(html) == text
+
+
 @given(st.text(alphabet="<>/abtrdliulpe \"='&;\n-!"))
 @settings(max_examples=200, deadline=None)
 def test_any_markup_is_rendered(html):
