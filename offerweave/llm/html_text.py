@@ -3,9 +3,10 @@
 The tree builder closes what HTML lets authors leave open (the head before what can't stand in it, paragraphs before
 blocks, list items, table rows and cells, options, definition terms), ignores end tags without a start, and adds missing rows. The renderer drops what
 a browser doesn't show (head, scripts, styles, templates, the hidden attribute, ``display:none``,
-``visibility:hidden``, closed details except their summary, form state) and emits all other text: inline text with
-white space collapsed across tags, blocks on lines of their own with a blank line where browsers leave a margin,
-``pre`` as it is, list items with their marker and indent, and table cells padded to the width of their column.
+``visibility:hidden``, closed details except their summary, input fields, fallback content) and emits all other text:
+inline text with white space collapsed across tags, blocks on lines of their own with a blank line where browsers
+leave a margin, ``pre`` as it is, list items with their marker and indent, and table cells padded to the width of
+their column. Formulas, the text of drawings, text areas and the options that a select shows are inline text.
 """
 
 from __future__ import annotations
@@ -23,10 +24,16 @@ from offerweave.llm.words import slices
 
 # fixed values: elements by how HTML treats them
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNSEEN = frozenset("head title script style template noscript iframe object audio video canvas svg math datalist select textarea input meta link base area map".split())
+UNSEEN = frozenset("head title script style template noscript iframe object audio video canvas datalist input meta link base area map".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre figure table menu fieldset".split())
 BLOCKS = SPACED | frozenset("html body div section article aside header footer nav main address hgroup form li dt dd figcaption details summary legend center tr thead tbody tfoot caption option optgroup search dialog".split())
 CLOSES_P = (BLOCKS - frozenset("html body li dt dd tr thead tbody tfoot caption option optgroup summary legend figcaption".split())) | {"hr"}
+# SVG and MathML: what they never show, elements whose content is HTML, and HTML elements that end them
+FOREIGN = frozenset(("svg", "math"))
+FOREIGN_UNSEEN = frozenset("desc defs metadata symbol clippath mask marker pattern lineargradient radialgradient filter annotation annotation-xml mphantom".split())
+HTML_INSIDE = frozenset("foreignobject desc title mi mo mn ms mtext".split())
+BREAKS_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+EMBEDDED = FOREIGN | {"select", "textarea"}
 IN_HEAD = frozenset("title meta link script style base template noscript noframes".split())
 ROW_GROUPS = frozenset(("thead", "tbody", "tfoot"))
 CELLS = frozenset(("td", "th"))
@@ -51,10 +58,11 @@ _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "foreign", "holds_foreign", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str | None]) -> None:
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.foreign = self.holds_foreign = False  # is SVG or MathML; and so is what it holds
 
 
 class TreeBuilder(HTMLParser):
@@ -75,8 +83,21 @@ class TreeBuilder(HTMLParser):
             del self.open[found:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._start(tag, attrs, False)
+
+    def _start(self, tag: str, attrs: list[tuple[str, str | None]], closed: bool) -> None:
+        if self.open[-1].tag == "textarea":  # holds text only
+            self.handle_data(self.get_starttag_text() or "")
+            return
         if tag == "html":
             return
+        if self.open[-1].holds_foreign and (tag in BREAKS_OUT or tag == "font" and any(a in ("color", "face", "size") for a, _ in attrs)):
+            while self.open[-1].holds_foreign:
+                self.open.pop()
+        if tag in FOREIGN or self.open[-1].holds_foreign:
+            self._end_head()
+            self._add(Node(tag, dict(attrs)), closed or tag in VOID)
+            return
         if tag not in IN_HEAD:
             self._end_head()
         if tag == "body":  # a head ends here with all that is open in it
@@ -93,6 +114,10 @@ class TreeBuilder(HTMLParser):
 
     def _add(self, node: Node, void: bool = False) -> None:
         self.open[-1].children.append(node)
+        if node.tag in FOREIGN or self.open[-1].holds_foreign:
+            node.foreign = True
+            as_html = node.tag == "annotation-xml" and (node.attrs.get("encoding") or "").lower() in ("text/html", "application/xhtml+xml")
+            node.holds_foreign = node.tag not in HTML_INSIDE and not as_html
         if not void and len(self.open) < DEEPEST:
             self.open.append(node)
 
@@ -102,9 +127,12 @@ class TreeBuilder(HTMLParser):
             self.open.pop()
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.handle_starttag(tag, attrs)  # in HTML the slash means nothing
+        self._start(tag, attrs, True)  # in HTML the slash means nothing, in SVG and MathML it ends the element
 
     def handle_endtag(self, tag: str) -> None:
+        if self.open[-1].tag == "textarea" != tag:
+            self.handle_data(f"</{tag}>")
+            return
         if tag == "br":
             self._end_head()
             self._add(Node("br", {}), True)
@@ -118,6 +146,10 @@ class TreeBuilder(HTMLParser):
         if tag == "p":
             self.open[-1].children.append(Node("p", {}))
 
+    def handle_comment(self, data: str) -> None:
+        if self.open[-1].tag == "textarea":
+            self.handle_data(f"<!--{data}-->")
+
     def handle_data(self, data: str) -> None:
         if data.strip(" \t\n\r\f"):
             self._end_head()
@@ -135,6 +167,8 @@ def tree(html: str) -> Node:
 
 def visible(node: Node) -> bool:
     attrs = node.attrs
+    if node.foreign and (node.tag in FOREIGN_UNSEEN or attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse")):
+        return False
     return node.tag not in UNSEEN and "hidden" not in attrs and not _HIDDEN.search(attrs.get("style") or "")
 
 
@@ -254,7 +288,7 @@ def _list(node: Node, out: Lines, nested: bool) -> None:
             continue
         if not visible(x):
             continue
-        body = render(x)
+        body = _alone(x) if x.tag in EMBEDDED else render(x)
         if x.tag == "li":
             marker = f"{number}. " if node.tag == "ol" else "- "
             number += 1
@@ -286,6 +320,32 @@ def _flow(x: Node, out: Lines, nested: bool = False) -> None:
     elif tag == "blockquote" or tag == "dd":
         inner = render(x)
         out.block([" " * INDENT + line if line else "" for line in inner], 1 if tag == "blockquote" else 0)
+    elif tag == "select":
+        out.text(" " + " ".join(_shown_options(x)) + " ")
+    elif tag == "textarea":
+        out.text(" ")
+        text = "".join(y for y in x.children if isinstance(y, str)).replace("\r\n", "\n").strip("\n")
+        for k, line in enumerate(text.split("\n")):
+            if k:
+                out.break_line()
+            out.text(line)
+        out.text(" ")
+    elif x.foreign and tag == "svg":
+        _drawing(x, out)
+    elif x.foreign and tag == "math" and x.attrs.get("display") == "block":
+        out.end()
+        _inside(x, out)
+        out.end()
+    elif x.foreign and tag == "mfrac":
+        for y in x.children:
+            out.text(" ")
+            if isinstance(y, Node):
+                _flow(y, out)
+        out.text(" ")
+    elif x.foreign and (tag in ("mtr", "mlabeledtr", "mtd") or tag == "tspan" and ("x" in x.attrs or "y" in x.attrs)):
+        out.text(" ")
+        _inside(x, out)
+        out.text(" ")
     elif tag in CELLS:  # a cell outside any table
         out.text(" ")
         _inside(x, out)
@@ -305,8 +365,53 @@ def _flow(x: Node, out: Lines, nested: bool = False) -> None:
         _inside(x, out)
 
 
+def _drawing(node: Node, out: Lines) -> None:
+    """Only text elements and embedded HTML show their text; each has its own place."""
+    for x in node.children:
+        if isinstance(x, str) or not visible(x):
+            continue
+        if x.tag in ("text", "foreignobject"):
+            out.text(" ")
+            _inside(x, out)
+            out.text(" ")
+        else:
+            _drawing(x, out)
+
+
+def _options(node: Node, disabled: bool, seen: bool) -> Iterator[tuple[Node, bool, bool]]:
+    """Options and groups of a select: node, is disabled, is visible in a list."""
+    for x in node.children:
+        if isinstance(x, Node):
+            own = disabled or x.tag in ("option", "optgroup") and "disabled" in x.attrs, seen and visible(x)
+            if x.tag in ("option", "optgroup"):
+                yield x, *own
+            if x.tag != "option":
+                yield from _options(x, *own)
+
+
+def _shown_options(node: Node) -> list[str]:
+    """All labels of a list box; of a drop-down the last selected option, or the first that is not disabled."""
+    size = node.attrs.get("size") or ""
+    found = list(_options(node, False, True))
+    if "multiple" in node.attrs or size.isdecimal() and int(size) > 1:
+        shown = [x for x, _, seen in found if seen]
+    else:
+        options = [(x, disabled) for x, disabled, _ in found if x.tag == "option"]
+        shown = [x for x, _ in options if "selected" in x.attrs][-1:] or [x for x, disabled in options if not disabled][:1]
+    return [" ".join(((x.attrs.get("label") or "") or (_plain(x) if x.tag == "option" else "")).split()) for x in shown]
+
+
+def _alone(x: Node) -> list[str]:
+    out = Lines()
+    _flow(x, out)
+    return out.finished()
+
+
 def _plain(node: Node) -> str:
-    return "".join(x if isinstance(x, str) else "\n" if x.tag == "br" else _plain(x) if visible(x) else "" for x in node.children)
+    return "".join(
+        x if isinstance(x, str) else "\n" if x.tag == "br" else "" if not visible(x) else "\n".join(_alone(x)) if x.tag in EMBEDDED else _plain(x)
+        for x in node.children
+    )
 
 
 def _inside(node: Node, out: Lines) -> None:

@@ -262,6 +262,28 @@ def test_a_head_left_open_ends_before_the_text(html, text):
     assert html_text.html_to_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn><mspace/></mrow><annotation>x = two</annotation></semantics></math> holds", "so x=2 holds"),
+        ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac><mphantom><mi>z</mi></mphantom></math>", "1 2"),
+        ("a<math><annotation-xml encoding='text/html'><p>no</p></annotation-xml><mtext>if <b>b</b></mtext></math>", "aif b"),
+        ("<svg><title>no</title><defs/><desc>no</desc><g>no<rect/><text>One <tspan>two</tspan></text><text>three</text></g><metadata>no</metadata></svg>!", "One two three !"),
+        ("<svg><defs><text>no</text></defs><foreignObject><p>yes</p></foreignObject><text display=none>no</text></svg>", "yes"),
+        ("<svg><path d=''><p>text after a drawing left open", "text after a drawing left open"),
+        ("<head><svg/><p>a", "a"),
+        ("say <textarea>\na <b>b</b> &amp;\nc</textarea><p>d", "say a <b>b</b> &\nc\n\nd"),
+        ("in <select><option>A<option selected>B<option>C</select> now", "in B now"),
+        ("in <select><option disabled>A<optgroup label=G><option>B</select>", "in B"),
+        ("in <select multiple><option>A<option hidden>B<optgroup label=G><option label=C>c</select>", "in A G C"),
+        ("<pre>a <select><option>A<option>B</select></pre><ul><select><option>A<option>B</select></ul>", "a A\n\nA"),
+        ("<filter>shown</filter> <desc>too</desc>", "shown too"),
+    ],
+)
+def test_formulas_drawings_and_form_values_are_shown(html, text):
+    assert html_text.html_to_text(html) == text
+
+
 @given(st.text(alphabet="<>/abtrdliulpe \"='&;\n-!"))
 @settings(max_examples=200, deadline=None)
 def test_any_markup_is_rendered(html):
