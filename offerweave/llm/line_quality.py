@@ -23,7 +23,7 @@ from offerweave.llm.shared import stored
 from offerweave.llm.words import SPACE, buffers, slices, windows, word_table
 
 LEAST_DOCUMENTS = 20
-SHARE = (1, 10)  # numerator and denominator
+SHARE = (1, 50)  # numerator and denominator
 LEAST_LEFT = (3, 10)
 LEAST_WORDS = 50
 MOST_REPEATED = (50, 100)

@@ -222,6 +222,17 @@ def test_all_carriers_of_a_line_are_depleted(spark, seed):
     assert [got[k]["depleted"] for k in range(340)] == [True] * 30 + [False] * 310
 
 
+def test_a_line_in_a_few_hundredths_of_a_host_goes(spark):
+    draw = random.Random(8)
+    prose = lambda n: " ".join("".join(draw.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    menu = prose(12)
+    # 30 of 1,000 documents of one host and 20 of 1,000 of the other: only the first is more than a fiftieth
+    texts = [prose(60) + "\n" + menu if k % 1000 < (30 if k < 1000 else 20) else prose(60) for k in range(2000)]
+    table = spark.createDataFrame(rows_of(texts, ["a"] * 1000 + ["b"] * 1000), SCHEMA)
+    gone = {r["doc_id"] for r in line_quality.quality_report(table).where("n_removed_words > 0").collect()}
+    assert gone == set(range(30))
+
+
 # --- op4 ---------------------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize(
     ("html", "text"),
