@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerweave.llm import bpe, graph_ann, html_text, line_quality, mixing, quality_model, substring_dedup, token_counts, token_records
+from offerweave.llm import bpe, graph_ann, html_text, importance, line_quality, mixing, quality_model, substring_dedup, token_counts, token_records
 from offerweave.llm.near_dup import near_duplicates
 
 WORD_BPE = "word_bpe_49k.json"
@@ -69,6 +69,10 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_sample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_graph_ann": op2_graph_ann,
@@ -80,7 +84,8 @@ QUERIES = {
     "op8_quality_model": op8_quality_model,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_importance": op11_importance,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIXTURE)}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIXTURE), "op11_importance": importance.oracle()}
