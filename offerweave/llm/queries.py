@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerweave.llm import bpe, graph_ann, html_text, importance, line_quality, mixing, quality_model, substring_dedup, token_counts, token_records
+from offerweave.llm import bpe, collocations, graph_ann, html_text, importance, line_quality, mixing, quality_model, substring_dedup, token_counts, token_records
 from offerweave.llm.near_dup import near_duplicates
 
 WORD_BPE = "word_bpe_49k.json"
@@ -73,6 +73,10 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance_sample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_graph_ann": op2_graph_ann,
@@ -85,7 +89,8 @@ QUERIES = {
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_importance": op11_importance,
+    "op12_collocations": op12_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIXTURE), "op11_importance": importance.oracle()}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.oracle(MIXTURE), "op11_importance": importance.oracle(), "op12_collocations": collocations.oracle()}
