@@ -6,7 +6,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from offerweave.llm import bpe, collocations, graph_ann, html_text, importance, line_quality, mixing, quality_model, substring_dedup, token_counts, token_records
+from offerweave.llm import bpe, collocations, graph_ann, html_text, importance, jaccard_join, line_quality, mixing, quality_model, substring_dedup, token_counts, token_records
 from offerweave.llm.near_dup import near_duplicates
 
 WORD_BPE = "word_bpe_49k.json"
@@ -77,6 +77,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_records": op1_token_records,
     "op2_graph_ann": op2_graph_ann,
@@ -90,6 +94,7 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_importance": op11_importance,
     "op12_collocations": op12_collocations,
+    "op13_jaccard_join": op13_jaccard_join,
     "pipeline": corpus_pipeline.run,
 }
 
