@@ -1,23 +1,22 @@
-"""Duplicate offers: block keys, equality classes, fuzzy pairs, leaders in preference order, and the merge.
+"""Duplicate offers: block keys, equality classes, similar texts, leaders in preference order, and the merge.
 
 Offers are taken in order of preference; each joins the first earlier leader that it matches, else becomes a leader.
 Matching looks at addresses, normalised texts, signatures, place and date only, so offers that agree in all of
-these (a *profile*) share their fate, and work is done once per profile. Equality rules are never written out as
-pairs: what agrees in a key is a class, and a round needs each class's first leader and first undecided
-profile only. A profile is settled as soon as nothing before it is open; rounds go on until all are.
+these (a *profile*) share their fate, and work is done once per profile. Ratios are found once per pair of distinct
+texts, by a similarity join; places and dates then say which profiles of two similar texts match. None of this is
+written out as pairs of profiles: what matches as a whole shares a *hub* (see ``leaders``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from difflib import SequenceMatcher
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.functions import vocab
-from offerweave.operators.tables import written
+from offerweave.functions import text, vocab
+from offerweave.operators import similar
+from offerweave.operators.leaders import assigned
+from offerweave.operators.similar import Near, ratio  # noqa: F401
+from offerweave.operators.tables import Workspace, written
 
 PROFILE = ("url_canonical", "title_normalized", "company_normalized", "title_signature", "company_signature", "location_signature", "published_date")
 
@@ -47,15 +46,24 @@ def block_keys() -> Column:
     )
 
 
+def _signed() -> tuple[Column, Column]:
+    """What texts are compared by: the signature, or the text where it has none."""
+    return tuple(F.coalesce(F.nullif(F.col(f"{c}_signature"), F.lit("")), F.col(f"{c}_normalized")) for c in ("title", "company"))
+
+
+def _class(name: str, last: str, meet: Column) -> Column:
+    title, company = _signed()
+    filled = (title != "") & (company != "") & (F.col(last) != "") & meet
+    return F.when(filled, F.concat(F.lit(f"{name}:"), F.concat_ws("|", title, company, last)))
+
+
 def class_keys() -> Column:
-    """Keys whose equality alone makes duplicates: the address, or both signatures with date or place."""
-    return F.array_compact(
-        F.array(
-            _key("url", "url_canonical"),
-            _key("date", "title_signature", "company_signature", "published_date"),
-            _key("place", "title_signature", "company_signature", "location_signature"),
-        )
-    )
+    """Keys whose equality alone makes duplicates: the address, or both signatures with date or place.
+
+    Offers are compared only within blocks, which ask for a signature: of the title for a place, of either for a date.
+    """
+    dated, placed = (F.col("title_signature") != "") | (F.col("company_signature") != ""), F.col("title_signature") != ""
+    return F.array_compact(F.array(_key("url", "url_canonical"), _class("date", "published_date", dated), _class("place", "location_signature", placed)))
 
 
 def first_matches(df: DataFrame) -> DataFrame:
@@ -66,136 +74,164 @@ def first_matches(df: DataFrame) -> DataFrame:
     return df.select("ord").join(met, "ord", "left").select("ord", F.col("first.ord").alias("first_ord"))
 
 
-def ratio(a: str, b: str) -> float:
-    """Matching blocks' share of both texts, leader first; every character counts, however frequent."""
-    if not a or not b:
-        return 0.0
-    return 1.0 if a == b else SequenceMatcher(None, a, b, autojunk=False).ratio()
-
-
-def _fuzzy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, and both sides' texts, signatures, dates) to the directed pairs that match by ratio."""
-    for batch in batches:
-        c = {n: batch.column(k).to_pylist() for k, n in enumerate(batch.schema.names)}
-        known: dict[tuple[str, str], float] = {}
-
-        def of(x: str, y: str, known: dict = known) -> float:
-            if (x, y) not in known:
-                known[x, y] = ratio(x, y)
-            return known[x, y]
-
-        keep = []
-        for k in range(batch.num_rows):
-            title, company = of(c["title_a"][k], c["title_b"][k]), of(c["company_a"][k], c["company_b"][k])
-            if title < vocab.TITLE_RATIO_LOOSE or company < vocab.COMPANY_RATIO:
-                keep.append(False)
-                continue
-            place = of(c["place_a"][k], c["place_b"][k])
-            dates = not c["date_a"][k] or not c["date_b"][k] or c["date_a"][k] == c["date_b"][k]
-            keep.append(
-                title >= vocab.TITLE_RATIO_STRICT and (place >= vocab.LOCATION_RATIO or dates)
-                or company == 1 and place >= vocab.LOCATION_RATIO_STRICT and dates
-            )
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
-def fuzzy_pairs(profiles: DataFrame) -> DataFrame:
-    """Directed pairs (a before b) of profiles that share a block and match by the ratio rules.
-
-    Two bounds that never change a result go before the ratio: a ratio is at most twice the shorter length over both
-    lengths, and at most 1 - edit distance over both lengths.
+TEXTS = (Near("title_normalized", vocab.TITLE_RATIO_LOOSE), Near("company_normalized", vocab.COMPANY_RATIO))
+
+
+def _both_ways(pairs: DataFrame) -> DataFrame:
+    """Each pair (a, b) also as (b, a): blocks are matched leader first, and the ratio may differ."""
+    swapped = [F.col(f"{c[:-1]}{'b' if c[-1] == 'a' else 'a'}").alias(c) if c[-2:] in ("_a", "_b") else F.col({"a": "b", "b": "a"}.get(c, c)).alias(c) for c in pairs.columns]
+    return pairs.unionByName(pairs.select(*swapped))
+
+
+def similar_texts(profiles: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(id, its columns) of each distinct title and employer; (a, b, title_ratio, company_ratio, ...) with a as leader.
+
+    Pairs share the signature of one of the two, as every block but that of addresses asks, and both ratios reach
+    what the looser rule needs.
+    """
+    columns = ["title_normalized", "company_normalized", "title_signature", "company_signature"]
+    texts = profiles.where("title_normalized <> '' and company_normalized <> ''").select(*columns).distinct()
+    texts = work.written(texts.withColumn("id", F.monotonically_increasing_id()))
+    same = lambda c: (F.col(f"{c}_a") == F.col(f"{c}_b")) & (F.col(f"{c}_a") != "")
+    met = similar.candidates(texts, TEXTS, work, same("title_signature") | same("company_signature"))
+    met = met.withColumns({"by_title": same("title_signature"), "by_company": same("company_signature"), "one_company": F.col("company_normalized_a") == F.col("company_normalized_b")})
+    met = met.drop(*[f"{c}_signature_{s}" for c in ("title", "company") for s in "ab"])
+    met = similar.with_ratios(_both_ways(met), ("title_normalized", "company_normalized"))
+    met = met.withColumnsRenamed({"title_normalized_ratio": "title_ratio", "company_normalized_ratio": "company_ratio"})
+    return texts, met.where((F.col("title_ratio") >= vocab.TITLE_RATIO_LOOSE) & (F.col("company_ratio") >= vocab.COMPANY_RATIO))
+
+
+def similar_places(profiles: DataFrame, work: Workspace) -> DataFrame:
+    """(place, other, near): places of a leader and of another that reach the looser ratio; near: the stricter one."""
+    places = profiles.where("location_signature <> ''").select(F.col("location_signature").alias("place")).distinct()
+    places = work.written(places.withColumn("id", F.monotonically_increasing_id()))
+    met = _both_ways(similar.candidates(places, (Near("place", vocab.LOCATION_RATIO, 2),), work))
+    met = similar.with_ratios(met.withColumns({"place": F.col("place_a"), "other": F.col("place_b")}), ("place",)).where(F.col("place_ratio") >= vocab.LOCATION_RATIO)
+    met = met.select("place", "other", (F.col("place_ratio") >= vocab.LOCATION_RATIO_STRICT).alias("near"))
+    return work.written(met.unionByName(places.select("place", F.col("place").alias("other"), F.lit(True).alias("near"))))
+
+
+def text_hubs(profiles: DataFrame, work: Workspace) -> DataFrame:
+    """Hubs (key, profile, at, gives, takes) of what matches by ratios: profiles of one text, or of two similar ones.
+
+    In a hub the profiles of side a are leaders to those of side b. Offers of similar texts match when dates are equal,
+    or the block they share doesn't ask for that: a blank date, or a similar place, will do. Hubs are as many as
+    profiles have links of their text; rows of a hub are its profiles, never their pairs.
     """
-    rows = profiles.select("profile", "at", *PROFILE, F.explode(block_keys()).alias("block"))
-    rows = rows.where("title_normalized <> '' and company_normalized <> ''")
-    side = lambda s: rows.select(
-        "block",
-        F.col("profile").alias(s),
-        F.col("at").alias(f"at_{s}"),
-        F.col("title_normalized").alias(f"title_{s}"),
-        F.col("company_normalized").alias(f"company_{s}"),
-        F.col("location_signature").alias(f"place_{s}"),
-        F.col("published_date").alias(f"date_{s}"),
-        F.length("title_normalized").alias(f"n_{s}"),
-        F.length("company_normalized").alias(f"m_{s}"),
+    texts, pairs = similar_texts(profiles, work)
+    strict = F.col("title_ratio") >= vocab.TITLE_RATIO_STRICT
+    own = texts.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(True).alias("strict"), (F.col("title_signature") != "").alias("by_title"), (F.col("company_signature") != "").alias("by_company"))
+    links = pairs.where(strict | F.col("one_company")).select("a", "b", strict.alias("strict"), "by_title", "by_company").unionByName(own.where("by_title or by_company"))
+    links = work.written(links.withColumn("both", F.col("by_title") & F.col("by_company")))
+    named = profiles.select("profile", "at", "title_normalized", "company_normalized", F.col("published_date").alias("day"), F.col("location_signature").alias("place"))
+    named = named.join(texts.select("id", "title_normalized", "company_normalized"), ["title_normalized", "company_normalized"]).select("id", "profile", "at", "day", "place")
+    sides = [links.join(named, links[s] == named["id"]).select(F.concat_ws(">", "a", "b").alias("link"), F.lit(s).alias("side"), "strict", "by_title", "both", "profile", "at", "day", "place") for s in "ab"]
+    rows = work.written(sides[0].unionByName(sides[1]))
+    hub = lambda name, *parts: F.concat_ws("|", F.lit(name), *parts)
+    on_a, blank = F.col("side") == "a", F.col("day") == ""
+    blanks = lambda when, name, *parts: (F.when(when & (~on_a | blank), hub(f"{name} a", *parts)), F.when(when & (on_a | blank), hub(f"{name} b", *parts)))
+    plain = (
+        F.when(F.col("strict") & ~blank, hub("day", "day")),
+        *blanks(F.col("strict") & F.col("both"), "blank"),
+        F.when(F.col("strict") & F.col("by_title") & (F.col("place") != ""), hub("place", "place")),
     )
-    low = vocab.TITLE_RATIO_LOOSE
-    within = lambda a, b: 2 * F.least(a, b) >= low * (F.col(a) + F.col(b))
-    met = side("a").join(side("b"), "block").where("at_a < at_b").where(within("n_a", "n_b") & within("m_a", "m_b"))
-    near = lambda x, n: F.levenshtein(f"{x}_a", f"{x}_b") <= (1 - low) * (F.col(f"{n}_a") + F.col(f"{n}_b"))
-    met = met.where(near("title", "n")).where(near("company", "m")).drop("block", "at_a", "at_b", "n_a", "n_b", "m_a", "m_b").dropDuplicates(["a", "b"])
-    columns = ["a", "b", *[f"{x}_{s}" for x in ("title", "company", "place", "date") for s in "ab"]]
-    return met.select(*columns).mapInArrow(_fuzzy, "a long, b long")
+    # where a rule compares places: a's place with the similar ones, b's place as one of those of a
+    near = similar_places(profiles, work)
+    ways = [near.select(F.lit(s).alias("side"), F.col(c).alias("place"), F.concat_ws("~", "place", "other").alias("met"), "near", (F.col("place") == F.col("other")).alias("equal")) for s, c in (("a", "place"), ("b", "other"))]
+    placed = rows.where("both or not strict").join(ways[0].unionByName(ways[1]), ["side", "place"])
+    by_place = (
+        F.when(F.col("strict") & F.col("both") & ~F.col("equal"), hub("places", "met")),
+        F.when(~F.col("strict") & F.col("near") & ~blank, hub("day place", "day", "met")),
+        *blanks(~F.col("strict") & F.col("near") & F.col("both"), "place blank", "met"),
+    )
+    told = lambda df, hubs: df.select(F.explode(F.array_compact(F.array(*hubs))).alias("hub"), "link", "side", "profile", "at")
+    hubs = told(rows, plain).unionByName(told(placed, by_place))
+    return hubs.select(F.concat_ws(" ", "link", "hub").alias("key"), "profile", "at", on_a.alias("gives"), (~on_a).alias("takes"))
 
 
 def leaders(df: DataFrame) -> DataFrame:
     """ord, leader_ord for each canonical offer with scope_score and ord. Addresses and dates that a leader gains
     by merging aren't matched again."""
     own = df.select("ord", preference(df).alias("at"), *PROFILE)
-    profiles = own.groupBy(*PROFILE).agg(F.min("at").alias("at"))
-    # a profile's number is the ord of its first offer
-    profiles = written(profiles.withColumn("profile", F.col("at.ord")))
-    pairs = fuzzy_pairs(profiles)
-    classes = profiles.select("profile", "at", F.explode(class_keys()).alias("key"))
-    links = classes.select(F.col("key"), "profile", "at", F.lit(True).alias("gives"), F.lit(True).alias("takes"))
-    found = written(pairs.withColumn("key", F.concat_ws(">", "a", "b")))
-    order = profiles.select("profile", "at")
-    links = (
-        links.unionByName(found.select("key", F.col("a").alias("profile")).join(order, "profile").select("key", "profile", "at", F.lit(True).alias("gives"), F.lit(False).alias("takes")))
-        .unionByName(found.select("key", F.col("b").alias("profile")).join(order, "profile").select("key", "profile", "at", F.lit(False).alias("gives"), F.lit(True).alias("takes")))
-    )
-    links = written(links)
-    decided = written(profiles.join(links.select("profile").distinct(), "profile", "left_anti").select("profile", F.col("profile").alias("leader")))
-    while True:
-        # what is still open, and for each key its first leader and its first open profile
-        state = links.join(decided, "profile", "left")
-        firsts = state.where("gives").groupBy("key").agg(
-            F.min(F.when(F.col("leader") == F.col("profile"), F.col("at"))).alias("led"),
-            F.min(F.when(F.col("leader").isNull(), F.col("at"))).alias("open"),
-        )
-        waiting = state.where("leader is null").select("key", "profile", "at", "takes")
-        ahead = lambda c: F.when(F.col("takes") & (F.col(c) < F.col("at")), F.col(c))
-        seen = waiting.join(firsts, "key", "left").groupBy("profile", "at").agg(F.min(ahead("led")).alias("led"), F.min(ahead("open")).alias("open"))
-        ready = seen.where(F.col("open").isNull() | (F.col("led") < F.col("open")))
-        new = written(ready.select("profile", F.coalesce(F.col("led.ord"), F.col("profile")).alias("leader")))
-        if not new.limit(1).count():
-            break
-        decided = written(decided.unionByName(new))
-    matched = own.join(profiles.select(*PROFILE, "profile"), list(PROFILE)).select("ord", "profile", *PROFILE)
-    # without an address, offers that share no block or lack title or company match nothing, not even their like
-    textless = (F.col("title_normalized") == "") | (F.col("company_normalized") == "") | (F.size(block_keys()) == 0)
-    alone = (F.col("url_canonical") == "") & textless
-    return matched.join(decided, "profile").select("ord", F.when(alone, F.col("ord")).otherwise(F.col("leader")).alias("leader_ord"))
-
-
-FILLED = ("c_title", "c_company_name", "c_location_label", "contract_type_normalized", "telework_normalized", "published_date", "c_url", "url_canonical", "salary_currency", "salary_period")
+    with Workspace(df.sparkSession) as work:
+        # a profile's number is the ord of its first offer
+        profiles = work.written(own.groupBy(*PROFILE).agg(F.min("at").alias("at")).withColumn("profile", F.col("at.ord")))
+        classes = profiles.select(F.explode(class_keys()).alias("key"), "profile", "at", F.lit(True).alias("gives"), F.lit(True).alias("takes"))
+        links = work.written(classes.unionByName(text_hubs(profiles, work)))
+        decided = assigned(links, work).unionByName(profiles.join(links.select("profile").distinct(), "profile", "left_anti").select("profile", F.col("profile").alias("leader")))
+        matched = own.join(profiles.select(*PROFILE, "profile"), list(PROFILE)).select("ord", "profile", *PROFILE)
+        # without an address, offers that share no block or lack title or company match nothing, not even their like
+        textless = (F.col("title_normalized") == "") | (F.col("company_normalized") == "") | (F.size(block_keys()) == 0)
+        alone = (F.col("url_canonical") == "") & textless
+        return written(matched.join(decided, "profile").select("ord", F.when(alone, F.col("ord")).otherwise(F.col("leader")).alias("leader_ord")))
+
+
+#: Columns that take the first value in order that isn't blank; those of the second line only where offers have them.
+FILLED = ("c_title", "c_company_name", "c_location_label", "c_contract_type", "contract_type_normalized", "telework_normalized", "published_iso", "published_date", "c_url", "url_canonical", "salary_currency", "salary_period")
+ALSO_FILLED = ("application_deadline", "application_url", "job_family", "job_label", "job_code", "category")
 BEST = ("c_description", "c_salary")
+LISTS = ("duplicate_sources", "duplicate_origin_sources", "duplicate_external_ids", "skills_normalized")
+
+
+def _origin(df: DataFrame) -> Column:
+    own = text.squash(text.text(F.col("origin_source"))) if "origin_source" in df.columns else F.lit("")
+    return F.coalesce(F.nullif(own, F.lit("")), F.col("source"))
+
+
+def merged_lists(rows: DataFrame) -> DataFrame:
+    """leader_ord and LISTS: each value once, where it comes first in order of preference; skills by their folded text.
+
+    Values are made distinct before they are put together, so a group that repeats its values stays small.
+    """
+    one = lambda kind, value: F.struct(F.lit(kind).alias("kind"), value.alias("key"), F.lit(0).alias("n"), value.alias("value"))
+    skills = F.transform("skills_normalized", lambda s, n: F.struct(F.lit(3).alias("kind"), text.fold(s).alias("key"), n.alias("n"), s.alias("value")))
+    told = F.concat(F.array(one(0, F.col("source")), one(1, _origin(rows)), one(2, F.col("c_external_id"))), skills)
+    values = rows.select("leader_ord", "at", F.explode(told).alias("v")).select("leader_ord", "at", "v.*").where("key <> ''")
+    first = values.groupBy("leader_ord", "kind", "key").agg(F.min(F.struct("at", "n", "value")).alias("first"))
+    lists = [F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("first")))), lambda x: x["value"]).alias(c) for k, c in enumerate(LISTS)]
+    return first.groupBy("leader_ord").agg(*lists)
+
+
+def merged_pay(rows: DataFrame) -> DataFrame:
+    """leader_ord and the salary that is left when offers are merged one by one.
+
+    Going through a group in order, a salary is replaced when its lower bound is missing and the next one has one, or
+    when it is predicted and the next one isn't. So the first real salary with a lower bound stays for good; without
+    one, predicted salaries with a bound and real ones without replace each other, and the first of the last run stays.
+    Both are found by aggregates, whatever the size of a group.
+    """
+    bound, predicted = F.col("salary_min_normalized").isNotNull(), F.col("salary_predicted")
+    kind = F.when(bound & ~predicted, "real").when(bound, "predicted").when(~predicted, "none").otherwise("neither")
+    slim = rows.select("leader_ord", "at", kind.alias("kind"), F.struct("salary_min_normalized", "salary_max_normalized", "salary_predicted").alias("pay"))
+    of = lambda kind: F.when(F.col("kind") == kind, F.col("at"))
+    ends = slim.groupBy("leader_ord").agg(F.min("at").alias("first"), F.min(of("real")).alias("real"), F.max(of("predicted")).alias("p"), F.max(of("none")).alias("n"))
+    last = F.when(F.col("p").isNull() & F.col("n").isNull(), None).when(F.col("n").isNull() | (F.col("p") > F.col("n")), "predicted").otherwise("none")
+    # the run begins after the last one of the other kind
+    ends = ends.select("leader_ord", "first", "real", last.alias("last"), F.when(F.col("p") > F.col("n"), F.col("n")).when(F.col("n") > F.col("p"), F.col("p")).alias("after"))
+    here = (
+        F.when(F.col("real").isNotNull(), F.col("at") == F.col("real"))
+        .when(F.col("last").isNull(), F.col("at") == F.col("first"))
+        .otherwise((F.col("kind") == F.col("last")) & (F.col("after").isNull() | (F.col("at") > F.col("after"))))
+    )
+    return slim.join(ends, "leader_ord").where(here).groupBy("leader_ord").agg(F.min_by("pay", "at").alias("pay")).select("leader_ord", "pay.*")
 
 
 def merged(df: DataFrame, groups: DataFrame) -> DataFrame:
-    """One row per leader: first non-blank fields in order of preference, longest texts, all skills and sources.
+    """One row per leader: first non-blank fields in order of preference, longest texts, merged lists and salary.
 
     Everything is an aggregate of its own column, so no group is ever gathered into one row.
     """
     rows = df.join(groups, "ord").withColumn("at", preference(df))
-    first = lambda c, there: F.min_by(F.when(there, F.col(c)), F.when(there, F.col("at"))).alias(c)
-    paid = F.col("salary_min_normalized").isNotNull() | F.col("salary_max_normalized").isNotNull()
-    pay = F.when(paid, F.struct("salary_min_normalized", "salary_max_normalized", "salary_predicted"))
+    first = lambda c: F.coalesce(F.min_by(F.when(text.strip(F.col(c)) != "", F.col(c)), F.when(text.strip(F.col(c)) != "", F.col("at"))), F.lit("")).alias(c)
+    ahead = F.struct((-F.col("at.p")).alias("p"), (-F.col("at.s")).alias("s"), (-F.col("at.c")).alias("c"), (-F.col("at.ord")).alias("o"))
     aggregates = [
         F.count("*").alias("duplicate_count"),
-        F.array_sort(F.collect_set("source")).alias("duplicate_sources"),
-        F.count_distinct(F.nullif(F.col("c_external_id"), F.lit(""))).alias("duplicate_ids"),
-        *[F.coalesce(first(c, F.col(c) != ""), F.lit("")).alias(c) for c in FILLED],
-        *[F.coalesce(F.max_by(c, F.struct(F.length(c), (-F.col("at.p")).alias("p"), (-F.col("at.s")).alias("s"), (-F.col("at.c")).alias("c"), (-F.col("at.ord")).alias("o"))), F.lit("")).alias(c) for c in BEST],
-        F.min_by(pay, F.when(paid, F.struct(F.col("salary_predicted"), F.col("at")))).alias("pay"),
+        *[first(c) for c in FILLED],
+        *[first(c) for c in ALSO_FILLED if c in df.columns],
+        *[F.coalesce(F.max_by(c, F.struct(F.length(c).alias("size"), ahead.alias("ahead"))), F.lit("")).alias(c) for c in BEST],
         F.max("completeness_score").alias("completeness_score"),
         F.max("record_preference_score").alias("record_preference_score"),
         F.max("scope_score").alias("best_scope_score"),
+        F.when(F.count("*") > 1, "merged_duplicate").otherwise("unique").alias("deduplication_status"),
     ]
-    out = rows.groupBy("leader_ord").agg(*aggregates)
-    skills = rows.select("leader_ord", "at", F.posexplode("skills_normalized").alias("n", "skill")).withColumn("skill_key", F.lower("skill"))
-    skills = skills.groupBy("leader_ord", "skill_key").agg(F.min(F.struct("at", "n", "skill")).alias("f")).groupBy("leader_ord").agg(F.transform(F.array_sort(F.collect_list("f")), lambda x: x["skill"]).alias("skills_normalized"))
-    out = out.join(skills, "leader_ord", "left").withColumn("skills_normalized", F.coalesce("skills_normalized", F.array().cast("array<string>")))
-    return out.select(
-        "*", F.col("pay.salary_min_normalized"), F.col("pay.salary_max_normalized"), F.coalesce("pay.salary_predicted", F.lit(False)).alias("salary_predicted"),
-        F.when(F.col("duplicate_count") > 1, "merged_duplicate").otherwise("unique").alias("deduplication_status"),
-    ).drop("pay")
+    return rows.groupBy("leader_ord").agg(*aggregates).join(merged_lists(rows), "leader_ord").join(merged_pay(rows), "leader_ord")

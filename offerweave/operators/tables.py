@@ -25,6 +25,39 @@ def shared_dir(spark: SparkSession) -> str:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` computed once, as Parquet: lineage ends here, and lost executors don't matter."""
-    path = f"{shared_dir(df.sparkSession)}/offerweave/round-{uuid.uuid4().hex}"
+    return _write(df, _new_path(df.sparkSession))
+
+
+def _new_path(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/offerweave/round-{uuid.uuid4().hex}"
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Workspace:
+    """Written tables that a job needs only while it runs: ``drop`` deletes some early, leaving the block all."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = _new_path(self.spark)
+        out = _write(df, path)
+        self.paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for t in tables:
+            path, _ = self.paths.pop(id(t))
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop(*[t for _, t in self.paths.values()])

@@ -295,10 +295,13 @@ def dedup_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def final_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Filter, normalise, find duplicates, merge: one row per offer that is left."""
-    kept = _judged(spark, sf_dir).where("filter_status = 'kept_offer'")
+    """Filter, normalise, find duplicates, merge: one row per offer that is left. Lists are joined by bars."""
+    history = F.when(F.col("source") == "postgresql_history", F.when(F.col("ord") % 2 == 0, "france_travail").otherwise("bpce"))
+    deadline = F.when(F.col("ord") % 3 == 0, F.col("published_at")).otherwise("")
+    raw = offers(spark, sf_dir).withColumns({"origin_source": history, "application_deadline": deadline, "job_code": F.when(F.col("ord") % 4 == 1, F.concat(F.lit("J"), (F.col("ord") % 7).cast("string")))})
+    kept = written(normalize.normalized(scope.kept(raw), AS_OF))
     out = dedup.merged(kept, dedup.leaders(kept))
-    return out.withColumns({"duplicate_sources": F.array_join("duplicate_sources", ","), "skills_normalized": F.array_join("skills_normalized", "|")})
+    return out.withColumns({c: F.array_join(c, "|") for c in dedup.LISTS})
 
 
 ORACLES: dict[str, str] = {name: SQL[name] for name in QUERIES if name in SQL}

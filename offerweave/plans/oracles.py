@@ -144,6 +144,34 @@ SIGNED = (
     f"n AS (SELECT ord, {CANONICAL} AS url, {signature('f_title', 6)} AS ts, {signature('f_company', 4)} AS cs, {signature('f_location', 4)} AS ls, coalesce(strftime({PUBLISHED}, '%Y-%m-%d'), '') AS d FROM c)"
 )
 
+# --- leaders: pairs of a block that match, then rounds over all of them ----------------------------------------------------
+LONGEST = (
+    "list_max(list_filter(flatten(list_transform(range(1, length(a) + 1), lambda i: list_transform(range(1, length(a) - i + 2), lambda n: [n, -i, -instr(b, substr(a, i, n))]))), lambda x: x[3] <> 0))"
+)
+
+
+def either(sign: str, full: str) -> str:
+    return f"coalesce(nullif({sign}, ''), {full})"
+
+
+BLOCKS = "[CASE WHEN {0}url <> '' THEN 'u' || {0}url END, CASE WHEN {0}ts <> '' AND {0}cs <> '' THEN 'tc' || {0}ts || '|' || {0}cs END, CASE WHEN {0}ts <> '' AND {0}d <> '' THEN 'td' || {0}ts || '|' || {0}d END, CASE WHEN {0}cs <> '' AND {0}d <> '' THEN 'cd' || {0}cs || '|' || {0}d END, CASE WHEN {0}ts <> '' AND {0}ls <> '' THEN 'tl' || {0}ts || '|' || {0}ls END]"
+LEADERS = (
+    f"w AS (SELECT n.*, c.f_title AS ft, c.f_company AS fc, {PRIORITY} + compl AS pref, compl, scope_score FROM n JOIN c USING (ord) JOIN t4 USING (ord) JOIN (SELECT ord, {COMPLETE} AS compl FROM (SELECT s3.*, p4.lo, p4.hi FROM s3 JOIN p4 USING (ord)) z) y USING (ord) WHERE filter_status = 'kept_offer')".replace("CASE source", "CASE c.source"),
+    "rk AS (SELECT *, row_number() OVER (ORDER BY pref DESC, scope_score DESC, compl DESC, ord) AS r FROM w)",
+    "pr AS (SELECT url, ft, fc, ts, cs, ls, d, min(r) AS r FROM rk GROUP BY ALL)",
+    f"bk AS (SELECT r, unnest(list_filter({BLOCKS.format('')}, lambda x: x IS NOT NULL)) AS k FROM pr)",
+    "met AS (SELECT DISTINCT x.r AS x, y.r AS y FROM bk x JOIN bk y ON x.k = y.k AND x.r < y.r)",
+    "sides AS (SELECT met.x, met.y, a.url AS ua, b.url AS ub, a.ft AS ta, b.ft AS tb, a.fc AS ca, b.fc AS cb, a.ts AS tsa, b.ts AS tsb, a.cs AS csa, b.cs AS csb, a.ls AS la, b.ls AS lb, a.d AS da, b.d AS db FROM met JOIN pr a ON a.r = x JOIN pr b ON b.r = y)",
+    "texts AS (SELECT DISTINCT a, b FROM (SELECT ta AS a, tb AS b FROM sides UNION SELECT ca, cb FROM sides UNION SELECT la, lb FROM sides) u WHERE a <> b AND a <> '' AND b <> '' AND 2 * least(length(a), length(b)) >= 0.85 * (length(a) + length(b)) AND levenshtein(a, b) <= 0.15 * (length(a) + length(b)))",
+    f"blocks(x, y, a, b, size) AS (SELECT a, b, a, b, CAST(0 AS BIGINT) FROM texts UNION ALL SELECT x, y, p.a, p.b, p.size FROM (SELECT x, y, unnest([{{'a': substr(a, 1, -m[2] - 1), 'b': substr(b, 1, -m[3] - 1), 'size': CAST(0 AS BIGINT)}}, {{'a': substr(a, m[1] - m[2]), 'b': substr(b, m[1] - m[3]), 'size': CAST(0 AS BIGINT)}}, {{'a': '', 'b': '', 'size': CAST(m[1] AS BIGINT)}}]) AS p FROM (SELECT x, y, a, b, {LONGEST} AS m FROM blocks WHERE a <> '' AND b <> '') z WHERE m IS NOT NULL) q)",
+    "alike AS (SELECT x AS a, y AS b, 2.0 * sum(size) / (length(x) + length(y)) AS ratio FROM blocks GROUP BY x, y)",
+    "rated AS (SELECT s.*, CASE WHEN ta = '' OR tb = '' THEN 0 WHEN ta = tb THEN 1 ELSE coalesce(t.ratio, 0) END AS title, CASE WHEN ca = '' OR cb = '' THEN 0 WHEN ca = cb THEN 1 ELSE coalesce(k.ratio, 0) END AS company, CASE WHEN la = '' OR lb = '' THEN 0 WHEN la = lb THEN 1 ELSE coalesce(l.ratio, 0) END AS place, da = '' OR db = '' OR da = db AS dated FROM sides s LEFT JOIN alike t ON t.a = ta AND t.b = tb LEFT JOIN alike k ON k.a = ca AND k.b = cb LEFT JOIN alike l ON l.a = la AND l.b = lb)",
+    f"pairs AS (SELECT x, y FROM rated WHERE (ua <> '' AND ua = ub) OR ({either('tsa', 'ta')} <> '' AND {either('csa', 'ca')} <> '' AND {either('tsa', 'ta')} = {either('tsb', 'tb')} AND {either('csa', 'ca')} = {either('csb', 'cb')} AND ((da <> '' AND da = db) OR (la <> '' AND la = lb))) OR (title >= 0.97 AND company >= 0.94 AND (place >= 0.85 OR dated)) OR (title >= 0.94 AND company = 1 AND place >= 0.9 AND dated))",
+    "st(i, r, leader) AS (SELECT 0, r, CAST(NULL AS BIGINT) FROM pr UNION ALL SELECT i + 1, s.r, CASE WHEN s.leader IS NOT NULL THEN s.leader WHEN f.open IS NULL OR f.led < f.open THEN coalesce(f.led, s.r) END FROM st s LEFT JOIN (SELECT p.y, min(CASE WHEN g.leader = g.r THEN g.r END) AS led, min(CASE WHEN g.leader IS NULL THEN g.r END) AS open FROM pairs p JOIN st g ON g.r = p.x GROUP BY p.y) f ON f.y = s.r WHERE EXISTS (SELECT 1 FROM st z WHERE z.leader IS NULL))",
+    "ld AS (SELECT rk.ord, CASE WHEN rk.url = '' AND (rk.ft = '' OR rk.fc = '' OR (rk.ts = '' OR (rk.cs = '' AND rk.d = '' AND rk.ls = '')) AND (rk.cs = '' OR rk.d = '')) THEN rk.ord ELSE l.ord END AS leader_ord FROM rk JOIN pr ON pr.url = rk.url AND pr.ft = rk.ft AND pr.fc = rk.fc AND pr.ts = rk.ts AND pr.cs = rk.cs AND pr.ls = rk.ls AND pr.d = rk.d JOIN (SELECT r, leader FROM st WHERE i = (SELECT max(i) FROM st)) z ON z.r = pr.r JOIN rk l ON l.r = z.leader)",
+)
+JUDGED = (CLEANED, *PAID, *SKILL_LIST, SIGNED, *SCOPE)
+
 ISO = "coalesce(strftime({0}, '%Y-%m-%dT%H:%M:%S') || '+00:00', '')"
 SELECTED = ("france_travail", "bpce", "hive_aggregates", "postgresql_history")
 
@@ -266,6 +294,7 @@ ORACLES: dict[str, str] = {
         CLEANED,
         SIGNED,
     ),
+    "dedup_leaders": offers("SELECT ord, leader_ord FROM ld", *JUDGED, *LEADERS).replace("WITH o AS", "WITH RECURSIVE o AS", 1),
     "dedup_first_matches": offers(
         "SELECT n.ord, coalesce(f.first_ord, -1) AS first_ord FROM n LEFT JOIN (SELECT a.ord, arg_min(r2.ord, m.first) AS first_ord FROM a JOIN m USING (key) JOIN ranked r2 ON r2.r = m.first WHERE m.first < a.r GROUP BY a.ord) f ON f.ord = n.ord",
         CLEANED,
@@ -275,7 +304,7 @@ ORACLES: dict[str, str] = {
         *SCOPE,
         f"scored AS (SELECT ord, {PRIORITY} + {COMPLETE} AS pref, {COMPLETE} AS compl FROM (SELECT s3.*, p4.lo, p4.hi FROM s3 JOIN p4 USING (ord)) z)",
         "ranked AS (SELECT ord, row_number() OVER (ORDER BY pref DESC, scope_score DESC, compl DESC, ord) AS r FROM scored JOIN t4 USING (ord))",
-        "a AS (SELECT n.ord, r, unnest(list_filter([CASE WHEN url <> '' THEN 'url:' || url END, CASE WHEN ts <> '' AND cs <> '' AND d <> '' THEN 'date:' || concat_ws('|', ts, cs, d) END, CASE WHEN ts <> '' AND cs <> '' AND ls <> '' THEN 'place:' || concat_ws('|', ts, cs, ls) END], lambda x: x IS NOT NULL)) AS key FROM n JOIN ranked USING (ord))",
+        "a AS (SELECT n.ord, r, unnest(list_filter([CASE WHEN url <> '' THEN 'url:' || url END, CASE WHEN tt <> '' AND cc <> '' AND d <> '' AND (ts <> '' OR cs <> '') THEN 'date:' || concat_ws('|', tt, cc, d) END, CASE WHEN ts <> '' AND cc <> '' AND ls <> '' THEN 'place:' || concat_ws('|', ts, cc, ls) END], lambda x: x IS NOT NULL)) AS key FROM (SELECT n.*, coalesce(nullif(ts, ''), f_title) AS tt, coalesce(nullif(cs, ''), f_company) AS cc FROM n JOIN c USING (ord)) n JOIN ranked USING (ord))",
         "m AS (SELECT key, min(r) AS first FROM a GROUP BY key)",
     ),
 }
