@@ -170,6 +170,25 @@ LEADERS = (
     "st(i, r, leader) AS (SELECT 0, r, CAST(NULL AS BIGINT) FROM pr UNION ALL SELECT i + 1, s.r, CASE WHEN s.leader IS NOT NULL THEN s.leader WHEN f.open IS NULL OR f.led < f.open THEN coalesce(f.led, s.r) END FROM st s LEFT JOIN (SELECT p.y, min(CASE WHEN g.leader = g.r THEN g.r END) AS led, min(CASE WHEN g.leader IS NULL THEN g.r END) AS open FROM pairs p JOIN st g ON g.r = p.x GROUP BY p.y) f ON f.y = s.r WHERE EXISTS (SELECT 1 FROM st z WHERE z.leader IS NULL))",
     "ld AS (SELECT rk.ord, CASE WHEN rk.url = '' AND (rk.ft = '' OR rk.fc = '' OR (rk.ts = '' OR (rk.cs = '' AND rk.d = '' AND rk.ls = '')) AND (rk.cs = '' OR rk.d = '')) THEN rk.ord ELSE l.ord END AS leader_ord FROM rk JOIN pr ON pr.url = rk.url AND pr.ft = rk.ft AND pr.fc = rk.fc AND pr.ts = rk.ts AND pr.cs = rk.cs AND pr.ls = rk.ls AND pr.d = rk.d JOIN (SELECT r, leader FROM st WHERE i = (SELECT max(i) FROM st)) z ON z.r = pr.r JOIN rk l ON l.r = z.leader)",
 )
+CURRENCY = "CASE WHEN contains(c_salary, '€') OR contains(f_salary, 'euro') THEN 'EUR' ELSE '' END"
+MERGED = (
+    f"cols AS (SELECT c.*, {CONTRACT} AS contract_type_normalized, {TELEWORK} AS telework_normalized, {PUBLISHED} AS stamp FROM c)",
+    f"g AS (SELECT ld.leader_ord, rk.r, rk.pref, rk.compl, rk.scope_score, rk.url, rk.d, cols.*, p4.lo, p4.hi, {CURRENCY.replace('c_salary', 'cols.c_salary').replace('f_salary', 'cols.f_salary')} AS salary_currency, "
+    f"(SELECT {PERIOD} FROM (SELECT p4.c_salary, p4.f_salary, p4.lo) q) AS salary_period, s3.skills_list, CASE WHEN cols.ord % 3 = 0 THEN o.published_at ELSE '' END AS deadline, CASE WHEN cols.ord % 4 = 1 THEN 'J' || CAST(cols.ord % 7 AS VARCHAR) END AS code, "
+    "CASE WHEN cols.source = 'postgresql_history' THEN CASE WHEN cols.ord % 2 = 0 THEN 'france_travail' ELSE 'bpce' END ELSE cols.source END AS origin FROM ld JOIN rk USING (ord) JOIN cols USING (ord) JOIN p4 USING (ord) JOIN s3 USING (ord) JOIN o USING (ord))",
+    *[
+        f"{name} AS (SELECT leader_ord, string_agg(v, '|' ORDER BY first) AS v FROM (SELECT leader_ord, {value} AS v, min(r) AS first FROM g WHERE {value} <> '' GROUP BY ALL) x GROUP BY leader_ord)"
+        for name, value in (("l_sources", "source"), ("l_origins", "origin"), ("l_ids", "c_id"))
+    ],
+    f"l_skills AS (SELECT leader_ord, string_agg(v, '|' ORDER BY first, n) AS v FROM (SELECT leader_ord, k, arg_min(v, r * 1000 + n) AS v, min(r) AS first, arg_min(n, r * 1000 + n) AS n FROM (SELECT *, {match('v')} AS k FROM (SELECT leader_ord, r, unnest(skills_list) AS v, generate_subscripts(skills_list, 1) AS n FROM g) y) x GROUP BY leader_ord, k) z GROUP BY leader_ord)",
+    "l_pay AS (SELECT leader_ord, list_reduce(list({'lo': lo, 'hi': hi, 'guess': coalesce(salary_is_predicted, 0) <> 0} ORDER BY r), lambda a, x: CASE WHEN (a.lo IS NULL AND x.lo IS NOT NULL) OR (a.guess AND NOT x.guess) THEN x ELSE a END) AS pay FROM g GROUP BY leader_ord)",
+)
+
+
+def filled(column: str, name: str) -> str:
+    return f"coalesce(arg_min({column}, r) FILTER (WHERE trim({column}) <> ''), '') AS {name}"
+
+
 JUDGED = (CLEANED, *PAID, *SKILL_LIST, SIGNED, *SCOPE)
 
 ISO = "coalesce(strftime({0}, '%Y-%m-%dT%H:%M:%S') || '+00:00', '')"
@@ -295,6 +314,23 @@ ORACLES: dict[str, str] = {
         SIGNED,
     ),
     "dedup_leaders": offers("SELECT ord, leader_ord FROM ld", *JUDGED, *LEADERS).replace("WITH o AS", "WITH RECURSIVE o AS", 1),
+    "final_dataset": offers(
+        "SELECT f.*, coalesce(l_sources.v, '') AS duplicate_sources, coalesce(l_origins.v, '') AS duplicate_origin_sources, coalesce(l_ids.v, '') AS duplicate_external_ids, coalesce(l_skills.v, '') AS skills_normalized, "
+        "pay.lo AS salary_min_normalized, pay.hi AS salary_max_normalized, pay.guess AS salary_predicted FROM (SELECT leader_ord, count(*) AS duplicate_count, "
+        + ", ".join(
+            filled(c, n)
+            for c, n in (
+                ("c_title", "c_title"), ("c_company", "c_company_name"), ("c_location", "c_location_label"), ("c_contract", "c_contract_type"), ("contract_type_normalized", "contract_type_normalized"), ("telework_normalized", "telework_normalized"),
+                (ISO.format("stamp"), "published_iso"), ("d", "published_date"), ("c_url", "c_url"), ("url", "url_canonical"), ("salary_currency", "salary_currency"), ("salary_period", "salary_period"), ("deadline", "application_deadline"), ("code", "job_code"),
+            )
+        )
+        + ", first(c_description ORDER BY length(c_description) DESC, r) AS c_description, first(c_salary ORDER BY length(c_salary) DESC, r) AS c_salary, CAST(max(compl) AS INTEGER) AS completeness_score, CAST(max(pref) AS INTEGER) AS record_preference_score, "
+        "CAST(max(scope_score) AS INTEGER) AS best_scope_score, CASE WHEN count(*) > 1 THEN 'merged_duplicate' ELSE 'unique' END AS deduplication_status FROM g GROUP BY leader_ord) f "
+        "LEFT JOIN l_sources USING (leader_ord) LEFT JOIN l_origins USING (leader_ord) LEFT JOIN l_ids USING (leader_ord) LEFT JOIN l_skills USING (leader_ord) LEFT JOIN l_pay USING (leader_ord)",
+        *JUDGED,
+        *LEADERS,
+        *MERGED,
+    ).replace("WITH o AS", "WITH RECURSIVE o AS", 1),
     "dedup_first_matches": offers(
         "SELECT n.ord, coalesce(f.first_ord, -1) AS first_ord FROM n LEFT JOIN (SELECT a.ord, arg_min(r2.ord, m.first) AS first_ord FROM a JOIN m USING (key) JOIN ranked r2 ON r2.r = m.first WHERE m.first < a.r GROUP BY a.ord) f ON f.ord = n.ord",
         CLEANED,
