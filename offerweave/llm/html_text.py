@@ -2,17 +2,19 @@
 
 The tree builder closes what HTML lets authors leave open (the head before what can't stand in it, paragraphs before
 blocks, list items, table rows and cells, options, definition terms), ignores end tags without a start, and adds missing rows. The renderer drops what
-a browser doesn't show (head, scripts, styles, templates, the hidden attribute, ``display:none``,
-``visibility:hidden``, closed details except their summary, input fields, fallback content) and emits all other text:
+a browser doesn't show (head, scripts, styles, templates, the hidden attribute, ``display:none``, what inherits
+``visibility:hidden`` up to the next ``visible``, closed details except their summary, input fields, fallback content) and emits all other text:
 inline text with white space collapsed across tags, blocks on lines of their own with a blank line where browsers
 leave a margin, ``pre`` as it is, list items with their marker and indent, and table cells padded to the width of
-their column. Formulas, the text of drawings, text areas and the options that a select shows are inline text.
+their column, beside cells that span rows and columns. Elements nest to any depth. Formulas, the text of drawings, text areas and the options that a select shows are inline text.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -52,16 +54,19 @@ IMPLIED = {
 # an end tag of an element further out doesn't reach across these
 SCOPES = frozenset(("table", "td", "th", "caption", "html"))
 INDENT = 2
-DEEPEST = 200  # nested elements beyond go beside each other, as in browsers
-_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+_HIDDEN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*([a-z]+)", re.I)
+#: Python calls that one level of nesting takes at most.
+CALLS = 6
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
 class Node:
-    __slots__ = ("attrs", "children", "foreign", "holds_foreign", "tag")
+    __slots__ = ("attrs", "children", "foreign", "holds_foreign", "tag", "veiled")
 
     def __init__(self, tag: str, attrs: dict[str, str | None]) -> None:
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.veiled = False  # takes its place, but its own text isn't seen
         self.foreign = self.holds_foreign = False  # is SVG or MathML; and so is what it holds
 
 
@@ -70,9 +75,19 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", {})
         self.open = [self.root]
+        self.count: Counter = Counter()  # of open elements by tag
+        self.depth = 1
+
+    def _pop(self, to: int) -> None:
+        """Close all open elements from this place on."""
+        for node in self.open[to:]:
+            self.count[node.tag] -= 1
+        del self.open[to:]
 
     def _close(self, names: set[str] | frozenset[str], unless: set[str] | frozenset[str]) -> None:
         """Close the outermost open element of these names that lies within the nearest of the others."""
+        if not any(self.count[name] for name in names):
+            return
         found = None
         for k in range(len(self.open) - 1, 0, -1):
             if self.open[k].tag in names:
@@ -80,7 +95,7 @@ class TreeBuilder(HTMLParser):
             elif self.open[k].tag in unless:
                 break
         if found is not None:
-            del self.open[found:]
+            self._pop(found)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._start(tag, attrs, False)
@@ -93,7 +108,7 @@ class TreeBuilder(HTMLParser):
             return
         if self.open[-1].holds_foreign and (tag in BREAKS_OUT or tag == "font" and any(a in ("color", "face", "size") for a, _ in attrs)):
             while self.open[-1].holds_foreign:
-                self.open.pop()
+                self._pop(len(self.open) - 1)
         if tag in FOREIGN or self.open[-1].holds_foreign:
             self._end_head()
             self._add(Node(tag, dict(attrs)), closed or tag in VOID)
@@ -109,7 +124,7 @@ class TreeBuilder(HTMLParser):
         if tag in CELLS and self.open[-1].tag in ROW_GROUPS | {"table"}:
             self._add(Node("tr", {}))
         if len(tag) == 2 and tag[0] == "h" and tag[1] in "123456" and self.open[-1].tag[:1] == "h" and self.open[-1].tag[1:] in "123456":
-            self.open.pop()
+            self._pop(len(self.open) - 1)
         self._add(Node(tag, dict(attrs)), tag in VOID)
 
     def _add(self, node: Node, void: bool = False) -> None:
@@ -118,13 +133,15 @@ class TreeBuilder(HTMLParser):
             node.foreign = True
             as_html = node.tag == "annotation-xml" and (node.attrs.get("encoding") or "").lower() in ("text/html", "application/xhtml+xml")
             node.holds_foreign = node.tag not in HTML_INSIDE and not as_html
-        if not void and len(self.open) < DEEPEST:
+        if not void:
             self.open.append(node)
+            self.count[node.tag] += 1
+            self.depth = max(self.depth, len(self.open))
 
     def _end_head(self) -> None:
         """What comes next can't stand in a head: one left open ends before it."""
         if self.open[-1].tag == "head":
-            self.open.pop()
+            self._pop(len(self.open) - 1)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._start(tag, attrs, True)  # in HTML the slash means nothing, in SVG and MathML it ends the element
@@ -137,9 +154,9 @@ class TreeBuilder(HTMLParser):
             self._end_head()
             self._add(Node("br", {}), True)
             return
-        for k in range(len(self.open) - 1, 0, -1):
+        for k in range(len(self.open) - 1 if self.count[tag] else 0, 0, -1):
             if self.open[k].tag == tag:
-                del self.open[k:]
+                self._pop(k)
                 return
             if self.open[k].tag in SCOPES and tag not in ("table", "tr", "body", *ROW_GROUPS):
                 break
@@ -162,12 +179,39 @@ def tree(html: str) -> Node:
     if re.match(r"<[a-zA-Z/!?]", builder.rawdata):  # a tag or comment that the page's end cuts off
         builder.rawdata = ""
     builder.close()
+    _veil(builder.root)
+    # calls of Python functions only need their limit raised, whatever the depth of a page
+    sys.setrecursionlimit(max(sys.getrecursionlimit(), 1000 + CALLS * builder.depth))
     return builder.root
 
 
+def _visibility(node: Node) -> str:
+    found = _VISIBILITY.findall(node.attrs.get("style") or "")
+    return (found[-1] if found else (node.attrs.get("visibility") or "") if node.foreign else "").lower()
+
+
+def _veil(root: Node) -> None:
+    """Apply the visibility that elements inherit: hidden text goes, and elements that hold nothing else."""
+    order, at = [root], 0
+    while at < len(order):
+        node = order[at]
+        at += 1
+        for x in node.children:
+            if isinstance(x, Node):
+                own = _visibility(x)
+                x.veiled = own in ("hidden", "collapse") or node.veiled and own != "visible"
+                order.append(x)
+    seen: set[int] = set()
+    for node in reversed(order):  # children come before their parents
+        if any(isinstance(x, Node) and x.veiled for x in node.children) or node.veiled:
+            node.children = [x for x in node.children if (not node.veiled if isinstance(x, str) else not x.veiled or id(x) in seen)]
+        if node.veiled and any(isinstance(x, Node) and (not x.veiled or id(x) in seen) for x in node.children):
+            seen.add(id(node))
+
+
 def visible(node: Node) -> bool:
     attrs = node.attrs
-    if node.foreign and (node.tag in FOREIGN_UNSEEN or attrs.get("display") == "none" or attrs.get("visibility") in ("hidden", "collapse")):
+    if node.foreign and (node.tag in FOREIGN_UNSEEN or attrs.get("display") == "none"):
         return False
     return node.tag not in UNSEEN and "hidden" not in attrs and not _HIDDEN.search(attrs.get("style") or "")
 
@@ -234,31 +278,62 @@ def width(text: str) -> int:
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
 
 
-def _rows(node: Node) -> Iterator[Node]:
+def _groups(node: Node) -> list[list[Node]]:
+    """Visible rows of a table by row group; rows of its own that follow each other are a group as well."""
+    out: list[list[Node]] = []
+    own = False
     for x in node.children:
         if isinstance(x, Node) and visible(x):
             if x.tag == "tr":
-                yield x
+                if not own:
+                    out.append([])
+                out[-1].append(x)
+                own = True
             elif x.tag in ROW_GROUPS:
-                yield from _rows(x)
+                out.append([y for y in x.children if isinstance(y, Node) and y.tag == "tr" and visible(y)])
+                own = False
+    return out
 
 
-def _table(node: Node) -> list[str]:
-    out = [line for x in node.children if isinstance(x, Node) and x.tag == "caption" and visible(x) for line in render(x)]
-    grid = []
-    for row in _rows(node):
-        cells: list[list[str]] = []
+def _span(x: Node, name: str, least: int) -> int:
+    value = (x.attrs.get(name) or "").strip()
+    return int(value) if value.isascii() and value.isdecimal() and int(value) >= least else 1
+
+
+def _placed(group: list[Node]) -> list[dict[int, list[str]]]:
+    """The lines of each row's cells by column, beside cells of earlier rows that reach down (to the group's end at most)."""
+    out: list[dict[int, list[str]]] = []
+    taken: list[tuple[int, int, int]] = []  # columns from, to, and the row after the last
+    for r, row in enumerate(group):
+        taken = sorted(t for t in taken if t[2] > r)
+        cells: dict[int, list[str]] = {}
+        column, new = 0, []
         for x in row.children:
             if isinstance(x, Node) and x.tag in CELLS and visible(x):
-                cells.append(render(x))
-                span = x.attrs.get("colspan") or "1"
-                cells += [[]] * (min(int(span), 100) - 1 if span.isdecimal() and int(span) > 0 else 0)
-        if any(cells):
-            grid.append(cells)
-    sizes = [max((width(line) for row in grid if k < len(row) for line in row[k]), default=0) for k in range(max(map(len, grid), default=0))]
-    for row in grid:
-        for n in range(max(map(len, row))):
-            line = "  ".join(t + " " * (size - width(t)) for size, cell in zip(sizes, row, strict=False) for t in [cell[n] if n < len(cell) else ""])
+                for lo, hi, _ in taken:
+                    if lo <= column < hi:
+                        column = hi
+                wide, high = _span(x, "colspan", 1), _span(x, "rowspan", 0)
+                cells[column] = render(x)
+                if high != 1:
+                    new.append((column, column + wide, r + high if high else len(group)))
+                column += wide
+        taken += new
+        out.append(cells)
+    return out
+
+
+def _table(node: Node) -> list[str]:
+    out = [line for x in node.children if isinstance(x, Node) and x.tag == "caption" and visible(x) for line in render(x)]
+    grid = [cells for group in _groups(node) for cells in _placed(group) if any(cells.values())]
+    sizes: dict[int, int] = {}
+    for cells in grid:
+        for k, cell in cells.items():
+            sizes[k] = max([sizes.get(k, 0), *map(width, cell)])
+    columns = sorted(sizes)
+    for cells in grid:
+        for n in range(max(map(len, cells.values()))):
+            line = "  ".join([t + " " * (sizes[k] - width(t)) for k in columns for t in [cells[k][n] if k in cells and n < len(cells[k]) else ""]])
             out.append(line.rstrip(" "))
     # text that stands in a table outside its cells is shown before it
     loose = Lines()
@@ -277,9 +352,28 @@ def _loose(node: Node, out: Lines) -> None:
             _flow(x, out)
 
 
+def _integer(text: str | None, default: int) -> int:
+    return int(text) if re.fullmatch(r"\s*[-+]?[0-9]{1,9}\s*", text or "") else default
+
+
+def _numeral(n: int, kind: str | None) -> str:
+    """Decimal, or letters (a, b, ..., z, aa) or Roman numerals where the list asks for them and they exist."""
+    if kind in ("a", "A") and n > 0:
+        out = ""
+        while n:
+            n, k = divmod(n - 1, 26)
+            out = chr(97 + k) + out
+    elif kind in ("i", "I") and 0 < n < 4000:
+        out = "".join(["", one, one * 2, one * 3, one + five, five, five + one, five + one * 2, five + one * 3, one + ten][n // unit % 10] for unit, one, five, ten in ((1000, "m", "", ""), (100, "c", "d", "m"), (10, "x", "l", "c"), (1, "i", "v", "x")))
+    else:
+        return str(n)
+    return out.upper() if kind in ("A", "I") else out
+
+
 def _list(node: Node, out: Lines, nested: bool) -> None:
-    number = node.attrs.get("start") or "1"
-    number = int(number) if re.fullmatch(r"-?\d{1,9}", number) else 1
+    items = sum(isinstance(x, Node) and x.tag == "li" and visible(x) for x in node.children)
+    step = -1 if "reversed" in node.attrs else 1
+    number = _integer(node.attrs.get("start"), items if step < 0 else 1)
     lines: list[str] = []
     for x in node.children:
         if isinstance(x, str):
@@ -290,8 +384,9 @@ def _list(node: Node, out: Lines, nested: bool) -> None:
             continue
         body = _alone(x) if x.tag in EMBEDDED else render(x)
         if x.tag == "li":
-            marker = f"{number}. " if node.tag == "ol" else "- "
-            number += 1
+            number = _integer(x.attrs.get("value"), number) if node.tag == "ol" else number
+            marker = "" if x.veiled else f"{_numeral(number, x.attrs.get('type') or node.attrs.get('type'))}. " if node.tag == "ol" else "- "
+            number += step
         else:
             marker = ""
         pad = " " * len(marker)
@@ -308,7 +403,7 @@ def _flow(x: Node, out: Lines, nested: bool = False) -> None:
     elif tag == "hr":
         out.end(1)
     elif tag == "img":
-        if (alt := x.attrs.get("alt") or "").strip():
+        if (alt := x.attrs.get("alt") or "").strip() and not x.veiled:
             out.text(alt)
     elif tag == "pre":
         text = _plain(x)
@@ -321,6 +416,8 @@ def _flow(x: Node, out: Lines, nested: bool = False) -> None:
         inner = render(x)
         out.block([" " * INDENT + line if line else "" for line in inner], 1 if tag == "blockquote" else 0)
     elif tag == "select":
+        if x.veiled:
+            return
         out.text(" " + " ".join(_shown_options(x)) + " ")
     elif tag == "textarea":
         out.text(" ")
@@ -378,21 +475,23 @@ def _drawing(node: Node, out: Lines) -> None:
             _drawing(x, out)
 
 
-def _options(node: Node, disabled: bool, seen: bool) -> Iterator[tuple[Node, bool, bool]]:
+def _options(node: Node, disabled: bool, seen: bool) -> list[tuple[Node, bool, bool]]:
     """Options and groups of a select: node, is disabled, is visible in a list."""
+    out = []
     for x in node.children:
         if isinstance(x, Node):
             own = disabled or x.tag in ("option", "optgroup") and "disabled" in x.attrs, seen and visible(x)
             if x.tag in ("option", "optgroup"):
-                yield x, *own
+                out.append((x, *own))
             if x.tag != "option":
-                yield from _options(x, *own)
+                out += _options(x, *own)
+    return out
 
 
 def _shown_options(node: Node) -> list[str]:
     """All labels of a list box; of a drop-down the last selected option, or the first that is not disabled."""
     size = node.attrs.get("size") or ""
-    found = list(_options(node, False, True))
+    found = _options(node, False, True)
     if "multiple" in node.attrs or size.isdecimal() and int(size) > 1:
         shown = [x for x, _, seen in found if seen]
     else:
@@ -408,10 +507,15 @@ def _alone(x: Node) -> list[str]:
 
 
 def _plain(node: Node) -> str:
-    return "".join(
-        x if isinstance(x, str) else "\n" if x.tag == "br" else "" if not visible(x) else "\n".join(_alone(x)) if x.tag in EMBEDDED else _plain(x)
-        for x in node.children
-    )
+    out = []
+    for x in node.children:
+        if isinstance(x, str):
+            out.append(x)
+        elif x.tag == "br":
+            out.append("\n")
+        elif visible(x):
+            out.append("\n".join(_alone(x)) if x.tag in EMBEDDED else _plain(x))
+    return "".join(out)
 
 
 def _inside(node: Node, out: Lines) -> None:
@@ -459,7 +563,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, title, text, n_bytes (of the text in UTF-8) for each row of ``pages`` (page_id, url, html).
 
     Null, empty and blank pages give empty texts; markup that is cut off gives what came before. Rows are
-    independent, so repeated rows or ids don't matter; other columns aren't read.
+    independent, so repeated rows or ids don't matter; other columns, whatever their names, aren't read. Pages may be
+    of any length and depth. An image is told by its ``alt``, which is what is seen in its place.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("text")
