@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from offerweave.llm.shared import stored
+from offerweave.llm.shared import apart, stored
 from offerweave.llm.words import SPACE, buffers, slices, windows, word_table
 
 LEAST_DOCUMENTS = 20
@@ -151,7 +151,7 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 
 def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose last column is ``__gone``: the same without it, and without these lines in ``text``."""
+    """Rows whose last column is their lines that go: the same without it, and without these lines in ``text``."""
     for batch in slices(batches, "text"):
         names = batch.schema.names[:-1]
         columns = dict(zip(names, batch.columns, strict=False))
@@ -175,8 +175,10 @@ def _without_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, lines above the limit removed from ``text``.
 
-    All columns are returned. Where ``docs`` has a whole-number n_chars it is set anew for shortened texts.
+    All columns are returned, whatever their names. Where ``docs`` has a whole-number n_chars it is set anew for shortened
+    texts. Null and blank texts fail the base rules and go; rows that repeat id, text and host share their verdict.
+    An empty table gives one. Very long texts come alone into a batch.
     """
-    kept = _marked(docs).where("kept").groupBy(*KEY).agg(F.first("__gone").alias("__gone"))
-    met = docs.select("*", *_keys()).join(kept, list(KEY)).select(*docs.columns, "__gone")
-    return met.mapInArrow(_without_lines, docs.schema)
+    kept = _marked(docs).where("kept").groupBy(*KEY).agg(F.first("__gone").alias("gone"))
+    met = docs.select(F.struct("*").alias("row"), *_keys()).join(kept, list(KEY))
+    return met.select("row.*", F.col("gone").alias(apart(docs, "gone"))).mapInArrow(_without_lines, docs.schema)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.llm.components import components
-from offerweave.llm.shared import Scratch, stored
+from offerweave.llm.shared import Scratch, packed, stored
 from offerweave.llm.words import buffers, mix, slices, windows, word_table
 
 SHINGLE = 5
@@ -204,18 +204,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, one of each component: that of the smallest doc_id (null last), then of a text hash.
 
-    Rows without words stay, all of them. Of rows that repeat both id and text one stays.
+    Rows without words (null or blank texts) stay, all of them. Of rows that repeat both id and text one stays. An empty
+    table gives one. Columns may have any names; very long texts come alone into a batch.
     """
     group = stored(_grouped(docs).select("doc_id", "text_hash", "node", "root"), "groups")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     chosen = group.where("node is not null").groupBy("root").agg(F.min(order).alias("c")).select("c.doc_id", "c.text_hash")
-    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.lit(True).alias("__one"))
-    empty = group.where("node is null").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.lit(False).alias("__one")).distinct()
-    keyed = docs.withColumn("__hash", F.xxhash64(F.col("text").cast("string")))
-    kept = chosen.unionByName(empty)
-    met = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__hash"] == kept["__hash"])).drop(kept["__hash"])
-    repeat = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(F.lit(0)))
-    return met.withColumn("__k", repeat).where("not __one or __k = 1").select(*docs.columns)
+    chosen = chosen.withColumn("one", F.lit(True))
+    empty = group.where("node is null").select("doc_id", "text_hash", F.lit(False).alias("one")).distinct()
+    kept = chosen.unionByName(empty).withColumnsRenamed({"doc_id": "kept_id", "text_hash": "kept_hash"})
+    keyed = packed(docs, id=F.col("doc_id").cast("long"), hash=F.xxhash64(F.col("text").cast("string")))
+    met = keyed.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash")))
+    repeat = F.row_number().over(Window.partitionBy("id", "hash").orderBy(F.lit(0)))
+    return met.withColumn("k", repeat).where("not one or k = 1").select("row.*")
 
 
 def _texts_of(rows: DataFrame, met: DataFrame, scratch: Scratch) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from offerweave.operators.tables import shared_dir
 
@@ -13,6 +14,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/offerweave/{name}-{uuid.uuid4().hex}"
 
 
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """The caller's row as one struct ``row`` beside ``keys``: no name of a column of theirs can meet one of ours."""
+    return docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in keys.items()])
+
+
+def apart(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Scratch:
     """Stored tables that an operator needs only until its own last table is written; then they are deleted."""
 

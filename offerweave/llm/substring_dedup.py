@@ -22,6 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from offerweave.llm.shared import apart, packed
 from offerweave.llm.words import buffers, mix, slices, windows, word_table
 
 WINDOW = 35
@@ -234,7 +235,7 @@ def substring_report(docs: DataFrame) -> DataFrame:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose last column is ``__ranges``: the same without it, ``text`` (and n_chars) made anew where it is set."""
+    """Rows whose last column is their ranges: the same without it, ``text`` (and n_chars) made anew where it is set."""
     for batch in slices(batches, "text"):
         names = batch.schema.names[:-1]
         columns = dict(zip(names, batch.columns, strict=False))
@@ -265,12 +266,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with all words cut from ``text`` that repeated windows cover; rows and columns stay as they are.
 
     A removed word goes with the white space after it. Where ``docs`` has a whole-number n_chars it is set anew for
-    cut texts.
+    cut texts. Null, blank and short texts stay as they are; rows that repeat a long text lose all words that its
+    windows cover. An empty table gives one. Other columns may have any names; very long texts come alone into a batch.
     """
-    ranges = repeated_ranges(docs).select(F.col("id").alias("__id"), F.col("hash").alias("__hash"), F.col("ranges").alias("__ranges"))
-    keyed = docs.withColumns({
-        "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)),
-        "__hash": F.xxhash64(F.col("text").cast("string")),
-    })
-    met = keyed.join(ranges, ["__id", "__hash"], "left").select(*docs.columns, "__ranges")
-    return met.mapInArrow(_cut, docs.schema)
+    keyed = packed(docs, id=F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), hash=F.xxhash64(F.col("text").cast("string")))
+    met = keyed.join(repeated_ranges(docs), ["id", "hash"], "left")
+    return met.select("row.*", F.col("ranges").alias(apart(docs, "ranges"))).mapInArrow(_cut, docs.schema)
