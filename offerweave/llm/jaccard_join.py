@@ -41,6 +41,7 @@ LIST = 1 << 14  # entries of a list, or of a salted part of a hot one, that are
 BLOCK = 1 << 10  # entries of a long list's block
 SHORT_LIST = 1 << 9
 GROUP = 1 << 16  # entries of short lists in one task
+NO_ID = -(2**63)  # stands for null where texts are looked up
 SKIP = 64  # entries that are skipped or read together
 
 
@@ -133,17 +134,19 @@ def may_meet(n_a, left_a, n_b, left_b):
 
 def _streamed(salts: list[int]):
     """Sorted entries to those of lists with two or more, each with the first of its size band if the two may meet."""
-    several = np.array(salts) > 1
+    of = np.array(salts)
+    several = of > 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried, told = None, True  # the first entry of the band that is open, and whether it went out
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(6)])
+            x = np.stack([batch.column(k).to_numpy() for k in range(3)])
             if carried is not None:
                 x = np.concatenate([carried[:, None], x], 1)
-            token, salt, band, c, n, pos = x
+            token, c, n, pos = x[0], x[1], x[2] >> 32, x[2] & 0xFFFFFFFF
+            salt, band = c % of[token >> LEVEL_BITS], bands(n)
             new = np.concatenate([[True], (np.diff(token) != 0) | (np.diff(salt) != 0)])
             group = np.cumsum(new) - 1
             size = np.bincount(group)
@@ -163,19 +166,24 @@ def _streamed(salts: list[int]):
     return run
 
 
-def _band(n: Column) -> Column:
-    """Sets of sizes near enough to be linked are in one band or in neighbouring ones."""
-    return F.floor(F.log(n) / F.lit(math.log(DEN / NUM))).cast("int")
+#: Sets of sizes near enough to be linked are in one band or in neighbouring ones.
+BANDS = [math.ceil((DEN / NUM) ** k) for k in range(1, 100)]
+
+
+def bands(n: np.ndarray) -> np.ndarray:
+    return np.searchsorted(BANDS, n, "right")
 
 
 def index_lists(classes: DataFrame, mean: float) -> DataFrame:
     """(token, band, c, n, pos, lead) of every list with two classes or more."""
     salts = [max(1, int(mean * 2**k / LIST)) if k else 1 for k in range(32)]
     entries = classes.select("c", "n", F.posexplode("prefix").alias("pos", "token"))
+    # size and position in one number, and sorted by it: of each band the smallest class comes first
+    entries = entries.select("token", "c", (F.shiftleft(F.col("n"), 32) + F.col("pos")).alias("at"))
     dealt = F.element_at(F.array(*[F.lit(s) for s in salts]), F.shiftright("token", LEVEL_BITS).cast("int") + 1)
-    entries = entries.select("token", F.pmod(F.xxhash64("c"), dealt).cast("int").alias("salt"), _band(F.col("n")).alias("band"), "c", "n", "pos")
+    salt = F.col("c") % dealt
     n_parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = entries.repartition(n_parts, "token", "salt").sortWithinPartitions("token", "salt", "band", "c")
+    entries = entries.repartition(n_parts, F.col("token"), salt).sortWithinPartitions(F.col("token"), salt, F.shiftright("at", 32), F.col("c"))
     return entries.mapInArrow(_streamed(salts), "token long, band int, c long, n long, pos long, lead long")
 
 
@@ -331,14 +339,14 @@ def derived_links(pairs: DataFrame, links: DataFrame, slim: DataFrame, texts: Da
 
 
 # --- the join --------------------------------------------------------------------------------------------------------
-def _all_links(rows: DataFrame, classes: DataFrame, mean: float, scratch: Scratch) -> DataFrame:
+def _all_links(rows: DataFrame, classes: DataFrame, lists: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (a, b) between classes; every two linked classes are linked here or joined by a chain of links."""
-    lists = scratch.stored(index_lists(classes, mean), "lists")
     slim = scratch.stored(classes.select("c", "n", "bits", "of").join(lists.select("c").distinct(), "c"), "slim")
-    of = slim.select("c", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
-    texts = rows.join(of, (rows["text_hash"] == of["of_hash"]) & rows["doc_id"].eqNullSafe(of["of_id"])).select("c", "text")
-    # rows that repeat id and text give the same text again; any one does
-    texts = scratch.stored(texts.groupBy("c").agg(F.first("text").alias("text")), "texts")
+    number = lambda c: F.coalesce(c, F.lit(NO_ID)).alias("id")
+    of = slim.select("c", number(F.col("of.doc_id")), F.col("of.text_hash").alias("text_hash"))
+    # rows that repeat id and text give the same text again; any one does, and no further exchange is needed
+    texts = rows.select(number(F.col("doc_id")), "text_hash", "text").join(of, ["id", "text_hash"])
+    texts = scratch.stored(texts.groupBy("id", "text_hash").agg(F.first("c").alias("c"), F.first("text").alias("text")).select("c", "text"), "texts")
     pairs = lists.where("lead is not null").select(F.least("lead", "c").alias("a"), F.greatest("lead", "c").alias("b")).distinct()
     links = scratch.stored(_linked(differences(likely(pairs, slim), texts)), "links1")
     members = _mixed(lists, components(links, scratch), scratch)
@@ -365,12 +373,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     level, mean = slot_levels(rows, rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     with Scratch(docs.sparkSession) as scratch:
-        made = scratch.stored(rows.mapInArrow(_sets(level), _SETS), "sets")
-        classes = made.where("node is not null").groupBy("node").agg(
-            F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("n_shingles").alias("n")
-        )
-        classes = scratch.stored(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-        roots = components(_all_links(rows, classes, mean, scratch), scratch)
+        with Scratch(docs.sparkSession) as early:  # tables with prefixes go as soon as the lists are made
+            sets = early.stored(rows.mapInArrow(_sets(level), _SETS), "sets")
+            made = scratch.stored(sets.select("doc_id", "n_shingles", "node"), "rows")
+            classes = sets.where("node is not null").groupBy("node").agg(
+                F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits"), F.first("n_shingles").alias("n")
+            )
+            classes = early.stored(classes.withColumn("c", F.monotonically_increasing_id()), "prefixes")
+            lists = scratch.stored(index_lists(classes, mean), "lists")
+            classes = scratch.stored(classes.drop("prefix"), "classes")
+        roots = components(_all_links(rows, classes, lists, scratch), scratch)
         named = classes.select("c", "node", "least_id").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
         label = scratch.stored(named.join(ids, "root").select("node", "component_id"), "labels")

@@ -101,21 +101,31 @@ def test_lists_across_batches():
     import pyarrow as pa
 
     draw = random.Random(2)
-    rows = sorted((draw.randrange(12), draw.randrange(2), draw.randrange(2), c, draw.randrange(20, 25), draw.randrange(3)) for c in range(60))
-    table = pa.table({n: pa.array([r[k] for r in rows], pa.int64()) for k, n in enumerate(("token", "salt", "band", "c", "n", "pos"))})
+    rows = sorted((draw.randrange(12), c % 2, draw.randrange(20, 60), c, draw.randrange(3)) for c in range(80))
+    token, _, n, c, pos = (pa.array([r[k] for r in rows], pa.int64()) for k in range(5))
+    table = pa.table({"token": token, "c": c, "at": pa.array([r[2] << 32 | r[4] for r in rows], pa.int64())})
 
     def run(size):
         batches = table.to_batches(max_chunksize=size)
-        return [tuple(r.values()) for b in jaccard_join._streamed([1] * 32)(iter(batches)) for r in b.to_pylist()]
+        return [tuple(r.values()) for b in jaccard_join._streamed([2] + [1] * 31)(iter(batches)) for r in b.to_pylist()]
 
     whole = run(1000)
     assert sorted(whole, key=str) == sorted(run(1), key=str) == sorted(run(7), key=str)
-    several = Counter((r[0], r[1]) for r in rows)
-    assert Counter(r[0] for r in whole) == Counter(t for t, s, *_ in rows if several[t, s] > 1)
+    assert sorted((r[0], r[2], r[3], r[4]) for r in whole) == sorted((t, x, m, p) for t, _, m, x, p in rows)  # salted: all of them
     first: dict = {}
-    for t, s, b, c, *_ in rows:
-        first.setdefault((t, s, b), c)
-    assert {(r[2], r[5]) for r in whole if r[5] is not None} <= {(c, first[t, s, b]) for t, s, b, c, *_ in rows}
+    for t, s, m, x, _ in rows:
+        first.setdefault((t, s, int(jaccard_join.bands(m))), x)
+    assert {(r[2], r[5]) for r in whole if r[5] is not None} <= {(x, first[t, s, int(jaccard_join.bands(m))]) for t, s, m, x, _ in rows}
+    table = table.set_column(0, "token", pa.array([r[0] | 1 << jaccard_join.LEVEL_BITS for r in rows], pa.int64())).sort_by([("token", "ascending"), ("at", "ascending"), ("c", "ascending")])
+    several = Counter(r[0] for r in rows)
+    assert Counter(r[0] & 15 for r in run(5)) == Counter({t: k for t, k in several.items() if k > 1})
+
+
+def test_bands_hold_what_may_meet():
+    n = np.arange(1, 3000)
+    band = jaccard_join.bands(n)
+    assert (np.diff(band) >= 0).all()
+    assert all(band[k - 1] <= band[(100 * k // 80) - 1] <= band[k - 1] + 1 for k in range(1, 2300))
 
 
 @given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300), st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=40), st.floats(0, 1))
