@@ -85,6 +85,15 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def staged(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``columns`` alone, computed once whatever is made of them later.
+
+    The optimizer may neither repeat what a random number decides about nor move filters below it, so that long
+    expressions aren't written out again wherever their column is used.
+    """
+    return df.select(F.when(F.rand(0) < 2, F.struct(*[c.alias(n) for n, c in columns.items()])).alias("stage")).select("stage.*")
+
+
 def clean_stage(
     df: DataFrame, cols: Mapping[str, Column], again: Sequence[str] = (), barrier: bool = False
 ) -> DataFrame:

@@ -43,6 +43,12 @@ class Workspace:
     def __init__(self, spark: SparkSession) -> None:
         self.spark, self.paths = spark, {}
 
+    def path(self) -> str:
+        """A folder that a table of the caller's own layout may be made in, deleted like the others."""
+        path = _new_path(self.spark)
+        self.paths[path] = (path, path)
+        return path
+
     def written(self, df: DataFrame) -> DataFrame:
         path = _new_path(self.spark)
         out = _write(df, path)
@@ -50,9 +56,11 @@ class Workspace:
         return out
 
     def drop(self, *tables: DataFrame) -> None:
+        self._delete([self.paths.pop(id(t))[0] for t in tables])
+
+    def _delete(self, paths: list[str]) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for t in tables:
-            path, _ = self.paths.pop(id(t))
+        for path in paths:
             where = jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(conf).delete(where, True)
 
@@ -60,4 +68,5 @@ class Workspace:
         return self
 
     def __exit__(self, *_) -> None:
-        self.drop(*[t for _, t in self.paths.values()])
+        self._delete([path for path, _ in self.paths.values()])
+        self.paths.clear()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from offerweave.functions import fields, text, vocab
 from offerweave.operators import dedup, normalize, pages, scope, skills, store
-from offerweave.operators.tables import written
+from offerweave.operators.tables import Workspace, written
 from offerweave.plans.oracles import ORACLES as SQL
 from offerweave.plans.oracles import SELECTED
 from offerweave.sources import bridge, mappings
@@ -182,66 +182,102 @@ def france_travail_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mappings.first_wins(keyed, ["k"], "_ord").select("k", F.col("_ord").alias("ord"))
 
 
-@query
-def map_wttj(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fallback rows, half of them with a JSON list of skills."""
-    raw = _of(spark, sf_dir, "welcome_to_the_jungle").select(
+def _wttj(rows: DataFrame) -> DataFrame:
+    """Fallback rows under French names, half of them with a JSON list of skills."""
+    raw = rows.where("source = 'welcome_to_the_jungle'").select(
         F.col("ord").alias("_ord"), F.col("external_id").alias("id"), F.col("title").alias("titre"), F.col("company_name").alias("entreprise"), F.col("location_label").alias("lieu"),
         F.col("salary").alias("salaire"), F.col("published_at").alias("date_publication"), F.when(F.col("ord") % 2 == 0, F.to_json(F.array("skills", F.lit("x")))).otherwise(F.col("skills")).alias("skills"),
+        F.col("url").alias("lien"), F.col("description").alias("resume"), F.col("contract_type").alias("contrat"), F.col("telework").alias("teletravail"),
+        F.when(F.col("ord") % 3 == 0, "Banque").alias("secteur"), F.when(F.col("ord") % 4 == 1, "12 collaborateurs").otherwise("").alias("taille_entreprise"),
     )
-    mapped = mappings.wttj(raw)
-    return mapped.select(F.col("_ord").alias("ord"), "external_id", "title", "company", "location", "salary", "published_at", F.array_join("skills", "|").alias("skills"))
+    return mappings.wttj(raw)
+
+
+@query
+def map_wttj(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = _wttj(bridge.offers(spark, sf_dir))
+    more = ("url", "description", "contract_type", "remote_policy", "sector", "company_size")
+    return mapped.select(F.col("_ord").alias("ord"), "external_id", "title", "company", "location", "salary", "published_at", *more, F.array_join("skills", "|").alias("skills"))
 
 
-BPCE = ("_ord", "référence de l'offre", "Visualisation de l'offre", "Titre de l'annonce", "Entreprise", "Ville", "Pays", "salary_min", "salary_max", "Type de contrat", "Date dernière modification", "teletravail", "description")
+BPCE = (
+    "_ord", "référence de l'offre", "Visualisation de l'offre", "Titre de l'annonce", "Entreprise", "Ville", "Pays", "salary_min", "salary_max", "Type de contrat", "Date dernière modification", "teletravail",
+    "description", "Groupe", "Famille d'emploi", "Emploi", "jobcode", "degree", "nom_recruteur_principal", "email_recruteur_principal", "URL candidature",
+)
 
 
-@query
-def map_bpce(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _bpce(rows: DataFrame) -> DataFrame:
     """Lines of CSV with semicolons and untidy headers, then read, trimmed and mapped."""
     url = F.when(F.col("ord") % 2 == 0, F.col("url")).otherwise("")
     values = [F.col("ord"), F.col("external_id"), url, F.col("title"), F.col("company_name"), F.col("location_label"), F.lit("France"), *[F.col(c) for c in ("salary_min", "salary_max", "contract_type", "published_at", "telework", "description")]]
+    group = F.when(F.col("ord") % 3 == 0, "Groupe")
+    values += [group, F.lit(" Famille "), F.lit("Emploi"), F.concat(F.lit("J"), F.col("ord") % 7), F.lit("bac+5"), F.lit("R."), F.concat(F.lit("r"), F.col("g"), F.lit("@example.com")), F.concat(F.lit("https://apply.example.com/"), F.col("ord"))]
     line = F.to_csv(F.struct(*[v.cast("string").alias(f"c{k}") for k, v in enumerate(values)]), {"sep": ";", "quoteAll": "true"})
-    lines = _of(spark, sf_dir, "bpce").select(line.alias("line"))
+    lines = rows.where("source = 'bpce'").select(line.alias("line"))
     schema = ", ".join(f"c{k} string" for k in range(len(BPCE)))
-    rows = lines.select(F.from_csv("line", F.lit(schema), {"sep": ";"}).alias("r")).select(*[F.col(f"r.c{k}").alias(f"\ufeff{n} " if k == 1 else n) for k, n in enumerate(BPCE)])
-    rows = mappings.not_blank(mappings.trimmed(rows), list(BPCE[1:]))
-    mapped = mappings.bpce(rows)
-    return mapped.select(F.col("_ord").cast("long").alias("ord"), "external_id", "title", "company_name", "location_label", "salary", "contract_type", "published_at", "url", "telework")
+    read = lines.select(F.from_csv("line", F.lit(schema), {"sep": ";"}).alias("r")).select(*[F.col(f"r.c{k}").alias(f"\ufeff{n} " if k == 1 else n) for k, n in enumerate(BPCE)])
+    read = mappings.not_blank(mappings.trimmed(read), list(BPCE[1:]))
+    return mappings.bpce(read.withColumn("_ord", F.col("_ord").cast("long")))
 
 
 @query
-def map_ile_de_france(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _of(spark, sf_dir, "region_ile_de_france").select(
+def map_bpce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = _bpce(bridge.offers(spark, sf_dir))
+    more = ("application_url", "job_family", "job_label", "job_code", "group_name", "degree", "recruiter_name", "recruiter_email")
+    return mapped.select(F.col("_ord").alias("ord"), "external_id", "title", "company_name", "location_label", "salary", "contract_type", "published_at", "url", "telework", *more)
+
+
+def _ile_de_france(rows: DataFrame) -> DataFrame:
+    raw = rows.where("source = 'region_ile_de_france'").select(
         F.col("ord").alias("_ord"), F.col("external_id").alias("id"), F.col("title").alias("Titre du poste"), F.col("company_name").alias("Nom de la collectivité"), F.lit("Entité").alias("Entité"),
         F.col("location_label").alias("Commune du lycée"), F.lit("").alias("Code postal du lycée"), F.lit("Ailleurs").alias("Lieu de Travail"), F.col("published_at").alias("Date de mise en ligne"),
         F.col("description").alias("Vos Missions (format texte)"), F.lit("Votre profil").alias("Votre Profil (format texte)"), F.col("description").alias("Pied de page (format texte)"),
         F.concat(F.lit("- "), "skills", F.lit(" -\nBAC+5\n\n- BAC+5")).alias("Formations obligatoires"), F.col("contract_type").alias("Type de contrat"), F.col("telework").alias("Durée hebdomadaire de travail"),
+        F.when(F.col("ord") % 2 == 0, "Informatique").otherwise(" ").alias("Famille de métiers"), F.lit("Data").alias("Fonction"), F.when(F.col("ord") % 3 == 0, "A").alias("Catégorie"), F.lit("Technique").alias("Filière"),
+        F.concat(F.lit("Domaine "), F.col("g") % 5).alias("Domaine"), F.lit(" Réseaux ").alias("Spécialité"), F.lit("12 mois").alias("Durée du contrat"), F.lit("2024-09-01").alias("Date de début de contrat"),
     )
-    mapped = mappings.ile_de_france(raw)
-    return mapped.select(F.col("_ord").alias("ord"), "external_id", "title", "company_name", "location_label", "description", F.array_join("skills", "|").alias("skills"), F.col("weekly_work_duration").alias("weekly"))
+    return mappings.ile_de_france(raw)
 
 
-def _adzuna(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query
+def map_ile_de_france(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mapped = _ile_de_france(bridge.offers(spark, sf_dir))
+    more = ("job_family", "job_label", "category", "filiere", "domaine", "speciality", "contract_duration", "contract_start_date")
+    return mapped.select(F.col("_ord").alias("ord"), "external_id", "title", "company_name", "location_label", "description", F.array_join("skills", "|").alias("skills"), F.col("weekly_work_duration").alias("weekly"), *more)
+
+
+def _adzuna(rows: DataFrame) -> DataFrame:
     number = lambda c: F.coalesce(F.nullif(F.col(c), F.lit("")).cast("double"), F.lit(0.0)).alias(c)
     row = F.struct(
         F.col("ord").alias("latitude"), F.col("external_id").alias("id"), "title", "description", F.col("published_at").alias("created"), F.col("url").alias("redirect_url"), F.struct(F.col("company_name").alias("display_name")).alias("company"),
         F.struct(F.col("location_label").alias("display_name")).alias("location"), F.when(F.col("g") % 2 == 0, F.struct(F.lit("IT Jobs").alias("label"), F.lit("it-jobs").alias("tag"))).alias("category"),
-        number("salary_min"), number("salary_max"), F.when(F.col("ord") % 2 == 0, "oui").otherwise("0").alias("salary_is_predicted"),
+        number("salary_min"), number("salary_max"), F.when(F.col("ord") % 2 == 0, "oui").otherwise("0").alias("salary_is_predicted"), F.col("contract_type"), F.when(F.col("ord") % 3 == 0, "full_time").alias("contract_time"),
     )
-    pages_ = bridge.offers(spark, sf_dir).select("g", row.alias("row")).groupBy("g").agg(F.to_json(F.struct(F.collect_list("row").alias("results"))).alias("page")).select("page")
-    rows = mappings.envelope_rows(pages_, "page", mappings.ADZUNA_ROW, ("results",), bare=False)
-    return mappings.adzuna(rows.withColumn("_ord", F.col("latitude").cast("long")))
+    pages_ = rows.select("g", row.alias("row")).groupBy("g").agg(F.to_json(F.struct(F.collect_list("row").alias("results"))).alias("page")).select("page")
+    read = mappings.envelope_rows(pages_, "page", mappings.ADZUNA_ROW, ("results",), bare=False)
+    return mappings.adzuna(read.withColumn("_ord", F.col("latitude").cast("long")))
 
 
 @query
 def map_adzuna(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _adzuna(spark, sf_dir).select(F.col("_ord").alias("ord"), "external_id", "title", "salary", "salary_is_predicted", "category", "url")
+    more = ("company_name", "location_label", "contract_type", "contract_time", "application_url", "job_family", "job_label", "job_code")
+    return _adzuna(bridge.offers(spark, sf_dir)).select(F.col("_ord").alias("ord"), "external_id", "title", "salary", "salary_is_predicted", "category", "url", *more)
+
+
+@query
+def sources_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each source's rows the first with each id, rows without one left out; ten orders in turn share an id."""
+    shared = F.when(F.col("ord") % 11 == 0, "").otherwise(F.concat(F.lit(" e-"), (F.col("g") / 2).cast("long").cast("string"), F.lit(" ")))
+    rows = bridge.offers(spark, sf_dir).withColumn("external_id", shared)
+    kept = mappings.adzuna_status(_adzuna(rows)).where("status = 'kept'")
+    found = [m.select("source", "external_id", F.col("_ord").alias("ord")) for m in (_wttj(rows), _bpce(rows), _ile_de_france(rows), kept)]
+    union = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
+    return mappings.first_per_id(union, "ord")
 
 
 @query
 def adzuna_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mappings.adzuna_status(_adzuna(spark, sf_dir))
+    rows = mappings.adzuna_status(_adzuna(bridge.offers(spark, sf_dir)))
     return rows.groupBy("status").agg(F.count("*").alias("offers"), F.sum("salary_is_predicted").alias("predicted"))
 
 
@@ -254,15 +290,35 @@ def storage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir).select("ord", "source", "external_id", "title", "company", "location", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"), F.coalesce(F.get("skills", F.lit(0)), F.lit("")).alias("skills"))
 
 
+def _first_import(rows: DataFrame) -> DataFrame:
+    """Half of the keys, as imported on the first of June."""
+    then = fields.as_of_column(datetime(2024, 6, 1))
+    return mappings.last_wins(rows, store.KEY, "ord").drop("ord").where(F.length("external_id") % 2 == 0).withColumns({"imported_at": then, "updated_at": then})
+
+
 @query
 def upsert_offers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table of half the keys, and a batch of every third row with keys of both kinds."""
-    rows = _stored(spark, sf_dir)
-    then = fields.as_of_column(datetime(2024, 6, 1))
-    target = mappings.last_wins(rows, store.KEY, "ord").drop("ord").where(F.length("external_id") % 2 == 0).withColumns({"imported_at": then, "updated_at": then})
-    batch = rows.where("ord % 3 = 0").withColumn("title", F.concat("title", F.lit(" *")))
-    out = store.upsert(target, batch, AS_OF)
-    return out.select("source", "external_id", "title", F.date_format("imported_at", "yyyy-MM-dd").alias("imported"), F.date_format("updated_at", "yyyy-MM-dd").alias("updated"))
+    """A table of half the keys, and a batch of every third row with keys of both kinds: touched buckets are rewritten."""
+    with Workspace(spark) as work:
+        rows = work.written(_stored(spark, sf_dir))
+        table = store.OffersTable(spark, work.path())
+        table.create(_first_import(rows))
+        table.upsert(rows.where("ord % 3 = 0").withColumn("title", F.concat("title", F.lit(" *"))), AS_OF)
+        day = lambda c: F.date_format(c, "yyyy-MM-dd")
+        return written(table.read().select("source", "external_id", "title", day("imported_at").alias("imported"), day("updated_at").alias("updated")))
+
+
+@query
+def adzuna_store_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One portal's loop: filter its rows, put the first of each id in, read the recent history back."""
+    with Workspace(spark) as work:
+        rows = work.written(_stored(spark, sf_dir))
+        table = store.OffersTable(spark, work.path())
+        table.create(_first_import(rows))
+        kept = mappings.adzuna_status(_adzuna(bridge.offers(spark, sf_dir))).where("status = 'kept'")
+        table.upsert(store.storage_rows(mappings.first_per_id(kept, "_ord").withColumnRenamed("_ord", "ord")), AS_OF)
+        back = mappings.history(store.recent(table.read(), AS_OF, 30))
+        return written(back.select("origin_source", "external_id", "title", "company_name", "location_label", "published_at"))
 
 
 @query
@@ -272,6 +328,16 @@ def history_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped.select(F.substring_index("title", "#", 1).cast("long").alias("ord"), "origin_source", "external_id", "company_name", "location_label", "published_at")
 
 
+@query
+def history_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recent rows of a table by month, in order, with their rank."""
+    with Workspace(spark) as work:
+        rows = mappings.last_wins(_stored(spark, sf_dir), store.KEY, "ord")
+        table = store.HistoryTable(spark, work.path())
+        table.create(rows.withColumn("imported_at", fields.as_of_column(AS_OF) - F.make_dt_interval(F.col("ord") % 3)))
+        return written(table.in_order(AS_OF, 30).select("rank", "ord", "source", "external_id", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published")))
+
+
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical offers with their scope score, computed once and written: what follows reads it several times."""
     return written(normalize.normalized(scope.evaluated(offers(spark, sf_dir)), AS_OF))

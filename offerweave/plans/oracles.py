@@ -136,8 +136,8 @@ SCOPE = (
 # --- store and dedup ---------------------------------------------------------------------------------------------------
 STORED = (
     "SELECT ord, source, external_id0 AS external_id, title, company_name AS company, location_label AS location, published_raw, published, skills FROM ("
-    "SELECT *, CASE WHEN external_id <> '' THEN external_id ELSE 'fallback_' || substring(sha1(concat_ws(' | ', source, nullif(title, ''), nullif(company_name, ''), nullif(location_label, ''), nullif(published_raw, ''))), 1, 16) END AS external_id0 FROM ("
-    f"SELECT ord, source, trim(external_id) AS external_id, trim(title) AS title, company_name, location_label, published_at AS published_raw, {parsed('published_at', False)} AS published, trim(skills) AS skills "
+    "SELECT *, CASE WHEN external_id <> '' THEN external_id ELSE 'fallback_' || substring(sha1(concat_ws(' | ', source, nullif(title, ''), nullif(company_name, ''), nullif(location_label, ''), nullif(published_raw, ''), nullif(url, ''))), 1, 16) END AS external_id0 FROM ("
+    f"SELECT ord, source, trim(external_id) AS external_id, trim(title) AS title, company_name, location_label, published_at AS published_raw, {parsed('published_at', False)} AS published, trim(skills) AS skills, trim(url) AS url "
     f"FROM o WHERE source IN ({words(vocab.STORE_SOURCES)})) a) b"
 )
 SIGNED = (
@@ -265,19 +265,19 @@ ORACLES: dict[str, str] = {
     ),
     "map_wttj": offers(
         "SELECT ord, nullif(external_id, '') AS external_id, nullif(title, '') AS title, nullif(company_name, '') AS company, nullif(location_label, '') AS location, nullif(salary, '') AS salary, "
-        "nullif(published_at, '') AS published_at, CASE WHEN ord % 2 = 0 THEN skills || '|x' ELSE '' END AS skills FROM o WHERE source = 'welcome_to_the_jungle'"
+        "nullif(published_at, '') AS published_at, nullif(url, '') AS url, nullif(description, '') AS description, nullif(contract_type, '') AS contract_type, nullif(telework, '') AS remote_policy, CASE WHEN ord % 3 = 0 THEN 'Banque' END AS sector, CASE WHEN ord % 4 = 1 THEN '12 collaborateurs' END AS company_size, CASE WHEN ord % 2 = 0 THEN skills || '|x' ELSE '' END AS skills FROM o WHERE source = 'welcome_to_the_jungle'"
     ),
     "map_bpce": offers(
         f"SELECT ord, CASE WHEN own <> '' THEN own WHEN joined = '' THEN '' ELSE 'bpce_' || substring(sha1(joined), 1, 16) END AS external_id, title, company_name, place AS location_label, "
-        "CASE WHEN salary_min <> '' AND salary_max <> '' THEN salary_min || ' - ' || salary_max WHEN salary_min <> '' THEN salary_min ELSE salary_max END AS salary, contract_type, published_at, url, telework FROM ("
+        "CASE WHEN salary_min <> '' AND salary_max <> '' THEN salary_min || ' - ' || salary_max WHEN salary_min <> '' THEN salary_min ELSE salary_max END AS salary, contract_type, published_at, url, telework, 'https://apply.example.com/' || ord AS application_url, 'Famille' AS job_family, 'Emploi' AS job_label, 'J' || (ord % 7) AS job_code, CASE WHEN ord % 3 = 0 THEN 'Groupe' ELSE '' END AS group_name, 'bac+5' AS degree, 'R.' AS recruiter_name, 'r' || g || '@example.com' AS recruiter_email FROM ("
         "SELECT *, coalesce(nullif(trim(external_id), ''), CASE WHEN ord % 2 = 0 THEN nullif(trim(url), '') END, '') AS own, concat_ws(' | ', nullif(title_t, ''), nullif(company_name, ''), nullif(place, ''), nullif(published_at, '')) AS joined FROM ("
-        "SELECT ord, external_id, trim(title) AS title, trim(title) AS title_t, company_name, array_to_string(list_distinct_ordered, ', ') AS place, salary_min, salary_max, contract_type, published_at, CASE WHEN ord % 2 = 0 THEN url ELSE '' END AS url, telework FROM ("
+        "SELECT ord, g, external_id, trim(title) AS title, trim(title) AS title_t, coalesce(nullif(company_name, ''), CASE WHEN ord % 3 = 0 THEN 'Groupe' END, '') AS company_name, array_to_string(list_distinct_ordered, ', ') AS place, salary_min, salary_max, contract_type, published_at, CASE WHEN ord % 2 = 0 THEN url ELSE '' END AS url, telework FROM ("
         "SELECT *, list_filter([location_label, CASE WHEN location_label = 'France' THEN '' ELSE 'France' END], lambda x: x <> '') AS list_distinct_ordered FROM o WHERE source = 'bpce') a) b) c"
     ),
     "map_ile_de_france": offers(
-        "SELECT ord, CASE WHEN external_id <> '' THEN external_id WHEN joined = '' THEN '' ELSE 'idf_' || substring(sha1(joined), 1, 16) END AS external_id, title, company_name, location_label, description, skills, weekly FROM ("
+        "SELECT ord, CASE WHEN external_id <> '' THEN external_id WHEN joined = '' THEN '' ELSE 'idf_' || substring(sha1(joined), 1, 16) END AS external_id, title, company_name, location_label, description, skills, weekly, CASE WHEN ord % 2 = 0 THEN 'Informatique' ELSE '' END AS job_family, 'Data' AS job_label, CASE WHEN ord % 3 = 0 THEN 'A' ELSE '' END AS category, 'Technique' AS filiere, 'Domaine ' || (g % 5) AS domaine, 'Réseaux' AS speciality, '12 mois' AS contract_duration, '2024-09-01' AS contract_start_date FROM ("
         "SELECT *, concat_ws(' | ', nullif(title, ''), nullif(company_name, ''), nullif(location_label, ''), nullif(published_at, '')) AS joined FROM ("
-        "SELECT ord, external_id, trim(title) AS title, coalesce(nullif(company_name, ''), 'Entité') AS company_name, published_at, CASE WHEN location_label <> '' THEN location_label ELSE 'Ailleurs' END AS location_label, "
+        "SELECT ord, g, external_id, trim(title) AS title, coalesce(nullif(company_name, ''), 'Entité') AS company_name, published_at, CASE WHEN location_label <> '' THEN location_label ELSE 'Ailleurs' END AS location_label, "
         "CASE WHEN trim(description) <> '' THEN trim(description) || chr(10) || chr(10) ELSE '' END || 'Votre profil' AS description, CASE WHEN skills <> '' THEN trim(skills, ' -') || '|' ELSE '' END || 'BAC+5' AS skills, telework AS weekly "
         "FROM o WHERE source = 'region_ile_de_france') a) b"
     ),
@@ -286,8 +286,17 @@ ORACLES: dict[str, str] = {
         "CASE WHEN ord % 2 = 0 THEN 1 ELSE 0 END AS predicted FROM o) x GROUP BY status"
     ),
     "map_adzuna": offers(
-        "SELECT ord, external_id, title, CASE WHEN salary_min <> '' AND salary_max <> '' THEN salary_min || '.0 - ' || salary_max || '.0' WHEN salary_min <> '' THEN salary_min || '.0' WHEN salary_max <> '' THEN salary_max || '.0' ELSE '' END AS salary, "
-        "CASE WHEN ord % 2 = 0 THEN 1 ELSE 0 END AS salary_is_predicted, CASE WHEN g % 2 = 0 THEN 'IT Jobs' END AS category, url FROM o"
+        "SELECT ord, external_id, trim(title) AS title, CASE WHEN salary_min <> '' AND salary_max <> '' THEN salary_min || '.0 - ' || salary_max || '.0' WHEN salary_min <> '' THEN salary_min || '.0' WHEN salary_max <> '' THEN salary_max || '.0' ELSE '' END AS salary, "
+        "CASE WHEN ord % 2 = 0 THEN 1 ELSE 0 END AS salary_is_predicted, CASE WHEN g % 2 = 0 THEN 'IT Jobs' ELSE '' END AS category, url, company_name, location_label, contract_type, CASE WHEN ord % 3 = 0 THEN 'full_time' ELSE '' END AS contract_time, url AS application_url, CASE WHEN g % 2 = 0 THEN 'IT Jobs' ELSE '' END AS job_family, CASE WHEN g % 2 = 0 THEN 'IT Jobs' ELSE '' END AS job_label, CASE WHEN g % 2 = 0 THEN 'it-jobs' ELSE '' END AS job_code FROM o"
+    ),
+    "sources_first": offers(
+        "SELECT source, external_id, min(ord) AS ord FROM ("
+        "SELECT 'welcome_to_the_jungle' AS source, id AS external_id, ord FROM e WHERE source = 'welcome_to_the_jungle' AND id <> '' "
+        "UNION ALL SELECT 'bpce', CASE WHEN id <> '' THEN id WHEN ord % 2 = 0 AND trim(url) <> '' THEN trim(url) ELSE 'bpce_' || substring(sha1(concat_ws(' | ', nullif(trim(title), ''), "
+        "nullif(coalesce(nullif(company_name, ''), CASE WHEN ord % 3 = 0 THEN 'Groupe' END, ''), ''), CASE WHEN location_label <> '' THEN location_label || ', France' ELSE 'France' END, nullif(published_at, ''))), 1, 16) END, ord FROM e WHERE source = 'bpce' "
+        "UNION ALL SELECT 'region_ile_de_france', CASE WHEN id <> '' THEN id ELSE 'idf_' || substring(sha1(concat_ws(' | ', nullif(trim(title), ''), coalesce(nullif(company_name, ''), 'Entité'), coalesce(nullif(location_label, ''), 'Ailleurs'), nullif(published_at, ''))), 1, 16) END, ord FROM e WHERE source = 'region_ile_de_france' "
+        "UNION ALL SELECT 'adzuna', id, ord FROM e WHERE id <> '' AND (salary_min <> '' OR salary_max <> '') AND ord % 2 = 1) x GROUP BY ALL",
+        "e AS (SELECT *, CASE WHEN ord % 11 = 0 THEN '' ELSE 'e-' || CAST(g // 2 AS VARCHAR) END AS id FROM o)",
     ),
     "storage_rows": offers(
         "SELECT ord, source, external_id, title, company, location, strftime(published, '%Y-%m-%d %H:%M:%S') AS published, skills FROM (" + STORED + ") s",
@@ -302,6 +311,22 @@ ORACLES: dict[str, str] = {
         "t AS (SELECT source, external_id, title FROM b WHERE length(external_id) % 2 = 0)",
         "i AS (SELECT source, external_id, arg_max(title, ord) || ' *' AS title FROM s WHERE ord % 3 = 0 GROUP BY source, external_id)",
     ),
+    "adzuna_store_loop": offers(
+        "SELECT source AS origin_source, external_id, title, company AS company_name, location AS location_label, published_raw AS published_at FROM ("
+        "SELECT * FROM t WHERE source <> 'adzuna' UNION ALL SELECT * FROM i) u WHERE published IS NULL OR published >= TIMESTAMP '2024-06-15' - INTERVAL 30 DAY",
+        CLEANED,
+        f"s AS ({STORED})",
+        "b AS (SELECT source, external_id, arg_max(title, ord) AS title, arg_max(company, ord) AS company, arg_max(location, ord) AS location, arg_max(published_raw, ord) AS published_raw, arg_max({'p': published}, ord).p AS published FROM s GROUP BY ALL)",
+        "t AS (SELECT * FROM b WHERE length(external_id) % 2 = 0)",
+        f"i AS (SELECT 'adzuna' AS source, external_id, trim(title) AS title, company_name AS company, location_label AS location, published_at AS published_raw, {parsed('published_at', False)} AS published FROM o WHERE external_id <> '' AND (salary_min <> '' OR salary_max <> '') AND ord % 2 = 1)",
+    ),
+    "history_ordered": offers(
+        "SELECT row_number() OVER (ORDER BY published DESC NULLS LAST, ord % 3, source, external_id) AS rank, ord, source, external_id, strftime(published, '%Y-%m-%d %H:%M:%S') AS published FROM b "
+        "WHERE published IS NULL OR published >= TIMESTAMP '2024-06-15' - INTERVAL 30 DAY",
+        CLEANED,
+        f"s AS ({STORED})",
+        "b AS (SELECT source, external_id, max(ord) AS ord, arg_max({'p': published}, ord).p AS published FROM s GROUP BY ALL)",
+    ),
     "history_recent": offers(
         "SELECT ord, source AS origin_source, external_id, company AS company_name, location AS location_label, published_raw AS published_at FROM s WHERE published IS NULL OR published >= TIMESTAMP '2024-06-15' - INTERVAL 30 DAY",
         CLEANED,

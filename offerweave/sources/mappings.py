@@ -35,6 +35,12 @@ def with_id(df: DataFrame) -> DataFrame:
     return df.where(text.strip(text.text(F.col("external_id"))) != "")
 
 
+def first_per_id(df: DataFrame, order: str) -> DataFrame:
+    """Mapped rows with an id, of each source and trimmed id the first in ``order``."""
+    own = with_id(df).withColumn("external_id", text.strip(F.col("external_id")))
+    return first_wins(own, ["source", "external_id"], order)
+
+
 def envelope_rows(pages: DataFrame, column: str, row: str, names: tuple[str, ...], bare: bool = True) -> DataFrame:
     """Rows of JSON pages: the first of the envelope's lists that isn't empty, or a bare list."""
     lists = ",".join(f"{n}:array<{row}>" for n in names)
@@ -72,7 +78,7 @@ def france_travail_key(df: DataFrame) -> Column:
 
 def wttj(rows: DataFrame) -> DataFrame:
     """From fallback columns under their French or English names; skills only where they are a JSON list."""
-    pick = lambda *names: text.or_chain(*[F.col(n) for n in names if n in rows.columns])
+    pick = lambda *names: text.or_chain(*[F.col(n) for n in names if n in rows.columns] or [F.lit(None)])
     skills = pick("skills")
     return rows.select(
         *[c for c in rows.columns if c.startswith("_")],
@@ -83,6 +89,12 @@ def wttj(rows: DataFrame) -> DataFrame:
         pick("location", "lieu").alias("location"),
         pick("salary", "salaire").alias("salary"),
         pick("published_at", "date_publication").alias("published_at"),
+        pick("url", "lien").alias("url"),
+        pick("description", "resume").alias("description"),
+        pick("contract_type", "contrat").alias("contract_type"),
+        pick("remote_policy", "teletravail").alias("remote_policy"),
+        pick("sector", "secteur").alias("sector"),
+        pick("company_size", "taille_entreprise").alias("company_size"),
         F.when(F.startswith(F.ltrim(skills), F.lit("[")), F.from_json(skills, "array<string>")).otherwise(F.array().cast("array<string>")).alias("skills"),
     )
 
@@ -102,9 +114,19 @@ def joined_parts(*parts: Column) -> Column:
     return F.array_join(F.array_distinct(F.filter(F.array(*[text.strip(text.text(p)) for p in parts]), lambda x: x != "")), ", ")
 
 
+def _cleaned(rows: DataFrame) -> DataFrame:
+    """Every column as a trimmed text, '' for null; those that begin with an underscore as they are."""
+    return text.staged(rows, {n: F.col(f"`{n}`") if n.startswith("_") else text.strip(text.text(F.col(f"`{n}`"))) for n in rows.columns})
+
+
+def _first_of(rows: DataFrame, names: tuple[str, ...]) -> Column:
+    return F.coalesce(*[F.nullif(F.col(f"`{n}`"), F.lit("")) for n in names if n in rows.columns], F.lit(""))
+
+
 def bpce(rows: DataFrame) -> DataFrame:
     """From the portal's French headers."""
-    c = lambda *names: text.first_non_blank(*[F.col(f"`{n}`") for n in names if n in rows.columns])
+    rows = _cleaned(rows)
+    c = lambda *names: _first_of(rows, names)
     url = c("Visualisation de l'offre")
     title, company = c("Titre de l'annonce"), c("Entreprise", "Groupe")
     place = joined_parts(c("Ville"), c("Région"), c("Pays"))
@@ -114,7 +136,9 @@ def bpce(rows: DataFrame) -> DataFrame:
         F.lit("bpce").alias("source"),
         text.fallback_id(own, "bpce_", [title, company, place, c("Date dernière modification")]).alias("external_id"),
         title.alias("title"),
+        company.alias("company"),
         company.alias("company_name"),
+        place.alias("location"),
         place.alias("location_label"),
         fields.bounds_label(c("salary_min"), c("salary_max")).alias("salary"),
         c("salary_min").alias("salary_min"),
@@ -123,13 +147,24 @@ def bpce(rows: DataFrame) -> DataFrame:
         c("Date dernière modification").alias("published_at"),
         url.alias("url"),
         c("URL candidature").alias("application_url"),
+        F.lit("").alias("application_deadline"),
         c("description").alias("description"),
+        F.array().cast("array<string>").alias("skills"),
+        c("Famille d'emploi").alias("job_family"),
+        c("Emploi").alias("job_label"),
+        c("jobcode").alias("job_code"),
+        c("Groupe").alias("group_name"),
         c("teletravail").alias("telework"),
+        c("degree").alias("degree"),
+        c("nom_recruteur_principal").alias("recruiter_name"),
+        c("email_recruteur_principal").alias("recruiter_email"),
     )
 
 
 def ile_de_france(rows: DataFrame) -> DataFrame:
-    c = lambda *names: text.first_non_blank(*[F.col(f"`{n}`") for n in names if n in rows.columns])
+    """From the region's French headers."""
+    rows = _cleaned(rows)
+    c = lambda *names: _first_of(rows, names)
     title, employer = c("Titre du poste"), c("Nom de la collectivité", "Entité", "Nom de l'établissement")
     place = joined_parts(c("Commune du lycée"), c("Code postal du lycée"))
     place = F.when(place != "", place).otherwise(c("Localisation", "Lieu de Travail", "Adresse lieu de travail"))
@@ -141,35 +176,60 @@ def ile_de_france(rows: DataFrame) -> DataFrame:
         F.lit("region_ile_de_france").alias("source"),
         text.fallback_id(c("id", "ref"), "idf_", [title, employer, place, c("Date de mise en ligne")]).alias("external_id"),
         title.alias("title"),
+        employer.alias("company"),
         employer.alias("company_name"),
+        place.alias("location"),
         place.alias("location_label"),
         F.lit("").alias("salary"),
         c("Type de contrat").alias("contract_type"),
         c("Date de mise en ligne").alias("published_at"),
+        F.lit("").alias("application_deadline"),
         F.lit("").alias("url"),
         description.alias("description"),
         F.array_distinct(F.filter(lines, lambda x: x != "")).alias("skills"),
+        c("Famille de métiers").alias("job_family"),
+        c("Fonction").alias("job_label"),
+        c("Catégorie").alias("category"),
+        c("Filière").alias("filiere"),
+        c("Domaine").alias("domaine"),
+        c("Spécialité").alias("speciality"),
         c("Durée hebdomadaire de travail").alias("weekly_work_duration"),
+        c("Durée du contrat").alias("contract_duration"),
+        c("Date de début de contrat").alias("contract_start_date"),
     )
 
 
 def adzuna(rows: DataFrame) -> DataFrame:
-    """From the columns of ADZUNA_ROW."""
+    """From the columns of ADZUNA_ROW; texts trimmed, what is missing as ''."""
+    t = lambda c: text.strip(text.text(F.col(c)))
+    company, place, label, url = t("company.display_name"), t("location.display_name"), t("category.label"), t("redirect_url")
     return rows.select(
         *[x for x in rows.columns if x.startswith("_")],
         F.lit("adzuna").alias("source"),
-        F.col("id").alias("external_id"),
-        "title",
-        F.col("company.display_name").alias("company_name"),
-        F.col("location.display_name").alias("location_label"),
+        t("id").alias("external_id"),
+        t("title").alias("title"),
+        company.alias("company"),
+        company.alias("company_name"),
+        place.alias("location"),
+        place.alias("location_label"),
         fields.bounds_label(F.col("salary_min"), F.col("salary_max"), numeric=True).alias("salary"),
         "salary_min",
         "salary_max",
         text.lenient_bool(F.col("salary_is_predicted"), False).cast("int").alias("salary_is_predicted"),
-        F.col("created").alias("published_at"),
-        F.col("category.label").alias("category"),
-        F.col("category.tag").alias("job_code"),
-        F.col("redirect_url").alias("url"),
+        t("contract_type").alias("contract_type"),
+        t("contract_time").alias("contract_time"),
+        t("created").alias("published_at"),
+        F.lit("").alias("application_deadline"),
+        url.alias("url"),
+        url.alias("application_url"),
+        t("description").alias("description"),
+        F.array().cast("array<string>").alias("skills"),
+        label.alias("job_family"),
+        label.alias("job_label"),
+        t("category.tag").alias("job_code"),
+        label.alias("category"),
+        "latitude",
+        "longitude",
     )
 
 
