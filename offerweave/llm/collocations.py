@@ -31,8 +31,7 @@ LONGEST = 4
 SLICE = 8 << 20
 BUCKET_BYTES = 16 << 20  # of text
 LEAST_BUCKETS = 8
-SLOTS = (1 << 12, 1 << 22)  # fewest and most
-SLOT_BYTES = 1 << 14  # of text for each slot, between those bounds
+SLOTS = 1 << 16  # whatever the input: counts of each slot go out of every task
 _LANE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: A-Z to a-z; what ends a piece to a line feed.
 _MAP = np.arange(256, dtype=np.uint8)
@@ -142,38 +141,32 @@ def _routes(w: Words) -> list[np.ndarray]:
     return out
 
 
-def _slot(route: np.ndarray, slots: int) -> np.ndarray:
-    return (route % np.uint64(slots)).astype(np.int64)
+def _slot(route: np.ndarray) -> np.ndarray:
+    return (route % np.uint64(SLOTS)).astype(np.int64)
 
 
-def _first_pass(slots: int):
-    """Rows (depth, slot, lang, word, n): suffixes in each slot by 2 and 3 leading words; words (depth 1), and all (0)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loads = {d: np.zeros(slots, np.int64) for d in range(2, LONGEST)}
+def _counts(depth: int, slot, lang: str | None, word, n: np.ndarray) -> pa.RecordBatch:
+    k = len(n)
+    columns = [pa.array(np.full(k, depth), pa.int32()), pa.array(slot, pa.int32()), pa.array([lang] * k, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())]
+    return pa.record_batch(columns, ["depth", "slot", "lang", "word", "n"])
 
-        def rows(depth, slot, lang, word, n):
-            k = len(n)
-            return pa.record_batch(
-                [pa.array(np.full(k, depth), pa.int32()), pa.array(slot, pa.int32()), pa.array([lang] * k, pa.string()), pa.array(word, pa.string()), pa.array(n, pa.int64())],
-                ["depth", "slot", "lang", "word", "n"],
-            )
-
-        for lang, w in words_by_language(batches):
-            for d, route in zip(range(2, LONGEST), _routes(w), strict=False):
-                loads[d] += np.bincount(_slot(route[w.reach >= d], slots), minlength=slots)
-            n = np.bincount(w.ids[w.reach > 0], minlength=len(w.names))
-            there = np.flatnonzero(n)
-            yield rows(1, [None] * len(there), lang, [w.names[k].decode() for k in there.tolist()], n[there])
-            yield rows(0, [None], lang, [None], np.array([n.sum()]))
-        for d, load in loads.items():
-            there = np.flatnonzero(load)
-            yield rows(d, there, None, [None] * len(there), load[there])
 
-    return run
-
-
-def _pack(n_buckets: int, slots: int, hot: dict[int, np.ndarray]):
+def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (depth, slot, lang, word, n): suffixes in each slot by 2 and 3 leading words; words (depth 1), and all (0)."""
+    loads = {d: np.zeros(SLOTS, np.int64) for d in range(2, LONGEST)}
+    for lang, w in words_by_language(batches):
+        for d, route in zip(range(2, LONGEST), _routes(w), strict=False):
+            loads[d] += np.bincount(_slot(route[w.reach >= d]), minlength=SLOTS)
+        n = np.bincount(w.ids[w.reach > 0], minlength=len(w.names))
+        there = np.flatnonzero(n)
+        yield _counts(1, [None] * len(there), lang, [w.names[k].decode() for k in there.tolist()], n[there])
+        yield _counts(0, [None], lang, [None], np.array([n.sum()]))
+    for d, load in loads.items():
+        there = np.flatnonzero(load)
+        yield _counts(d, there, None, [None] * len(there), load[there])
+
+
+def _pack(n_buckets: int, hot: dict[int, np.ndarray]):
     """Rows (bucket, lang, blob): folded windows, their counts, the depth of their route, and the words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +187,7 @@ def _pack(n_buckets: int, slots: int, hot: dict[int, np.ndarray]):
             routes = [r[begin[one]] for r in _routes(w)]
             depth = np.full(len(one), 2, np.uint8)
             for d in range(2, LONGEST):
-                depth += ((depth == d) & hot[d][_slot(routes[d - 2], slots)]).astype(np.uint8)
+                depth += ((depth == d) & hot[d][_slot(routes[d - 2])]).astype(np.uint8)
             # a suffix too short for its route is routed by what it has
             by = np.minimum(depth, w.reach[begin[one]]) - 2
             bucket = (np.choose(by, routes) >> np.uint64(20)) % np.uint64(n_buckets)
@@ -306,15 +299,13 @@ def frequent_phrases(docs: DataFrame, least: int, scratch: Scratch) -> tuple[Dat
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text")).where("text <> ''")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
-    slots = 1 << min(max(size // SLOT_BYTES, SLOTS[0]), SLOTS[1]).bit_length() - 1
-    counted = scratch.stored(rows.mapInArrow(_first_pass(slots), "depth int, slot int, lang string, word string, n long"), "words")
+    counted = scratch.stored(rows.mapInArrow(_first_pass, "depth int, slot int, lang string, word string, n long"), "words")
     loads = counted.where("depth > 1").groupBy("depth", "slot").agg(F.sum("n").alias("n"))
-    # an eighth of a bucket, or twice the mean where slots are many
-    limit = max(BUCKET_BYTES // 48, 2 * (size // 6) // slots)
-    hot = {d: np.zeros(slots, bool) for d in range(2, LONGEST)}
-    for r in loads.where(F.col("n") > limit).collect():  # at most twice as many rows as slots, which are bounded
+    limit = BUCKET_BYTES // 48  # an eighth of the words of a bucket
+    hot = {d: np.zeros(SLOTS, bool) for d in range(2, LONGEST)}
+    for r in loads.where(F.col("n") > limit).collect():  # at most twice as many rows as slots
         hot[r["depth"]][r["slot"]] = True
-    packed = rows.mapInArrow(_pack(n_buckets, slots, hot), "bucket long, lang string, blob binary")
+    packed = rows.mapInArrow(_pack(n_buckets, hot), "bucket long, lang string, blob binary")
     long = packed.groupBy("bucket").applyInArrow(_sorted_bucket(least), "lang string, phrase string, words int, f long")
     short = counted.where("depth = 1").select("lang", F.col("word").alias("phrase"), F.lit(1).alias("words"), F.col("n").alias("f"))
     found = long.unionByName(short).groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where(F.col("f") >= least)

@@ -57,7 +57,6 @@ def test_rows_equal_brute_force(spark, hot, monkeypatch):
     """Also with every leading pair and triple hot, so that all windows are routed by four words."""
     if hot:
         monkeypatch.setattr(collocations, "BUCKET_BYTES", 48)
-        monkeypatch.setattr(collocations, "SLOT_BYTES", 1)
     draw = random.Random(5)
     rows = [(prose(draw, draw.randrange(0, 120)), draw.choice(["en", "fr", None])) for _ in range(120)] + [(prose(draw, 40), "en")] * 9
     m = Mining(least=4, top=40)
