@@ -33,8 +33,7 @@ from offerweave.llm.shared import Scratch, stored
 from offerweave.llm.words import slices
 
 NUM, DEN = 80, 100
-SLOTS = (1 << 12, 1 << 22)
-SLOT_BYTES = 1 << 12
+SLOTS = 1 << 17  # whatever the input: a count of each slot goes out of every task
 HOT = 2  # times the mean load
 LEVEL_BITS = 58  # a token is the level of its slot above so many bits of its hash
 LIST = 1 << 14  # entries of a list, or of a salted part of a hot one, that are read in one stream
@@ -73,27 +72,23 @@ def differing(a: bytes, b: bytes) -> int:
 
 
 # --- sets and prefixes -----------------------------------------------------------------------------------------------
-def _loads(slots: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(slots, np.int64)
-        for batch in slices(batches, "text"):
-            for s in shingle_sets(batch.column(0)):
-                np.add.at(total, (s % np.uint64(slots)).astype(np.int64), 1)
-        there = np.flatnonzero(total)
-        yield pa.record_batch([pa.array(there, pa.int32()), pa.array(total[there])], ["slot", "n"])
-
-    return run
+def _loads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SLOTS, np.int64)
+    for batch in slices(batches, "text"):
+        every = np.concatenate(list(shingle_sets(batch.column(0))))
+        total += np.bincount((every % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+    there = np.flatnonzero(total)
+    yield pa.record_batch([pa.array(there, pa.int32()), pa.array(total[there])], ["slot", "n"])
 
 
-def slot_levels(rows: DataFrame, size: int) -> tuple[np.ndarray, float]:
+def slot_levels(rows: DataFrame) -> tuple[np.ndarray, float]:
     """How many times over the mean load each slot is, as a power of two (0: not hot), and the mean."""
-    slots = 1 << min(max(size // SLOT_BYTES, SLOTS[0]), SLOTS[1]).bit_length() - 1
-    loads = rows.select("text").mapInArrow(_loads(slots), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    level = np.zeros(slots, np.uint8)
+    loads = rows.select("text").mapInArrow(_loads, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    level = np.zeros(SLOTS, np.uint8)
     with Scratch(rows.sparkSession) as scratch:
         loads = scratch.stored(loads, "loads")
-        mean = max(1.0, (loads.agg(F.sum("n")).first()[0] or 0) / slots)
-        for r in loads.where(F.col("n") > HOT * mean).collect():  # fewer than half of a bounded number of slots
+        mean = max(1.0, (loads.agg(F.sum("n")).first()[0] or 0) / SLOTS)
+        for r in loads.where(F.col("n") > HOT * mean).collect():  # fewer than half of the slots
             level[r["slot"]] = min(31, int(math.log2(r["n"] / mean)))
     return level, mean
 
@@ -371,7 +366,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     other; repeated doc_ids are rows of their own. Very long texts come alone into a batch. An empty table gives none.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
-    level, mean = slot_levels(rows, rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    level, mean = slot_levels(rows)
     with Scratch(docs.sparkSession) as scratch:
         with Scratch(docs.sparkSession) as early:  # tables with prefixes go as soon as the lists are made
             sets = early.stored(rows.mapInArrow(_sets(level), _SETS), "sets")

@@ -78,7 +78,7 @@ def random_rows(seed, n=60):
 def test_components_equal_brute_force(spark, monkeypatch, seed, small):
     """Also with lists so short and blocks so small that hot shingles are salted and long lists are cut."""
     if small:
-        for name, value in (("LIST", 8), ("SHORT_LIST", 4), ("BLOCK", 8), ("SKIP", 2), ("GROUP", 64), ("SLOT_BYTES", 64)):
+        for name, value in (("LIST", 8), ("SHORT_LIST", 4), ("BLOCK", 8), ("SKIP", 2), ("GROUP", 64)):
             monkeypatch.setattr(jaccard_join, name, value)
     rows = random_rows(seed)
     assert got(jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))) == brute(rows)
