@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from offerweave.functions import fields, text, vocab
-from offerweave.operators import dedup, normalize, pages, scope, skills, store
+from offerweave.operators import dedup, ingest, normalize, pages, scope, skills, store
 from offerweave.operators.tables import Workspace, written
 from offerweave.plans.oracles import ORACLES as SQL
 from offerweave.plans.oracles import SELECTED
@@ -338,6 +338,39 @@ def history_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
         return written(table.in_order(AS_OF, 30).select("rank", "ord", "source", "external_id", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published")))
 
 
+def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload for ten orders: lists by source, of unlike schemas, and things that are no rows; some are cut off or bare lists."""
+    fields_ = ["ord", "external_id", "title", "company_name", "published_at", "url", "description"]
+    bank = F.to_json(F.struct(*fields_, F.col("location_label").alias("location"), F.array("skills").alias("skills")))
+    other = F.to_json(F.struct(*fields_, "location_label", "skills", F.struct("salary").alias("details")))
+    lists = bridge.offers(spark, sf_dir).groupBy("g", "source").agg(F.array_join(F.collect_list(F.when(F.col("source") == "bpce", bank).otherwise(other)), ",").alias("rows"))
+    whole = F.concat(F.lit('{"meta":{"n":1},"adzuna":[],"bpce_notes":[1],'), F.array_join(F.collect_list(F.concat(F.lit('"'), F.col("source"), F.lit('":[7,'), F.col("rows"), F.lit("]"))), ","), F.lit("}"))
+    cut = F.when(F.col("g") % 7 == 0, F.substring("whole", 1, 60)).when(F.col("g") % 7 == 1, "[1, 2]").otherwise(F.col("whole"))
+    return lists.groupBy("g").agg(whole.alias("whole")).select("g", cut.alias("payload"))
+
+
+@query
+def snapshot_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed payloads to stored rows."""
+    rows = ingest.snapshot_rows(_payloads(spark, sf_dir))
+    kept = store.storage_rows(ingest.offers_of(rows, F.expr("try_variant_get(row, '$.ord', 'long')")))
+    return kept.select("ord", "source", "external_id", "title", "company", "location", F.date_format("published_at", "yyyy-MM-dd HH:mm:ss").alias("published"), F.coalesce(F.get("skills", F.lit(0)), F.lit("")).alias("skills"))
+
+
+@query
+def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.statuses(ingest.snapshot_rows(_payloads(spark, sf_dir)))
+
+
+@query
+def collect_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job over all sources but two: rows of each, none as 0, and the total."""
+    rows = bridge.offers(spark, sf_dir)
+    skip = ("region_ile_de_france", "hive_aggregates")
+    readers = {"france_travail": lambda: _france_travail(spark, sf_dir), "welcome_to_the_jungle": lambda: _wttj(rows), "bpce": lambda: _bpce(rows), "region_ile_de_france": lambda: _ile_de_france(rows)}
+    return scope.volumes(ingest.collected(readers, skip=skip), scope.selected(skip=skip))
+
+
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical offers with their scope score, computed once and written: what follows reads it several times."""
     return written(normalize.normalized(scope.evaluated(offers(spark, sf_dir)), AS_OF))

@@ -327,6 +327,20 @@ ORACLES: dict[str, str] = {
         f"s AS ({STORED})",
         "b AS (SELECT source, external_id, max(ord) AS ord, arg_max({'p': published}, ord).p AS published FROM s GROUP BY ALL)",
     ),
+    "snapshot_store": offers(
+        "SELECT ord, source, external_id, title, company, location, strftime(published, '%Y-%m-%d %H:%M:%S') AS published, skills FROM (" + STORED + ") s WHERE CAST(floor(ord / 10) AS BIGINT) % 7 > 1",
+        CLEANED,
+    ),
+    "ingest_status": offers(
+        f"SELECT 'kept' AS status, count(*) AS n FROM v WHERE source IN ({words(vocab.STORE_SOURCES)}) UNION ALL SELECT 'unknown_source', count(*) FROM v WHERE source NOT IN ({words(vocab.STORE_SOURCES)}) "
+        "UNION ALL SELECT 'bad_payload', count(DISTINCT g) FROM o WHERE g % 7 <= 1 UNION ALL SELECT 'not_a_list', count(DISTINCT g) FROM v UNION ALL SELECT 'empty_list', count(DISTINCT g) FROM v "
+        "UNION ALL SELECT 'not_a_row', count(DISTINCT (g, source)) + count(DISTINCT g) FROM v",
+        "v AS (SELECT * FROM o WHERE g % 7 > 1)",
+    ),
+    "collect_sources": offers(
+        f"SELECT s.source, CASE WHEN s.source IN ('france_travail', 'welcome_to_the_jungle', 'bpce') THEN count(o.ord) ELSE 0 END AS offers FROM (SELECT unnest([{words(s for s in vocab.COLLECT_SOURCES if s not in ('region_ile_de_france', 'hive_aggregates'))}]) AS source) s "
+        "LEFT JOIN o ON o.source = s.source GROUP BY s.source UNION ALL SELECT 'total', count(*) FROM o WHERE source IN ('france_travail', 'welcome_to_the_jungle', 'bpce')"
+    ),
     "history_recent": offers(
         "SELECT ord, source AS origin_source, external_id, company AS company_name, location AS location_label, published_raw AS published_at FROM s WHERE published IS NULL OR published >= TIMESTAMP '2024-06-15' - INTERVAL 30 DAY",
         CLEANED,
