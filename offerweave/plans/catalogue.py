@@ -143,6 +143,22 @@ def page_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.blocks(bridge.table(spark, sf_dir, "pages"), "p")
 
 
+@query
+def offer_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's paragraphs as a list of offers: a card in two has its own id, one in nine leads elsewhere; then read as cards."""
+    found = pages.blocks(bridge.table(spark, sf_dir, "pages"), "p").withColumn("n", F.col("position").cast("string"))
+    own = F.when(F.col("position") % 2 == 0, F.concat(F.lit(' data-object-id="o'), (F.col("position") / 4).cast("int").cast("string"), F.lit('"'))).otherwise("")
+    href = F.when(F.col("position") % 9 == 8, "/fr/pages/x").otherwise(F.concat(F.lit("/fr/companies/c"), (F.col("position") % 5).cast("string"), F.lit("/jobs/job-"), "n"))
+    pay = F.when(F.col("position") % 3 == 0, "<div>Salaire : 40K</div>").otherwise("")
+    card = F.concat(
+        F.lit('<div class=x data-role="jobs:thumb"'), own, F.lit("><div><div><b>"), F.lit("<a href='"), href, F.lit("'>no</a></b></div></div><div><a href='"), href, F.lit("'><h2>Title <em>"), "n", F.lit("</em></h2></a><div><img><span>Firm "),
+        F.col("chars").cast("string"), F.lit("</span></div><p>"), F.md5(F.col("label")), F.lit("</p><div><div>CDI</div><div> <div>Paris</div>9</div><div></div><div>Remote</div>"), pay, F.lit("<div>12 collaborateurs</div><div>Banque</div></div><div><time>hier</time></div></div><div><p>no</p></div></div>"),
+    )
+    lists = found.select("page_id", F.struct("position", card.alias("card")).alias("c")).groupBy("page_id").agg(F.array_sort(F.collect_list("c")).alias("c"))
+    made = lists.select("page_id", F.concat(F.lit("<div class='jobs-results-list'>"), F.array_join(F.transform("c", lambda c: c["card"]), "<hr>")).alias("html"))
+    return pages.offer_cards(made, "https://site.example.com/x/")
+
+
 def _of(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     return bridge.offers(spark, sf_dir).where(F.col("source") == source)
 

@@ -254,6 +254,13 @@ ORACLES: dict[str, str] = {
         r"""WITH h AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '(?is)<p[^>]*>(.*?)</p>', 1) AS l FROM pages), u AS (SELECT page_id, unnest(l) AS inner_html, generate_subscripts(l, 1) - 1 AS position FROM h)"""
         r""" SELECT page_id, CAST(position AS INTEGER) AS position, trim(regexp_replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS label, CAST(length(trim(regexp_replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))) AS INTEGER) AS chars FROM u"""
     ),
+    "offer_cards": (
+        r"""WITH h AS (SELECT page_id, regexp_extract_all(coalesce(html, ''), '(?is)<p[^>]*>(.*?)</p>', 1) AS l FROM pages), u AS (SELECT page_id, unnest(l) AS inner_html, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS position FROM h),"""
+        r""" t AS (SELECT page_id, position, trim(regexp_replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS label, CASE WHEN position % 2 = 0 THEN 'o' || (position // 4) END AS own FROM u WHERE position % 9 <> 8),"""
+        " k AS (SELECT *, row_number() OVER (PARTITION BY page_id, own ORDER BY position) AS again FROM t)"
+        " SELECT page_id, position, coalesce(own, 'job-' || position) AS external_id, 'Title ' || position AS title, 'Firm ' || length(label) AS company, md5(label) AS description, 'CDI' AS contract_type, 'Paris 9' AS location, 'Remote' AS remote_policy,"
+        " CASE WHEN position % 3 = 0 THEN '40K' ELSE '' END AS salary, '12 collaborateurs' AS company_size, 'Banque' AS sector, 'hier' AS published_at, 'https://site.example.com/fr/companies/c' || (position % 5) || '/jobs/job-' || position AS url FROM k WHERE own IS NULL OR again = 1"
+    ),
     "map_france_travail": offers(
         "SELECT ord, external_id, title, company_name, coalesce(nullif(CASE WHEN ord % 3 = 0 THEN '' ELSE location_label END, ''), nullif(location_label, ''), '75001') AS location_label, "
         "nullif(salary, '') AS salary, nullif(contract_type, '') AS contract_type, coalesce(nullif(published_at, ''), '2024-01-01') AS published_at, description, "

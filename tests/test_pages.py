@@ -44,6 +44,19 @@ def test_cards(table):
     assert {k: card[k] for k in expected} == expected
 
 
+def test_cards_end_at_their_own_end_tag(spark):
+    """Nested divs, a card within a card's noise, tags left open, and what follows a card."""
+    deep = "<div>" * 300
+    odd = (
+        "<div data-role='jobs:thumb' data-object-id=' A '>" + deep + f"<a href='{GOOD}'><h2>In<b>side</b></h2></a><section><span>Firm</span></section><p>d &amp; e"
+        "</p><ul><div>x</div></ul>" + "</div>" * 301 + f"<a href='{GOOD}2'><h2>After</h2></a>"
+        f"<div data-role='jobs:thumb'><p>open<div><a href='{GOOD}3'><h2>B</h2></a><div>no firm</div></div>"
+    )
+    df = spark.createDataFrame([(1, odd), (2, "<div data-role='jobs:thumb'>"), (3, ""), (4, None)], "page_id long, html string")
+    got = {r["external_id"]: (r["title"], r["company"], r["description"], r["contract_type"], r["location"]) for r in pages.offer_cards(df, "https://s").collect()}
+    assert got == {"A": ("In side", "Firm", "d & e", "x", ""), "data-engineer_paris3": ("B", "", "", "", "")}
+
+
 def test_links_and_numbers(table):
     assert [r["href"] for r in pages.links(table, vocab.OFFER_HREF_PATTERN).collect()] == [GOOD]
     assert {r["page_id"]: r["last_page"] for r in pages.last_page(table, vocab.PAGE_NUMBER_PATTERN).collect()} == {1: 7, 2: None, 3: None}
