@@ -1,8 +1,4 @@
-"""Text cleaning and matching as native column expressions.
-
-Only HTML entities need Python: they are decoded by one Arrow UDF per stage that receives
-null for every row without an entity.
-"""
+"""Text cleaning and matching as native column expressions."""
 
 from __future__ import annotations
 
@@ -12,18 +8,16 @@ import sys
 import unicodedata
 from collections.abc import Mapping, Sequence
 from functools import lru_cache
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from offerweave.functions import vocab
 
 # Python's str whitespace, wider than Java's default \s
 SPACES = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
 _SPACE_RUN = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-_ENTITY = r"&(#|[A-Za-z])"
 _KEPT = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+/&-")
 LIST_MARK = "\x01"
 
@@ -57,27 +51,43 @@ def first_non_blank(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(strip(c.cast("string")), F.lit("")) for c in cols], F.lit(""))
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _unescape(rows: pd.Series) -> pd.Series:
-    known: dict[str, str] = {}
-
-    def once(v: str | None) -> str | None:
-        if v is None:
-            return None
-        if (out := known.get(v)) is None:
-            out = known[v] = html.unescape(v)
-        return out
-
-    def decode(values):
-        if values is None:
-            return None
-        first = [once(v) for v in values]
-        return first + [once(v) for v in first]
-
-    return rows.map(decode)
+@lru_cache(maxsize=1)
+def _entity_tables() -> tuple[str, str, str]:
+    """JSON maps from the standard library: named entities, those that need no semicolon, and numbers that mean another character."""
+    legacy = {k: v for k, v in html5.items() if not k.endswith(";")}
+    numbers = {str(n): c for n in range(0xA0) if (c := html.unescape(f"&#{n};")) != chr(n)}
+    return json.dumps(html5), json.dumps(legacy), json.dumps(numbers)
+
+
+def _character(n: Column) -> Column:
+    """The character of a code point as HTML reads it; '' for those that mean none."""
+    known = F.element_at(F.from_json(F.lit(_entity_tables()[2]), "map<string,string>"), n.cast("string"))
+    none = n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    own = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    return F.coalesce(known, F.when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), "\ufffd").when(none, "").otherwise(own))
+
+
+def _entity(part: Column) -> Column:
+    """What follows an ampersand, decoded; with the ampersand where it begins no entity."""
+    named, legacy, _ = (F.from_json(F.lit(t), "map<string,string>") for t in _entity_tables())
+    digits, hexed = F.regexp_extract(part, r"\A#0*([0-9]+);?", 1), F.regexp_extract(part, r"\A#[xX]0*([0-9a-fA-F]+);?", 1)
+    after = F.regexp_replace(part, r"\A#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
+    # more digits than any character has
+    code = F.when(digits != "", F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(digits.try_cast("int"))).otherwise(
+        F.when(F.length(hexed) > 6, F.lit(0x110000)).otherwise(F.conv(hexed, 16, 10).try_cast("int"))
+    )
+    name = F.regexp_extract(part, r"\A([^\t\n\f <&#;]{1,32};?)", 1)
+    found = [F.concat(F.element_at(named, name), F.substr(part, F.length(name) + 1))]
+    for n in range(6, 1, -1):  # the longest name without semicolon that it begins with
+        found.append(F.when(F.length(name) > n, F.concat(F.element_at(legacy, F.substr(part, F.lit(1), F.lit(n))), F.substr(part, F.lit(n + 1)))))
+    return F.when((digits != "") | (hexed != ""), F.concat(_character(code), after)).otherwise(F.coalesce(*found, F.concat(F.lit("&"), part)))
 
 
-_unescape_in_place = F.pandas_udf(_unescape.func, T.ArrayType(T.StringType())).asNondeterministic()
+def unescape(c: Column) -> Column:
+    """HTML entities decoded once, as the standard library does."""
+    return F.when(
+        c.contains("&"), let(F.split(c, "&"), lambda parts: F.concat(F.get(parts, F.lit(0)), F.array_join(F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _entity), "")))
+    ).otherwise(c)
 
 
 def let(value: Column, use) -> Column:
@@ -94,31 +104,25 @@ def staged(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return df.select(F.when(F.rand(0) < 2, F.struct(*[c.alias(n) for n, c in columns.items()])).alias("stage")).select("stage.*")
 
 
-def clean_stage(
-    df: DataFrame, cols: Mapping[str, Column], again: Sequence[str] = (), barrier: bool = False
-) -> DataFrame:
+def clean_stage(df: DataFrame, cols: Mapping[str, Column], again: Sequence[str] = ()) -> DataFrame:
     """Add cleaned text columns: entities decoded, whitespace collapsed, null as ''.
 
     Names in ``again`` also get ``<name>__re``, the text cleaned a second time, because
     matching cleans its input anew and double-escaped entities resolve only there.
     """
     names = list(cols)
-    raw = {f"__raw{i}": text(cols[n]) for i, n in enumerate(names)}
-    gated = [F.when(F.col(r).rlike(_ENTITY), F.col(r)) for r in raw]
-    has_entity = F.lit(False)
-    for r in raw:
-        has_entity = has_entity | F.col(r).contains("&")
-    df = df.withColumns(raw)
-    # as a barrier the stage counts as non-deterministic, which keeps the optimizer from moving filters below it
-    decode = _unescape_in_place if barrier else _unescape
-    df = df.withColumn("__ent", decode(F.when(has_entity, F.array(*gated))))
+    df = df.withColumns({f"__raw{i}": text(cols[n]) for i, n in enumerate(names)})
+    # one expression for all columns; a random number keeps the optimizer from writing it out for each use
+    once = F.transform(F.array(*[F.col(f"__raw{i}") for i in range(len(names))]), unescape)
+    df = df.withColumn("__once", F.when(F.rand(0) < 2, once))
+    if again:
+        df = df.withColumn("__twice", F.when(F.rand(0) < 2, F.transform("__once", unescape)))
     out = {}
     for i, n in enumerate(names):
-        plain = F.col(f"__raw{i}")
-        out[n] = squash(F.coalesce(F.col("__ent")[i], plain))
+        out[n] = squash(F.col("__once")[i])
         if n in again:
-            out[f"{n}__re"] = squash(F.coalesce(F.col("__ent")[i + len(names)], plain))
-    return df.withColumns(out).drop("__ent", *raw)
+            out[f"{n}__re"] = squash(F.col("__twice")[i])
+    return df.withColumns(out).drop("__once", "__twice", *[f"__raw{i}" for i in range(len(names))])
 
 
 @lru_cache(maxsize=1)

@@ -46,7 +46,7 @@ def cleaned(df: DataFrame) -> DataFrame:
     folded["f_skills_text"] = text.fold(F.col("c_skills_text"))
     out = out.withColumns({**folded, "__parts": text.split_parts(F.col("c_skills_text"))})
     # the second stage comes after folding: nothing is pushed or folded into one expression across it
-    return text.clean_stage(out, {"__parts_clean": F.col("__parts")}, barrier=True)
+    return text.clean_stage(out, {"__parts_clean": F.col("__parts")})
 
 
 def normalized(df: DataFrame, as_of: datetime) -> DataFrame:
