@@ -73,8 +73,7 @@ def random_rows(seed, n=60):
     return list(enumerate(texts))
 
 
-@pytest.mark.parametrize("small", [False, True])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize(("seed", "small"), [(1, False), (2, True)])
 def test_components_equal_brute_force(spark, monkeypatch, seed, small):
     """Also with lists so short and blocks so small that hot shingles are salted and long lists are cut."""
     if small:
