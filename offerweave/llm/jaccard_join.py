@@ -54,8 +54,8 @@ def prefix_length(n: int) -> int:
 
 
 def parity(s: np.ndarray) -> bytes:
-    """Two bits or more per element; bit i is the parity of the elements that fall on it."""
-    bits = 1 << max(6, (2 * len(s) - 1).bit_length())
+    """One bit or more per element; bit i is the parity of the elements that fall on it."""
+    bits = 1 << max(6, (len(s) - 1).bit_length())
     return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
 
 
