@@ -284,7 +284,7 @@ def map_adzuna(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sources_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each source's rows the first with each id, rows without one left out; ten orders in turn share an id."""
     shared = F.when(F.col("ord") % 11 == 0, "").otherwise(F.concat(F.lit(" e-"), (F.col("g") / 2).cast("long").cast("string"), F.lit(" ")))
-    rows = bridge.offers(spark, sf_dir).withColumn("external_id", shared)
+    rows = _landed(spark, sf_dir).withColumn("external_id", shared)
     kept = mappings.adzuna_status(_adzuna(rows)).where("status = 'kept'")
     found = [m.select("source", "external_id", F.col("_ord").alias("ord")) for m in (_wttj(rows), _bpce(rows), _ile_de_france(rows), kept)]
     union = found[0].unionByName(found[1]).unionByName(found[2]).unionByName(found[3])
@@ -297,8 +297,13 @@ def adzuna_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("status").agg(F.count("*").alias("offers"), F.sum("salary_is_predicted").alias("predicted"))
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bridge offers as files: what reads them is compiled apart from the bridge's joins, and several readers share them."""
+    return written(bridge.offers(spark, sf_dir))
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store.storage_rows(bridge.offers(spark, sf_dir))
+    return store.storage_rows(_landed(spark, sf_dir))
 
 
 @query
@@ -381,7 +386,7 @@ def ingest_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def collect_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One job over all sources but two: rows of each, none as 0, and the total."""
-    rows = bridge.offers(spark, sf_dir)
+    rows = _landed(spark, sf_dir)
     skip = ("region_ile_de_france", "hive_aggregates")
     readers = {"france_travail": lambda: _france_travail(spark, sf_dir), "welcome_to_the_jungle": lambda: _wttj(rows), "bpce": lambda: _bpce(rows), "region_ile_de_france": lambda: _ile_de_france(rows)}
     return scope.volumes(ingest.collected(readers, skip=skip), scope.selected(skip=skip))
