@@ -452,6 +452,69 @@ def test_quality_model(spark, sf_dir, docs, nothing):
     assert found(quality_model.quality_scores(nothing, odd)) == []
 
 
+def plain_features(text):
+    """Buckets of one text, feature by feature."""
+    whole, bucket = 1 << 64, lambda h: int(words.mix(np.array([h % (1 << 64)], np.uint64))[0]) % quality_model.BUCKETS
+    hashes = [words.word_table(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[2] for w in WORD.findall(text or "")]
+    got = Counter(int(h[0]) % quality_model.BUCKETS for h in hashes)
+    got.update(int(words.windows(np.concatenate(p), 2)[0]) % quality_model.BUCKETS for p in zip(hashes, hashes[1:], strict=False))
+    for w in WORD.findall(text or ""):
+        for size in quality_model.GRAMS:
+            for k in range(len(w) + 3 - size):
+                h = size
+                for c in f" {w} "[k : k + size]:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c)) % whole
+                got[bucket(h)] += 1
+    return got
+
+
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab Zé中😀\n\t\x0b\x85 ", max_size=30)), min_size=1, max_size=6))
+def test_features_are_words_pairs_and_runs_inside_words(texts):
+    got = [Counter() for _ in texts]
+    for bucket, text in quality_model.features(pa.array(texts, pa.string())):
+        for b, t in zip(bucket.tolist(), text.tolist(), strict=True):
+            got[t][b] += 1
+    assert got == [plain_features(t) for t in texts]
+
+
+def test_runs_made_in_parts_are_the_same(monkeypatch):
+    column = pa.array(["une phrase très longue " * 20, "", "fin 😀", None, "x"])
+    counts = lambda: Counter((b, t) for p in quality_model.features(column) for b, t in zip(p[0].tolist(), p[1].tolist(), strict=True))
+    whole = counts()
+    for part in (1, 7, 64):
+        monkeypatch.setattr(quality_model, "PART", part)
+        assert counts() == whole
+
+
+def test_scores_are_those_of_the_plain_sum(spark):
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice(("good", "fine", "très", "bad", "junk")) for _ in range(draw.randrange(0, 12))) for _ in range(40)]
+    table = spark.createDataFrame(rows_of(texts), SCHEMA)
+    labels = spark.createDataFrame([(k, int("junk" not in t)) for k, t in enumerate(texts)], "doc_id long, quality int")
+    weight, bias = quality_model.train(table, labels)
+    for r in quality_model.quality_scores(table, labels).collect():
+        own = plain_features(texts[r["doc_id"]])
+        out = sum(weight[b] * n for b, n in own.items()) / max(1, sum(own.values())) + bias
+        assert abs(r["score"] - 1 / (1 + np.exp(-out))) < 1e-9
+
+
+def test_one_row_per_drawn_id_is_learnt_from(spark, monkeypatch):
+    """Repeated ids bring one text each, and rows past the byte bound none, whatever the order of the table."""
+    seen = []
+    monkeypatch.setattr(quality_model, "fit", lambda rows: seen.append(rows) or (np.zeros(quality_model.BUCKETS), 0.0))
+    ids = [k for k in range(12) if zlib.crc32(str(k).encode()) % 3 != 1][:4]
+    table = spark.createDataFrame([(ids[k % 4], f"text {k}") for k in range(2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, v) for i in ids for v in (0, 1)], "doc_id long, quality int")
+    for df in (table, table.orderBy("text")):
+        quality_model.train(df, labels)
+    assert len(seen[0]) == 4 and all(q == 1 for q, _, _ in seen[0])
+    plain = [[(q, b.tolist(), c.tolist()) for q, b, c in rows] for rows in seen]
+    assert plain[0] == plain[1]
+    size = sum(8 * len(b) for _, b, _ in seen[0][:2])
+    quality_model.train(table, labels, most_bytes=size)
+    assert [b.tolist() for _, b, _ in seen[2]] == [b.tolist() for _, b, _ in seen[0][:2]]
+
+
 # --- op9 ---------------------------------------------------------------------------------------------------------------
 @given(st.one_of(st.text(max_size=60), st.text(alphabet=st.sampled_from("ab the ing1²½é'sll  \n\t\x1c\x85\xa0_-= 中😀"), max_size=80)))
 @settings(max_examples=400, deadline=None)
