@@ -16,6 +16,7 @@ _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: b if b in _VISIBLE else 256 + sum(x not in _VISIBLE for x in range(b)) for b in range(256)}
 
 CACHED = 500_000  # chunks in the young half of a worker's cache; the old half holds as many at most
+LONGEST = 64  # bytes of a chunk that is kept: a text without white space is one chunk, and may be of any length
 
 
 class ChunkEncoder:
@@ -49,6 +50,8 @@ class ChunkEncoder:
     def missed(self, chunk: bytes) -> bytes:
         if (known := self.old.get(chunk)) is None:
             known = array(self.width, self.ids(chunk)).tobytes()
+        if len(chunk) > LONGEST:
+            return known
         if len(self.young) >= self.cached:
             self.old, self.young = self.young, {}
         self.young[chunk] = known
