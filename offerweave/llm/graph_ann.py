@@ -8,7 +8,9 @@ and drops what that one is nearer to by the factor ``ALPHA``, then the next near
 computed exactly, in double precision on the original vectors, and the best over all shards stay.
 
 Equal vectors are one vertex: of their ids only the ``k + 1`` smallest can be among a query's k nearest, so that
-many go along, cut down before the shuffle. Queries go in blocks, and each block meets each shard once.
+many go along, cut down before the shuffle. A task builds or searches one shard. Queries aren't shuffled: they are
+written once, in files of about ``QUERY_BLOCK``, and every search task reads these files one after another, so its
+memory holds one shard and one block. Where shards are fewer than cores, several tasks share out a shard's files.
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from offerweave.llm.shared import Scratch, stored
+from offerweave.llm.shared import Scratch, new_path, stored
 
 SHARD = 5000
 QUERY_BLOCK = 4096
@@ -148,7 +151,7 @@ def _build_shard(key: tuple, table: pa.Table) -> pa.Table:
     ids = table.column("ids").combine_chunks()
     return pa.table({
         "size": pa.array([size], pa.int32()),
-        "shard": pa.array([shard], pa.int64()),
+        "shard": pa.array([shard], pa.int32()),
         "vectors": pa.array([x.tobytes()], pa.binary()),
         "graph": pa.array([graph.astype(np.int32).tobytes()], pa.binary()),
         "entries": pa.array([entries.astype(np.int32).tobytes()], pa.binary()),
@@ -157,35 +160,52 @@ def _build_shard(key: tuple, table: pa.Table) -> pa.Table:
     })
 
 
-def _search_shard(k: int):
-    def run(key: tuple, index: pa.Table, queries: pa.Table) -> pa.Table:
-        out_q, out_v, out_s = [], [], []
-        if index.num_rows and queries.num_rows:
-            size = key[0].as_py()
-            of = {c: index.column(c)[0].as_py() for c in ("vectors", "graph", "entries", "ids", "copies")}
-            x = np.frombuffer(of["vectors"]).reshape(-1, size)
-            graph = np.frombuffer(of["graph"], np.int32).reshape(len(x), -1).astype(np.int64)
-            entries = np.frombuffer(of["entries"], np.int32).astype(np.int64)
-            ids, copies = np.frombuffer(of["ids"], np.int64), np.frombuffer(of["copies"], np.int32)
-            at = np.cumsum(copies) - copies
-            unit, norm = _unit(x), np.linalg.norm(x, axis=1)
-            query_ids, q = queries.column("query_id").to_numpy(), _matrix(queries.column("embedding"), size)
-            for a in range(0, len(q), BATCH):
-                part = q[a : a + BATCH]
-                met, _ = beam_search(unit, graph, entries, _unit(part), BEAM)
-                for query_id, v, near in zip(query_ids[a : a + BATCH].tolist(), part, met, strict=True):
-                    near = near[near >= 0]
-                    score = (x[near] @ v) / (norm[near] * np.linalg.norm(v))
-                    n = copies[near].astype(np.int64)
-                    of_id = np.concatenate([ids[at[i] : at[i] + copies[i]] for i in near])
-                    all_scores = np.repeat(score, n)
-                    other = of_id != query_id
-                    of_id, all_scores = of_id[other], all_scores[other]
-                    best = np.lexsort((of_id, -all_scores))[:k]
-                    out_q += [query_id] * len(best)
-                    out_v += of_id[best].tolist()
-                    out_s += all_scores[best].tolist()
-        return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_s, pa.float64())})
+def _query_blocks(uri: str, size: int, part: int, parts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of the queries of ``size`` values, from every ``parts``-th file of the table at ``uri``."""
+    from pyarrow import fs
+    from pyarrow.parquet import ParquetFile
+
+    files, root = fs.FileSystem.from_uri(uri)
+    names = sorted(f.path for f in files.get_file_info(fs.FileSelector(root)) if f.base_name.startswith("part-"))
+    for name in names[part::parts]:
+        with files.open_input_file(name) as f:
+            for batch in ParquetFile(f).iter_batches(QUERY_BLOCK, columns=["query_id", "size", "embedding"]):
+                batch = batch.filter(pc.equal(batch.column("size"), size))
+                if batch.num_rows:
+                    yield batch.column("query_id").to_numpy(), batch.column("embedding").flatten().to_numpy().reshape(-1, size)
+
+
+def _search(uri: str, parts: int, k: int):
+    """For rows of the index, each with its ``part`` of the query files: the k nearest of the shard for each query."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                of = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
+                x = np.frombuffer(of["vectors"]).reshape(-1, of["size"])
+                graph = np.frombuffer(of["graph"], np.int32).reshape(len(x), -1).astype(np.int64)
+                entries = np.frombuffer(of["entries"], np.int32).astype(np.int64)
+                ids, copies = np.frombuffer(of["ids"], np.int64), np.frombuffer(of["copies"], np.int32)
+                at = np.cumsum(copies) - copies
+                unit, norm = _unit(x), np.linalg.norm(x, axis=1)
+                for query_ids, q in _query_blocks(uri, of["size"], of["part"], parts):
+                    out_q, out_v, out_s = [], [], []
+                    for a in range(0, len(q), BATCH):
+                        some = q[a : a + BATCH]
+                        met, _ = beam_search(unit, graph, entries, _unit(some), BEAM)
+                        for query_id, v, near in zip(query_ids[a : a + BATCH].tolist(), some, met, strict=True):
+                            near = near[near >= 0]
+                            score = (x[near] @ v) / (norm[near] * np.linalg.norm(v))
+                            n = copies[near].astype(np.int64)
+                            of_id = np.concatenate([ids[at[i] : at[i] + copies[i]] for i in near])
+                            all_scores = np.repeat(score, n)
+                            other = of_id != query_id
+                            of_id, all_scores = of_id[other], all_scores[other]
+                            best = np.lexsort((of_id, -all_scores))[:k]
+                            out_q += [query_id] * len(best)
+                            out_v += of_id[best].tolist()
+                            out_s += all_scores[best].tolist()
+                    yield pa.record_batch([pa.array(out_q, pa.int64()), pa.array(out_v, pa.int64()), pa.array(out_s, pa.float64())], ["query_id", "vec_id", "score"])
 
     return run
 
@@ -206,9 +226,10 @@ def index(vectors: DataFrame, k: int) -> DataFrame:
     with Scratch(vectors.sparkSession) as scratch:
         classes = scratch.stored(classes.withColumn("size", F.size("embedding")).withColumn("ids_least", F.col("ids")[0]), "vectors")
         shards = max(1, -(-classes.count() // SHARD))
-        dealt = classes.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)))
-        schema = "size int, shard long, vectors binary, graph binary, entries binary, ids binary, copies binary"
-        return stored(dealt.repartition(shards, "shard").groupBy("size", "shard").applyInArrow(_build_shard, schema), "index")
+        # an int, since groups stay where rows were dealt only by the column as it is
+        dealt = classes.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int"))
+        schema = "size int, shard int, vectors binary, graph binary, entries binary, ids binary, copies binary"
+        return stored(dealt.repartitionById(shards, "shard").groupBy("size", "shard").applyInArrow(_build_shard, schema), "index")
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -217,18 +238,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     Both have vec_id and embedding. Nearness is cosine; ties go to the smaller vec_id; a query's own id is left out.
     Rows without an id, and vectors that are null, empty, zero or hold null or non-finite values take no part,
     neither as queries; a repeated (id, vector) counts once. Only vectors of as many values are compared.
-    Empty tables give no rows. Other columns aren't read.
+    Empty tables give no rows. Other columns, whatever their names, aren't read.
     """
+    spark = vectors.sparkSession
     shards = index(vectors, k)
-    asked = stored(_usable(queries).select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("size")), "queries")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+    asked = _usable(queries).select(F.col("vec_id").alias("query_id"), "embedding", F.size("embedding").alias("size"))
+    uri = new_path(spark, "queries")
+    with Scratch(spark) as scratch:
+        asked = scratch.stored(asked, "asked")
+        blocks = max(1, -(-asked.count() // QUERY_BLOCK))
+        asked.repartition(blocks, "query_id").write.parquet(uri)
     n_shards = (shards.agg(F.max("shard")).first()[0] or 0) + 1
-    tasks = max(1, n_shards * blocks)
-    left = shards.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    right = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))))  # every query meets every shard
-    met = left.repartition(tasks, "shard", "block").groupBy("size", "shard", "block").cogroup(right.repartition(tasks, "shard", "block").groupBy("size", "shard", "block"))
-    found = met.applyInArrow(_search_shard(k), "query_id long, vec_id long, score double")
+    parts = min(blocks, max(1, spark.sparkContext.defaultParallelism // n_shards))
+    dealt = shards.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = dealt.repartitionById(n_shards * parts, F.col("shard") * parts + F.col("part"))
+    found = dealt.mapInArrow(_search(uri, parts, k), "query_id long, vec_id long, score double").repartition("query_id")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     # a query id with several vectors may find an id twice
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
