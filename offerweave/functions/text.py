@@ -6,6 +6,7 @@ import html
 import json
 import sys
 import unicodedata
+import zlib
 from collections.abc import Mapping, Sequence
 from functools import lru_cache
 from html.entities import html5
@@ -17,7 +18,13 @@ from offerweave.functions import vocab
 
 # Python's str whitespace, wider than Java's default \s
 SPACES = "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
-_SPACE_RUN = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+_SPACE = r"[\x1c\x1d\x1e\x1f\p{IsWhite_Space}]"
+# runs of whitespace but for one plain space, which stays as it is
+_SPACE_RUN = rf"{_SPACE}(?:{_SPACE}+|(?<! ))"
+# characters listed one by one are a single table to the regex engine, ranges are tested in turn
+_BLANK = "[^ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/&\\-]"
+_BLANKED = f"{_BLANK}(?:{_BLANK}+|(?<! ))"
+_HASHED = 1024  # parts of a table that is looked up by hash
 _KEPT = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+/&-")
 LIST_MARK = "\x01"
 
@@ -56,7 +63,20 @@ def _entity_tables() -> tuple[str, str, str]:
     """JSON maps from the standard library: named entities, those that need no semicolon, and numbers that mean another character."""
     legacy = {k: v for k, v in html5.items() if not k.endswith(";")}
     numbers = {str(n): c for n in range(0xA0) if (c := html.unescape(f"&#{n};")) != chr(n)}
-    return json.dumps(html5), json.dumps(legacy), json.dumps(numbers)
+    return _hashed(html5), _hashed(legacy), json.dumps(numbers)
+
+
+def _hashed(table: Mapping[str, str]) -> str:
+    """JSON list of maps, each key in the one that its hash names: Spark looks keys of a map up one after another."""
+    out: list[dict[str, str]] = [{} for _ in range(_HASHED)]
+    for k, v in table.items():
+        out[zlib.crc32(k.encode()) % _HASHED][k] = v
+    return json.dumps(out)
+
+
+def _looked_up(table: str, key: Column) -> Column:
+    part = F.get(F.from_json(F.lit(table), "array<map<string,string>>"), F.pmod(F.crc32(key.cast("binary")), F.lit(_HASHED)).cast("int"))
+    return F.element_at(part, key)
 
 
 def _character(n: Column) -> Column:
@@ -69,18 +89,23 @@ def _character(n: Column) -> Column:
 
 def _entity(part: Column) -> Column:
     """What follows an ampersand, decoded; with the ampersand where it begins no entity."""
-    named, legacy, _ = (F.from_json(F.lit(t), "map<string,string>") for t in _entity_tables())
+    named, legacy, _ = _entity_tables()
     digits, hexed = F.regexp_extract(part, r"\A#0*([0-9]+);?", 1), F.regexp_extract(part, r"\A#[xX]0*([0-9a-fA-F]+);?", 1)
     after = F.regexp_replace(part, r"\A#(?:[0-9]+|[xX][0-9a-fA-F]+);?", "")
     # more digits than any character has
     code = F.when(digits != "", F.when(F.length(digits) > 7, F.lit(0x110000)).otherwise(digits.try_cast("int"))).otherwise(
         F.when(F.length(hexed) > 6, F.lit(0x110000)).otherwise(F.conv(hexed, 16, 10).try_cast("int"))
     )
-    name = F.regexp_extract(part, r"\A([^\t\n\f <&#;]{1,32};?)", 1)
-    found = [F.concat(F.element_at(named, name), F.substr(part, F.length(name) + 1))]
-    for n in range(6, 1, -1):  # the longest name without semicolon that it begins with
-        found.append(F.when(F.length(name) > n, F.concat(F.element_at(legacy, F.substr(part, F.lit(1), F.lit(n))), F.substr(part, F.lit(n + 1)))))
-    return F.when((digits != "") | (hexed != ""), F.concat(_character(code), after)).otherwise(F.coalesce(*found, F.concat(F.lit("&"), part)))
+    none = F.concat(F.lit("&"), part)
+
+    def by_name(name: Column) -> Column:
+        found = [F.concat(_looked_up(named, name), F.substr(part, F.length(name) + 1))]
+        for n in range(6, 1, -1):  # the longest name without semicolon that it begins with
+            found.append(F.when(F.length(name) > n, F.concat(_looked_up(legacy, F.substr(part, F.lit(1), F.lit(n))), F.substr(part, F.lit(n + 1)))))
+        return F.when(name == "", none).otherwise(F.coalesce(*found, none))
+
+    number = F.when((digits != "") | (hexed != ""), F.concat(_character(code), after)).otherwise(none)
+    return F.when(part.startswith("#"), number).otherwise(let(F.regexp_extract(part, r"\A([^\t\n\f <&#;]{1,32};?)", 1), by_name))
 
 
 def unescape(c: Column) -> Column:
@@ -156,14 +181,16 @@ def _swap(c: Column, table: Mapping[str, str]) -> Column:
 
 
 def _if_not_ascii(c: Column, otherwise: Column) -> Column:
-    return F.when(c.rlike(r"[^\x00-\x7f]"), otherwise).otherwise(c)
+    return F.when(F.octet_length(c) != F.length(c), otherwise).otherwise(c)
 
 
 def fold(c: Column) -> Column:
     """Cleaned text -> lower-case unaccented text made of [a-z0-9+/&-] and single spaces."""
     src, dst, expand = _fold_tables()
-    base = _if_not_ascii(c, F.translate(_swap(c, expand), src, dst))
-    return F.trim(F.regexp_replace(F.lower(base), "[^a-z0-9+/&-]+", " "))
+    # what translate leaves outside ASCII is rare, and looked up one character after another
+    base = _if_not_ascii(c, let(F.translate(c, src, dst), lambda t: _if_not_ascii(t, _swap(t, expand))))
+    # lower comes last: on ASCII alone it needs no locale rules
+    return F.trim(F.lower(F.regexp_replace(base, _BLANKED, " ")))
 
 
 @lru_cache(maxsize=1)
