@@ -2,9 +2,10 @@
 
 Offers are taken in order of preference; each joins the first earlier leader that it matches, else becomes a leader.
 Matching looks at addresses, normalised texts, signatures, place and date only, so offers that agree in all of
-these (a *profile*) share their fate, and work is done once per profile. Ratios are found once per pair of distinct
-texts, by a similarity join; places and dates then say which profiles of two similar texts match. None of this is
-written out as pairs of profiles: what matches as a whole shares a *hub* (see ``leaders``).
+these (a *profile*) share their fate, and work is done once per profile. All but the address is the profile's *core*:
+what matches by texts, place and date is told once per core, however many addresses it has. Ratios are found once per
+pair of distinct texts, by a similarity join; places and dates then say which cores of two similar texts match. None
+of this is written out as pairs: what matches as a whole shares a *hub* (see ``leaders``).
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from pyspark.sql import functions as F
 
 from offerweave.functions import text, vocab
 from offerweave.operators import similar
-from offerweave.operators.leaders import assigned
+from offerweave.operators.leaders import assigned_by_core
 from offerweave.operators.similar import Near, ratio  # noqa: F401
 from offerweave.operators.tables import Workspace, written
 
-PROFILE = ("url_canonical", "title_normalized", "company_normalized", "title_signature", "company_signature", "location_signature", "published_date")
+CORE = ("title_normalized", "company_normalized", "title_signature", "company_signature", "location_signature", "published_date")
+PROFILE = ("url_canonical", *CORE)
 
 
 def preference(df: DataFrame) -> Column:
@@ -57,20 +59,33 @@ def _class(name: str, last: str, meet: Column) -> Column:
     return F.when(filled, F.concat(F.lit(f"{name}:"), F.concat_ws("|", title, company, last)))
 
 
-def class_keys() -> Column:
-    """Keys whose equality alone makes duplicates: the address, or both signatures with date or place.
+def core_keys() -> Column:
+    """Keys whose equality alone makes duplicates, but for the address: both signatures with date or place.
 
     Offers are compared only within blocks, which ask for a signature: of the title for a place, of either for a date.
     """
     dated, placed = (F.col("title_signature") != "") | (F.col("company_signature") != ""), F.col("title_signature") != ""
-    return F.array_compact(F.array(_key("url", "url_canonical"), _class("date", "published_date", dated), _class("place", "location_signature", placed)))
+    return F.array_compact(F.array(_class("date", "published_date", dated), _class("place", "location_signature", placed)))
+
+
+def class_keys() -> Column:
+    """The address and the keys of the core."""
+    return F.concat(F.array_compact(F.array(_key("url", "url_canonical"))), core_keys())
 
 
 def first_matches(df: DataFrame) -> DataFrame:
-    """ord, first_ord: the most preferred offer before each that an equality rule links it with (null: none)."""
-    rows = df.select("ord", preference(df).alias("at"), F.explode(class_keys()).alias("key"))
-    firsts = rows.groupBy("key").agg(F.min("at").alias("first"))
-    met = rows.join(firsts, "key").groupBy("ord").agg(F.min(F.when(F.col("first") < F.col("at"), F.col("first"))).alias("first"))
+    """ord, first_ord: the most preferred offer before each that an equality rule links it with (null: none).
+
+    The first offer of a key is looked up once per core; of each offer only its address and core are dealt.
+    """
+    rows = df.select("ord", preference(df).alias("at"), _key("url", "url_canonical").alias("own"), F.struct(*CORE).alias("core"))
+    cores = rows.groupBy("core").agg(F.min("at").alias("first"))
+    keys = cores.select("core", "first", *[F.col(f"core.{c}").alias(c) for c in CORE]).select("core", "first", F.explode(core_keys()).alias("key"))
+    firsts = keys.groupBy("key").agg(F.min("first").alias("near"))
+    by_core = keys.select("core", "key").join(firsts, "key").groupBy("core").agg(F.min("near").alias("near"))
+    by_own = rows.where("own is not null").groupBy("own").agg(F.min("at").alias("near_own"))
+    near = F.least("near", "near_own")
+    met = rows.join(by_core, "core", "left").join(by_own, "own", "left").groupBy("ord").agg(F.min(F.when(near < F.col("at"), near)).alias("first"))
     return df.select("ord").join(met, "ord", "left").select("ord", F.col("first.ord").alias("first_ord"))
 
 
@@ -111,21 +126,21 @@ def similar_places(profiles: DataFrame, work: Workspace) -> DataFrame:
     return work.written(met.unionByName(places.select("place", F.col("place").alias("other"), F.lit(True).alias("near"))))
 
 
-def text_hubs(profiles: DataFrame, work: Workspace) -> DataFrame:
-    """Hubs (key, profile, at, gives, takes) of what matches by ratios: profiles of one text, or of two similar ones.
+def text_hubs(cores: DataFrame, work: Workspace) -> DataFrame:
+    """Hubs (key, core, gives, takes) of what matches by ratios: cores of one text, or of two similar ones.
 
-    In a hub the profiles of side a are leaders to those of side b. Offers of similar texts match when dates are equal,
+    In a hub the cores of side a are leaders to those of side b. Offers of similar texts match when dates are equal,
     or the block they share doesn't ask for that: a blank date, or a similar place, will do. Hubs are as many as
-    profiles have links of their text; rows of a hub are its profiles, never their pairs.
+    cores have links of their text; rows of a hub are its cores, never their pairs.
     """
-    texts, pairs = similar_texts(profiles, work)
+    texts, pairs = similar_texts(cores, work)
     strict = F.col("title_ratio") >= vocab.TITLE_RATIO_STRICT
     own = texts.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(True).alias("strict"), (F.col("title_signature") != "").alias("by_title"), (F.col("company_signature") != "").alias("by_company"))
     links = pairs.where(strict | F.col("one_company")).select("a", "b", strict.alias("strict"), "by_title", "by_company").unionByName(own.where("by_title or by_company"))
     links = work.written(links.withColumn("both", F.col("by_title") & F.col("by_company")))
-    named = profiles.select("profile", "at", "title_normalized", "company_normalized", F.col("published_date").alias("day"), F.col("location_signature").alias("place"))
-    named = named.join(texts.select("id", "title_normalized", "company_normalized"), ["title_normalized", "company_normalized"]).select("id", "profile", "at", "day", "place")
-    sides = [links.join(named, links[s] == named["id"]).select(F.concat_ws(">", "a", "b").alias("link"), F.lit(s).alias("side"), "strict", "by_title", "both", "profile", "at", "day", "place") for s in "ab"]
+    named = cores.select("core", "title_normalized", "company_normalized", F.col("published_date").alias("day"), F.col("location_signature").alias("place"))
+    named = named.join(texts.select("id", "title_normalized", "company_normalized"), ["title_normalized", "company_normalized"]).select("id", "core", "day", "place")
+    sides = [links.join(named, links[s] == named["id"]).select(F.concat_ws(">", "a", "b").alias("link"), F.lit(s).alias("side"), "strict", "by_title", "both", "core", "day", "place") for s in "ab"]
     rows = work.written(sides[0].unionByName(sides[1]))
     hub = lambda name, *parts: F.concat_ws("|", F.lit(name), *parts)
     on_a, blank = F.col("side") == "a", F.col("day") == ""
@@ -136,7 +151,7 @@ def text_hubs(profiles: DataFrame, work: Workspace) -> DataFrame:
         F.when(F.col("strict") & F.col("by_title") & (F.col("place") != ""), hub("place", "place")),
     )
     # where a rule compares places: a's place with the similar ones, b's place as one of those of a
-    near = similar_places(profiles, work)
+    near = similar_places(cores, work)
     ways = [near.select(F.lit(s).alias("side"), F.col(c).alias("place"), F.concat_ws("~", "place", "other").alias("met"), "near", (F.col("place") == F.col("other")).alias("equal")) for s, c in (("a", "place"), ("b", "other"))]
     placed = rows.where("both or not strict").join(ways[0].unionByName(ways[1]), ["side", "place"])
     by_place = (
@@ -144,9 +159,9 @@ def text_hubs(profiles: DataFrame, work: Workspace) -> DataFrame:
         F.when(~F.col("strict") & F.col("near") & ~blank, hub("day place", "day", "met")),
         *blanks(~F.col("strict") & F.col("near") & F.col("both"), "place blank", "met"),
     )
-    told = lambda df, hubs: df.select(F.explode(F.array_compact(F.array(*hubs))).alias("hub"), "link", "side", "profile", "at")
+    told = lambda df, hubs: df.select(F.explode(F.array_compact(F.array(*hubs))).alias("hub"), "link", "side", "core")
     hubs = told(rows, plain).unionByName(told(placed, by_place))
-    return hubs.select(F.concat_ws(" ", "link", "hub").alias("key"), "profile", "at", on_a.alias("gives"), (~on_a).alias("takes"))
+    return hubs.select(F.concat_ws(" ", "link", "hub").alias("key"), "core", on_a.alias("gives"), (~on_a).alias("takes"))
 
 
 def leaders(df: DataFrame) -> DataFrame:
@@ -156,9 +171,11 @@ def leaders(df: DataFrame) -> DataFrame:
     with Workspace(df.sparkSession) as work:
         # a profile's number is the ord of its first offer
         profiles = work.written(own.groupBy(*PROFILE).agg(F.min("at").alias("at")).withColumn("profile", F.col("at.ord")))
-        classes = profiles.select(F.explode(class_keys()).alias("key"), "profile", "at", F.lit(True).alias("gives"), F.lit(True).alias("takes"))
-        links = work.written(classes.unionByName(text_hubs(profiles, work)))
-        decided = assigned(links, work).unionByName(profiles.join(links.select("profile").distinct(), "profile", "left_anti").select("profile", F.col("profile").alias("leader")))
+        cores = work.written(profiles.select(*CORE).distinct().withColumn("core", F.monotonically_increasing_id()))
+        classes = cores.select(F.explode(core_keys()).alias("key"), "core", F.lit(True).alias("gives"), F.lit(True).alias("takes"))
+        links = work.written(classes.unionByName(text_hubs(cores, work)))
+        nodes = work.written(profiles.join(cores, list(CORE)).select("profile", "at", "core", _key("url", "url_canonical").alias("own")))
+        decided = assigned_by_core(nodes, links, work)
         matched = own.join(profiles.select(*PROFILE, "profile"), list(PROFILE)).select("ord", "profile", *PROFILE)
         # without an address, offers that share no block or lack title or company match nothing, not even their like
         textless = (F.col("title_normalized") == "") | (F.col("company_normalized") == "") | (F.size(block_keys()) == 0)

@@ -19,6 +19,8 @@ from offerweave.operators.tables import Workspace
 ONE_TASK = 200_000
 #: Rounds between searches for connected parts.
 ROUNDS = 4
+#: Rounds over cores, before what is still open is written out profile by profile.
+CORE_ROUNDS = 12
 _DECIDED = "profile long, leader long"
 
 
@@ -112,5 +114,52 @@ def assigned(links: DataFrame, work: Workspace, one_task: int = ONE_TASK, rounds
     return out
 
 
+def _matched(givers: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(core, near) and (own, near_own): the first of ``givers`` that a core's hubs, or an address, matches."""
+    hubs = links.where("gives").join(givers.groupBy("core").agg(F.min("at").alias("near")), "core").groupBy("key").agg(F.min("near").alias("near"))
+    cores = links.where("takes").join(hubs, "key").groupBy("core").agg(F.min("near").alias("near"))
+    return cores, givers.where("own is not null").groupBy("own").agg(F.min("at").alias("near_own"))
+
+
+def assigned_by_core(nodes: DataFrame, links: DataFrame, work: Workspace, one_task: int = ONE_TASK, rounds: int = CORE_ROUNDS) -> DataFrame:
+    """(profile, leader) of ``nodes`` (profile, at, core, own): matched through their core's ``links`` (key, core, gives,
+    takes), or by an equal ``own`` that isn't null.
+
+    A round names as leaders all open profiles that nothing open before them matches, and closes what these match:
+    that will join one of them or an earlier one, and never lead. Which one is found at the end, once all leaders
+    are known. Hubs are read per core, so their rows don't grow with the profiles of a core.
+    """
+    fan = links.groupBy("core").agg(F.count("*").alias("n"))
+    open_, found = nodes, []
+    for k in range(rounds + 1):
+        size = open_.join(fan, "core", "left").agg(F.sum(F.coalesce("n", F.lit(0)) + 1)).first()[0]
+        if not size:
+            break
+        if k == rounds or (k and size <= one_task):
+            rows = open_.join(links, "core").select("key", "profile", "at", "gives", "takes")
+            rows = work.written(rows.unionByName(open_.select(F.coalesce(F.concat(F.lit("own "), "own"), F.concat(F.lit("none "), F.col("profile").cast("string"))).alias("key"), "profile", "at", F.lit(True).alias("gives"), F.lit(True).alias("takes"))))
+            led = assigned(rows, work, one_task).where("leader = profile").select("profile")
+            found.append(work.written(open_.join(led, "profile", "left_semi").select(*nodes.columns)))
+            break
+        cores, owns = _matched(open_, links)
+        seen = open_.join(cores, "core", "left").join(owns, "own", "left")
+        before = F.coalesce(F.col("near") < F.col("at"), F.lit(False)) | F.coalesce(F.col("near_own") < F.col("at"), F.lit(False))
+        new = work.written(seen.where(~before).select(*nodes.columns))
+        found.append(new)
+        cores, owns = _matched(new, links)
+        rest = open_.join(new.select("profile"), "profile", "left_anti").join(cores, "core", "left").join(owns, "own", "left")
+        left = work.written(rest.where(~before).select(*nodes.columns))
+        if open_ is not nodes:
+            work.drop(open_)
+        open_ = left
+    leaders = found[0] if found else nodes
+    for more in found[1:]:
+        leaders = leaders.unionByName(more)
+    cores, owns = _matched(leaders, links)
+    met = nodes.join(cores, "core", "left").join(owns, "own", "left")
+    least = F.least(F.when(F.col("near") < F.col("at"), F.col("near")), F.when(F.col("near_own") < F.col("at"), F.col("near_own")))
+    return met.select("profile", F.coalesce(least[_last(nodes)], F.col("profile")).alias("leader"))
+
+
 def _last(df: DataFrame) -> str:
     return df.schema["at"].dataType.names[-1]

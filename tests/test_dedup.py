@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from offerweave.operators import dedup
-from offerweave.operators.leaders import assigned
+from offerweave.operators.leaders import assigned, assigned_by_core
 from offerweave.operators.tables import Workspace
 
 COLUMNS = "ord long, record_preference_score int, scope_score int, completeness_score int, " + ", ".join(f"{c} string" for c in dedup.PROFILE)
@@ -199,3 +199,25 @@ def test_final_dataset_merges_whole_groups(spark, sf_dir):
     kept = scope.kept(catalogue.offers(spark, sf_dir)).count()
     assert total["n"] == kept
     assert total["k"] == total["d"] < kept
+
+
+@pytest.mark.parametrize(("one_task", "rounds"), [(0, 1000), (30, 2), (10**6, 12)])
+def test_leaders_by_core_equal_one_after_another(spark, one_task, rounds):
+    """Cores of several profiles with addresses of their own: rounds, the rest profile by profile, and both."""
+    draw = random.Random(5)
+    links = [(f"h{draw.randrange(14)}", c, *draw.choice([(True, True), (True, False), (False, True)])) for c in range(12) for _ in range(2)]
+    nodes = [(p, (draw.randrange(9), p), draw.randrange(13), draw.choice([None, None, f"u{draw.randrange(12)}"])) for p in range(150)]
+    flat = [(key, p, at, gives, takes) for p, at, core, _ in nodes for key, c, gives, takes in links if c == core]
+    flat += [(own or f"none {p}", p, at, True, True) for p, at, _, own in nodes]
+    with Workspace(spark) as work:
+        of = spark.createDataFrame(nodes, "profile long, at struct<p:int,ord:long>, core long, own string")
+        got = assigned_by_core(of, spark.createDataFrame(links, "key string, core long, gives boolean, takes boolean"), work, one_task, rounds)
+        assert {r["profile"]: r["leader"] for r in got.collect()} == greedy(flat)
+
+
+def test_hubs_do_not_grow_with_addresses(spark):
+    """Offers of one core at many addresses: the rows that tell what texts match are those of one core."""
+    cores = spark.createDataFrame([row(k, url=f"u{k}", title="data eng", company="acme", date="d") for k in range(200)], COLUMNS)
+    with Workspace(spark) as work:
+        told = dedup.text_hubs(cores.select(*dedup.CORE).distinct().withColumn("core", F.lit(0).cast("long")), work)
+        assert "profile" not in told.columns and told.count() < 10
