@@ -393,8 +393,9 @@ def collect_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical offers with their scope score, computed once and written: what follows reads it several times."""
-    return written(normalize.normalized(scope.evaluated(offers(spark, sf_dir)), AS_OF))
+    """What duplicates are found by, computed once and written: what follows reads it several times. No text of an offer is among it."""
+    judged = normalize.normalized(scope.evaluated(offers(spark, sf_dir)), AS_OF)
+    return written(judged.select("ord", "record_preference_score", "scope_score", "completeness_score", "filter_status", *dedup.PROFILE))
 
 
 @query
