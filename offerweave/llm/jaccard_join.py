@@ -11,20 +11,24 @@
    a block is skipped when its sizes or its best position rule out the overlap that is needed. Long lists are cut into
    blocks of bounded size, and each two that may meet are a task. Parity bitmaps, whose differing bits never
    exceed the symmetric difference, take out most of the rest.
-5. Answers are derived: classes x and y with leaders p and q, to which their differences are known, differ by at least
+5. One link joins two components, so of each two only a few pairs are told at first. Components for which more were left
+   and that no link has joined are looked at again with sixteen times as many, until nothing is left out: no pair
+   across the components of the result goes untested, and no list, partner or candidate is capped for good.
+6. Answers are derived: classes x and y with leaders p and q, to which their differences are known, differ by at least
    |p^q| - |x^p| - |y^q| and by at most the sum. So |p^q| is computed once per pair of leaders, and only pairs between
-   the two bounds are verified on their own sets. No list, partner or candidate is capped.
+   the two bounds are verified on their own sets.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from offerweave.llm.components import components
@@ -42,6 +46,9 @@ SHORT_LIST = 1 << 9
 GROUP = 1 << 16  # entries of short lists in one task
 NO_ID = -(2**63)  # stands for null where texts are looked up
 SKIP = 64  # entries that are skipped or read together
+TOLD = 16  # pairs of two components that are verified in the first round
+WIDE = 256  # pairs that a component has at least before any of its pairs with another such one are put off
+MORE = 16  # times as many in each further round
 
 
 def needed(nx, ny):
@@ -260,41 +267,70 @@ def skip_join(n: np.ndarray, pos: np.ndarray, root: np.ndarray, side: np.ndarray
                 yield x + a, y + b
 
 
-def _skipping(table: pa.Table) -> pa.Table:
-    """Entries (token, c, n, pos, root, side, bits) of whole short lists, or of two blocks of a long one, to pairs."""
+_TOLD = "a long, b long, r long, s long, margin long, more boolean, wide_r boolean, wide_s boolean"
+
+
+def _skipping(table: pa.Table, told: int, wide: int) -> pa.Table:
+    """Entries (token, c, n, pos, root, side, bits) of whole short lists, or of two blocks of a long one, to pairs.
+
+    Of components r and s at most ``told`` pairs come out; ``more`` says that others were left out. Pairs of two
+    components that both have ``wide`` pairs here are left out as well, and ``wide_r`` and ``wide_s`` say of which.
+    """
     table = table.sort_by([("token", "ascending"), ("n", "ascending"), ("pos", "ascending")])
     token, c, n, pos, root, side = (table.column(k).to_numpy() for k in ("token", "c", "n", "pos", "root", "side"))
     bits = table.column("bits")
-    found: set[tuple[int, int]] = set()
+    found: dict[tuple[int, int], tuple[int, int, int]] = {}
     failed: set[tuple[int, int]] = set()
+    between: Counter[tuple[int, int]] = Counter()
+    of: Counter[int] = Counter()
+    more: set[tuple[int, int]] = set()
+    full: set[int] = set()
     edge = np.flatnonzero(np.concatenate([[True], np.diff(token) != 0, [True]]))
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
         for x, y in skip_join(n[a:b], pos[a:b], root[a:b], side[a:b]):
             for i, j in zip((x + a).tolist(), (y + a).tolist(), strict=True):
                 pair = (int(min(c[i], c[j])), int(max(c[i], c[j])))
-                if pair not in found and pair not in failed:
-                    near = differing(bits[i].as_py(), bits[j].as_py()) <= _reach(int(n[i]), int(n[j]))
-                    (found if near else failed).add(pair)
+                if pair in found or pair in failed:
+                    continue
+                r, s = ends = (int(min(root[i], root[j])), int(max(root[i], root[j])))
+                if between[ends] >= told:
+                    more.add(ends)
+                elif of[r] >= wide and of[s] >= wide:
+                    full.update(ends)
+                elif (margin := differing(bits[i].as_py(), bits[j].as_py()) - _reach(int(n[i]), int(n[j]))) <= 0:
+                    found[pair] = (r, s, margin)
+                    between[ends] += 1
+                    of.update(ends)
+                else:
+                    failed.add(pair)
                     if len(failed) > 1 << 20:
                         failed.clear()
-    return pa.table({"a": pa.array([p[0] for p in found], pa.int64()), "b": pa.array([p[1] for p in found], pa.int64())})
+    rows = [(*pair, r, s, margin, (r, s) in more, r in full, s in full) for pair, (r, s, margin) in found.items()]
+    names = [c.split()[0] for c in _TOLD.split(", ")]
+    kinds = [pa.int64()] * 5 + [pa.bool_()] * 3
+    return pa.table([pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)], names)
 
 
-def _mixed(lists: DataFrame, roots: DataFrame, scratch: Scratch) -> DataFrame:
-    """Entries, with root, of the lists that hold several components, and how many each list has."""
+def _mixed(lists: DataFrame, roots: DataFrame, scratch: Scratch, open_: DataFrame | None = None) -> DataFrame:
+    """Entries, with root, of the lists that hold several components (of those in ``open_``), and how many each list has."""
     labelled = scratch.stored(lists.join(roots.select(F.col("node").alias("c"), "root"), "c", "left").select("token", "band", "c", "n", "pos", F.coalesce("root", "c").alias("root")), "labelled")
+    if open_ is not None:
+        labelled = scratch.stored(labelled.join(open_, "root", "left_semi"), "open")
     several = labelled.groupBy("token").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members"))
     several = scratch.stored(several.where("r0 <> r1").select("token", "members"), "mixed")
     return scratch.stored(labelled.join(several, "token"), "members")
 
 
-def _across(members: DataFrame, slim: DataFrame, scratch: Scratch) -> DataFrame:
-    """All pairs across components in one list that sizes, positions and bitmaps leave."""
+def _across(members: DataFrame, slim: DataFrame, told: int, wide: int, scratch: Scratch) -> DataFrame:
+    """Pairs across components in one list that sizes, positions and bitmaps leave, with their rank among those of the same two components.
+
+    Where pairs were left out, ``more`` says so of the two components, and ``wide_r`` and ``wide_s`` of one.
+    """
     members = members.join(slim.select("c", "bits"), "c")
-    schema, columns = "a long, b long", ["token", "c", "n", "pos", "root", "side", "bits"]
+    columns = ["token", "c", "n", "pos", "root", "side", "bits"]
     short = members.where(F.col("members") <= SHORT_LIST).withColumn("side", F.lit(2))
     groups = max(1, -(-members.where(F.col("members") <= SHORT_LIST).count() // GROUP))
-    pairs = short.groupBy(F.pmod(F.xxhash64("token"), F.lit(groups)).alias("g")).applyInArrow(lambda t: _skipping(t.select(columns)), schema)
+    pairs = short.groupBy(F.pmod(F.xxhash64("token"), F.lit(groups)).alias("g")).applyInArrow(lambda t: _skipping(t.select(columns), told, wide), _TOLD)
     # a long list's blocks: size band, then components together, so that a block of one component is never compared with its like
     long = members.where(F.col("members") > SHORT_LIST).withColumn("sub", F.pmod(F.xxhash64("root"), F.ceil(F.col("members") / BLOCK)).cast("int"))
     sizes = scratch.stored(long.groupBy("token", "band", "sub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("chunks")), "sizes")
@@ -311,16 +347,24 @@ def _across(members: DataFrame, slim: DataFrame, scratch: Scratch) -> DataFrame:
     dealt = met.select("token", "block_i", "block_j", F.explode(F.when(same, F.array(F.struct(F.col("block_i").alias("block"), F.lit(2).alias("side")))).otherwise(F.array(F.struct(F.col("block_i").alias("block"), F.lit(0).alias("side")), F.struct(F.col("block_j").alias("block"), F.lit(1).alias("side"))))).alias("e"))
     dealt = dealt.select("token", "block_i", "block_j", F.col("e.block").alias("block"), F.col("e.side").alias("side"))
     rows = dealt.join(long, ["token", "block"])
-    more = rows.groupBy("token", "block_i", "block_j").applyInArrow(lambda t: _skipping(t.select(columns)), schema)
-    return scratch.stored(pairs, "short").unionByName(scratch.stored(more, "long")).distinct()
+    more = rows.groupBy("token", "block_i", "block_j").applyInArrow(lambda t: _skipping(t.select(columns), told, wide), _TOLD)
+    found = scratch.stored(pairs, "short").unionByName(scratch.stored(more, "long"))
+    once = found.groupBy("r", "s", "a", "b").agg(F.min("margin").alias("margin"), *[F.max(x).alias(x) for x in ("more", "wide_r", "wide_s")])
+    two = Window.partitionBy("r", "s")
+    rank = F.row_number().over(two.orderBy("margin", "a", "b"))
+    out = once.select("r", "s", "a", "b", "wide_r", "wide_s", rank.alias("rank"), (F.max("more").over(two) | (F.count("*").over(two) > told)).alias("more"))
+    return scratch.stored(out, "told")
 
 
-def derived_links(pairs: DataFrame, links: DataFrame, slim: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """The links (a, b, delta or null) among ``pairs``: by their leaders' difference where it decides, else by their own."""
+def leaders(links: DataFrame, slim: DataFrame) -> DataFrame:
+    """(c, n, lead, d): each class with its leader, itself if it has none, and their difference."""
     # the leader of a class: the one it was linked with that differs least
     nearest = links.groupBy("b").agg(F.min(F.struct("delta", "a")).alias("x")).select(F.col("b").alias("c"), F.col("x.a").alias("lead"), F.col("x.delta").alias("d"))
-    known = slim.select("c", "n").join(nearest, "c", "left").select("c", "n", F.coalesce("lead", "c").alias("lead"), F.coalesce("d", F.lit(0)).alias("d"))
-    known = scratch.stored(known, "leads")
+    return slim.select("c", "n").join(nearest, "c", "left").select("c", "n", F.coalesce("lead", "c").alias("lead"), F.coalesce("d", F.lit(0)).alias("d"))
+
+
+def derived_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The links (a, b, delta or null) among ``pairs``: by their leaders' difference where it decides, else by their own."""
     side = lambda s: known.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in ("n", "lead", "d")])
     met = pairs.join(side("a"), "a").join(side("b"), "b")
     met = scratch.stored(met.withColumns({"p": F.least("lead_a", "lead_b"), "q": F.greatest("lead_a", "lead_b")}), "led")
@@ -354,7 +398,28 @@ def _all_links(rows: DataFrame, classes: DataFrame, lists: DataFrame, scratch: S
     again = again.select(F.least("c", "p.c").alias("a"), F.greatest("c", "p.c").alias("b")).distinct()
     links = links.unionByName(scratch.stored(_linked(differences(likely(again, slim), texts)), "links2"))
     members = _mixed(lists, components(links, scratch), scratch)
-    return links.unionByName(derived_links(_across(members, slim, scratch), links, slim, texts, scratch)).select("a", "b")
+    known = scratch.stored(leaders(links, slim), "leads")
+    links, told, wide = links.select("a", "b"), TOLD, WIDE
+    while True:
+        met = _across(members, slim, told, wide, scratch)
+        first = met.where(F.col("rank") <= told)
+        new = scratch.stored(derived_links(first.select("a", "b"), known, texts, scratch).select("a", "b"), "links3")
+        links = links.unionByName(new)
+        left = _undecided(met, first.join(new, ["a", "b"]), scratch)
+        if not left.limit(1).count():
+            return links
+        # a component that is open stays open as what it has become
+        roots = components(links, scratch)
+        open_ = left.join(roots.select(F.col("node").alias("r"), "root"), "r", "left").select(F.coalesce("root", "r").alias("root")).distinct()
+        members = _mixed(members.drop("root", "members"), roots, scratch, open_)
+        told, wide = told * MORE, wide * MORE
+
+
+def _undecided(met: DataFrame, linked: DataFrame, scratch: Scratch) -> DataFrame:
+    """Components (r) some of whose pairs were left out, but for those left out between two that are linked now."""
+    pairs = met.where("more").select("r", "s").distinct().join(linked.select("r", "s").distinct(), ["r", "s"], "left_anti")
+    wide = met.where("wide_r").select("r").unionByName(met.where("wide_s").select(F.col("s").alias("r")))
+    return scratch.stored(pairs.select("r").unionByName(pairs.select(F.col("s").alias("r"))).unionByName(wide).distinct(), "undecided")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:

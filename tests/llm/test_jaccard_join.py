@@ -95,6 +95,53 @@ def test_two_families_that_share_half(spark, monkeypatch):
     assert got(jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+@pytest.mark.parametrize(("told", "wide"), [(1, 1)])
+def test_pairs_in_rounds_lose_no_link(spark, monkeypatch, told, wide):
+    """Components get so few pairs at first that several rounds are needed."""
+    for name, value in (("TOLD", told), ("WIDE", wide), ("MORE", 3), ("SHORT_LIST", 16), ("BLOCK", 16)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    draw = random.Random(5)
+    words = [f"w{k}" for k in range(10_000)]
+    one = draw.sample(words, 120)
+    texts = family(draw, one, 40, 0.02) + family(draw, one[:108] + draw.sample(words, 12), 30, 0.02) + family(draw, draw.sample(words, 60), 20, 0.03)
+    rows = list(enumerate(texts))
+    assert got(jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+
+
+def test_pairs_follow_the_size_of_a_family(spark, monkeypatch):
+    """Twice as many near copies are no four times as many pairs to look up and verify."""
+    draw = random.Random(6)
+    base = draw.sample([f"w{k}" for k in range(10_000)], 100)
+    texts, asked = family(draw, base, 360, 0.025), []
+    differences = jaccard_join.differences
+
+    def counted(pairs, texts):
+        asked[-1] += pairs.count()
+        return differences(pairs, texts)
+
+    monkeypatch.setattr(jaccard_join, "differences", counted)
+    for n in (180, 360):
+        asked.append(0)
+        rows = list(enumerate(texts[:n]))
+        assert got(jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert asked[1] < 3 * asked[0] and asked[1] < 12 * 360
+
+
+def test_pairs_that_are_left_out_are_told():
+    """Of two components a few pairs come out, and each that is left out leaves a mark."""
+    import pyarrow as pa
+
+    n, bits = 40, parity(np.arange(40, dtype=np.uint64))
+    table = pa.table({"token": [1] * n, "c": list(range(n)), "n": [40] * n, "pos": [0] * n, "root": [k % 4 for k in range(n)], "side": [2] * n, "bits": [bits] * n})
+    rows = jaccard_join._skipping(table, 3, 1000).to_pylist()
+    assert Counter((r["r"], r["s"]) for r in rows) == {(i, j): 3 for i in range(4) for j in range(i + 1, 4)}
+    assert all(r["more"] and not r["wide_r"] and not r["wide_s"] for r in rows)
+    rows = jaccard_join._skipping(table, 1000, 5).to_pylist()
+    assert not any(r["more"] for r in rows) and all(r["wide_r"] and r["wide_s"] for r in rows)
+    rows = jaccard_join._skipping(table, 1000, 1000).to_pylist()
+    assert len(rows) == 600 and not any(r["more"] or r["wide_r"] or r["wide_s"] for r in rows)
+
+
 def test_lists_across_batches():
     """The stream gives the same whatever the batches' borders."""
     import pyarrow as pa
