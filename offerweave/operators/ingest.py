@@ -20,18 +20,18 @@ def snapshot_rows(payloads: DataFrame, column: str = "payload") -> DataFrame:
     """
     spark = payloads.sparkSession
     others = "".join(f"`{c}`, " for c in payloads.columns if c != column)
-    read = payloads.withColumn("__v", F.try_parse_json(F.col(column))).drop(column)
     kind = "coalesce(schema_of_variant({0}), 'VOID')"
-    parted = spark.sql(
-        f"SELECT {others}coalesce({kind.format('__v')} LIKE 'OBJECT%', false) AS __good, s.key AS source, s.value AS __rows FROM {{read}} "
-        f", LATERAL variant_explode_outer(CASE WHEN {kind.format('__v')} LIKE 'OBJECT%' THEN __v END) s",
-        read=read,
-    )
+    # JSON that begins with a brace is an object; a schema is told by reading all of a value
+    brace = F.ltrim(F.col(column), F.lit(" \t\r\n")).startswith("{")
+    read = payloads.withColumns({"__v": F.try_parse_json(F.col(column)), "__brace": brace}).drop(column)
+    read = read.withColumn("__good", F.coalesce(F.col("__v").isNotNull() & F.col("__brace"), F.lit(False)))
+    parted = spark.sql(f"SELECT {others}__good, s.key AS source, s.value AS __rows FROM {{read}}, LATERAL variant_explode_outer(CASE WHEN __good THEN __v END) s", read=read)
+    # elements of a list have no key, fields of an object have one; only what gave neither is asked for its schema
     found = spark.sql(
-        f"SELECT {others}__good, source, {kind.format('__rows')} LIKE 'ARRAY%' AS __list, r.pos AS place, r.value AS row FROM {{parted}} "
-        f", LATERAL variant_explode_outer(CASE WHEN {kind.format('__rows')} LIKE 'ARRAY%' THEN __rows END) r",
+        f"SELECT {others}__good, source, r.key AS __key, r.pos AS __pos, CASE WHEN r.pos IS NULL THEN {kind.format('__rows')} LIKE 'ARRAY%' ELSE r.key IS NULL END AS __list, "
+        "CASE WHEN r.key IS NULL THEN r.pos END AS place, CASE WHEN r.key IS NULL THEN r.value END AS row FROM {parted}, LATERAL variant_explode_outer(__rows) r",
         parted=parted,
-    ).where("not __good or source is not null")
+    ).where("(not __good or source is not null) and (__key is null or __pos = 0)").drop("__key", "__pos")
     status = (
         F.when(~F.col("__good"), "bad_payload")
         .when(~F.col("__list"), "not_a_list")

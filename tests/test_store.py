@@ -72,6 +72,20 @@ def test_every_row_of_a_payload_has_a_status(spark, payload, want):
     assert {r["status"]: r["n"] for r in ingest.statuses(rows).collect()} == want
 
 
+def test_objects_in_place_of_lists(spark):
+    """Whatever it holds, a source without a list is told once; blanks may stand before a payload."""
+    payload = ' \n\t{"bpce": {"a": 1, "b": {"c": [2]}}, "adzuna": {}, "x": "text", "y": null, "z": []}'
+    rows = ingest.snapshot_rows(spark.createDataFrame([(1, payload)], "g int, payload string"))
+    got = {r["source"]: (r["status"], r["place"], r["row"]) for r in rows.collect()}
+    assert rows.count() == 5 and got == {n: ("empty_list" if n == "z" else "not_a_list", None, None) for n in ("bpce", "adzuna", "x", "y", "z")}
+
+
+def test_no_schema_of_a_whole_payload(spark):
+    """Telling the kind of a payload by its schema reads all rows of all its lists."""
+    rows = ingest.snapshot_rows(spark.createDataFrame([(1, "{}")], "g int, payload string"))
+    assert "schema_of_variant(__v" not in rows._jdf.queryExecution().analyzed().toString()
+
+
 def test_unlike_schemas_become_one(spark):
     payload = '{"bpce": [{"external_id": 7, "title": "A", "skills": ["x", "y"], "salary_is_predicted": true}], "adzuna": [{"title": "B", "company": "C", "skills": "one", "source": "adzuna", "published_at": "2024-06-02"}]}'
     rows = ingest.offers_of(ingest.snapshot_rows(spark.createDataFrame([(payload,)], "payload string")), F.lit(1))
