@@ -3,7 +3,7 @@
 1. Each text becomes the set of its distinct 5-word shingles; texts of equal sets are one class from here on.
 2. One order of all shingles, those of heavily loaded hash slots last. Two sets that reach the threshold share a
    shingle of their *prefixes*, the first n - ceil(t n) + 1 in that order, so only prefixes are inverted: a shingle's
-   index list holds (class, size, position in its prefix).
+   index list holds (class, size, position in its prefix), but for those that sizes and positions let meet no other.
 3. Every list is read once in a sorted stream. Per size band its first class is *computed* against all others of
    the band: exact symmetric differences, and links where the threshold is met. Linked classes are one component.
    Lists that still hold several components are done once more with another first class.
@@ -17,6 +17,8 @@
 6. Answers are derived: classes x and y with leaders p and q, to which their differences are known, differ by at least
    |p^q| - |x^p| - |y^q| and by at most the sum. So |p^q| is computed once per pair of leaders, and only pairs between
    the two bounds are verified on their own sets.
+7. Texts are not kept: each time pairs are verified, the input is read again, and a bitmap of the texts that are asked for
+   lets hardly any other into the exchange.
 """
 
 from __future__ import annotations
@@ -49,6 +51,9 @@ SKIP = 64  # entries that are skipped or read together
 TOLD = 16  # pairs of two components that are verified in the first round
 WIDE = 256  # pairs that a component has at least before any of its pairs with another such one are put off
 MORE = 16  # times as many in each further round
+MAP_BITS = 1 << 15  # of one row of a bitmap, as bitmap_construct_agg makes them
+SPARE_BITS = 16  # of a bitmap for each text that is asked for: about a sixteenth of the others pass
+MOST_BITS = 1 << 27  # of a whole bitmap, 16 MB; with more than 8 million texts asked for, more of the others pass
 
 
 def needed(nx, ny):
@@ -168,6 +173,51 @@ def _streamed(salts: list[int]):
     return run
 
 
+def partnered(token: np.ndarray, n: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Which entries, in order of token and size, may meet another of their list; lists over SHORT_LIST stay whole."""
+    new = np.concatenate([[True], np.diff(token) != 0])
+    size = np.bincount(np.cumsum(new) - 1)
+    end = np.repeat(np.cumsum(size), size)
+    keep = np.repeat(size > SHORT_LIST, size)
+    i, ahead = np.flatnonzero(~keep), 1
+    while len(i := i[i + ahead < end[i]]):
+        i = i[DEN * n[i] >= NUM * n[i + ahead]]  # sizes only grow further on
+        met = i[may_meet(n[i], left[i], n[i + ahead], left[i + ahead])]
+        keep[met] = keep[met + ahead] = True
+        ahead += 1
+    return keep
+
+
+def _meeting(salts: list[int]):
+    """Entries as _streamed gives them to those that may meet another of their list; salted lists stay whole."""
+    several = np.array(salts) > 1
+
+    def met(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        if table.num_rows:
+            token, n, pos = (table.column(k).to_numpy() for k in ("token", "n", "pos"))
+            yield from table.filter(pa.array(partnered(token, n, n - pos) | several[token >> LEVEL_BITS])).to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # of the list that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            token = batch.column(0).to_numpy()
+            if held and token[0] != held[0].column(0)[0].as_py():
+                yield from met(pa.Table.from_batches(held))
+                held = []
+            last = len(token) if several[token[-1] >> LEVEL_BITS] else int(np.searchsorted(token, token[-1]))
+            if last:
+                yield from met(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            if last < len(token):
+                held.append(batch.slice(last))
+        if held:
+            yield from met(pa.Table.from_batches(held))
+
+    return run
+
+
 #: Sets of sizes near enough to be linked are in one band or in neighbouring ones.
 BANDS = [math.ceil((DEN / NUM) ** k) for k in range(1, 100)]
 
@@ -177,7 +227,7 @@ def bands(n: np.ndarray) -> np.ndarray:
 
 
 def index_lists(classes: DataFrame, mean: float) -> DataFrame:
-    """(token, band, c, n, pos, lead) of every list with two classes or more."""
+    """(token, band, c, n, pos, lead) of every list with two classes or more, without classes that may meet no other there."""
     salts = [max(1, int(mean * 2**k / LIST)) if k else 1 for k in range(32)]
     entries = classes.select("c", "n", F.posexplode("prefix").alias("pos", "token"))
     # size and position in one number, and sorted by it: of each band the smallest class comes first
@@ -186,7 +236,8 @@ def index_lists(classes: DataFrame, mean: float) -> DataFrame:
     salt = F.col("c") % dealt
     n_parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     entries = entries.repartition(n_parts, F.col("token"), salt).sortWithinPartitions(F.col("token"), salt, F.shiftright("at", 32), F.col("c"))
-    return entries.mapInArrow(_streamed(salts), "token long, band int, c long, n long, pos long, lead long")
+    streamed, meeting = _streamed(salts), _meeting(salts)
+    return entries.mapInArrow(lambda batches: meeting(streamed(batches)), "token long, band int, c long, n long, pos long, lead long")
 
 
 # --- pairs -----------------------------------------------------------------------------------------------------------
@@ -209,6 +260,34 @@ def likely(pairs: DataFrame, slim: DataFrame) -> DataFrame:
     return met.mapInArrow(_likely, "a long, b long")
 
 
+def _text_key(doc_id: Column, text_hash: Column) -> list[Column]:
+    return [F.coalesce(doc_id, F.lit(NO_ID)).alias("id"), text_hash.alias("text_hash")]
+
+
+def asked_rows(rows: DataFrame, of: DataFrame) -> DataFrame:
+    """Rows (id, text_hash, text): those whose id and text_hash are in ``of``, and a few others, without an exchange of rows."""
+    bits = min(MOST_BITS, max(MAP_BITS, 1 << (SPARE_BITS * of.count()).bit_length()))
+    at = F.pmod(F.xxhash64("id", "text_hash"), F.lit(bits))
+    set_ = of.select(at.alias("at")).groupBy(F.floor(F.col("at") / MAP_BITS).alias("part")).agg(F.bitmap_construct_agg(F.pmod("at", F.lit(MAP_BITS))).alias("map"))
+    place = F.pmod("at", F.lit(MAP_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring("map", F.shiftright(place, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    told = (F.col("part") == F.floor(F.col("at") / MAP_BITS)) & (F.getbit(byte, place.bitwiseAND(7)) == 1)
+    return rows.withColumn("at", at).join(F.broadcast(set_), told, "left_semi").drop("at")
+
+
+def texts_of(asked: DataFrame, rows: DataFrame, slim: DataFrame, scratch: Scratch) -> DataFrame:
+    """(c, text) of the classes in ``asked`` (c, repeated or not)."""
+    of = slim.join(asked.distinct(), "c", "left_semi").select("c", *_text_key(F.col("of.doc_id"), F.col("of.text_hash")))
+    of = scratch.stored(of, "asked")
+    # rows that repeat id and text give the same text again; any one does, and no further exchange is needed
+    texts = asked_rows(rows.select(*_text_key(F.col("doc_id"), F.col("text_hash")), "text"), of).join(of, ["id", "text_hash"])
+    return scratch.stored(texts.groupBy("id", "text_hash").agg(F.first("c").alias("c"), F.first("text").alias("text")).select("c", "text"), "texts")
+
+
+def _ends(pairs: DataFrame, *names: str) -> DataFrame:
+    return pairs.select(F.explode(F.array(*names)).alias("c"))
+
+
 def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (a, b, text_a, text_b) to (a, b, n_a, n_b, delta): sizes, and the exact symmetric difference."""
     for batch in slices(slices(batches, "text_a"), "text_b"):
@@ -244,6 +323,13 @@ def _linked(found: DataFrame) -> DataFrame:
     return found.where(F.col("delta") <= _allowed()).select("a", "b", "delta")
 
 
+def verified(pairs: DataFrame, rows: DataFrame, slim: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The links among ``pairs``; what is needed only to find them goes at once."""
+    with Scratch(rows.sparkSession) as own:
+        pairs = own.stored(likely(pairs, slim), "likely")
+        return scratch.stored(_linked(differences(pairs, texts_of(_ends(pairs, "a", "b"), rows, slim, own))), name)
+
+
 # --- block skipping --------------------------------------------------------------------------------------------------
 def skip_join(n: np.ndarray, pos: np.ndarray, root: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of one list's entries, sorted by size, that size and position leave: across roots and, if told, sides."""
@@ -363,31 +449,28 @@ def leaders(links: DataFrame, slim: DataFrame) -> DataFrame:
     return slim.select("c", "n").join(nearest, "c", "left").select("c", "n", F.coalesce("lead", "c").alias("lead"), F.coalesce("d", F.lit(0)).alias("d"))
 
 
-def derived_links(pairs: DataFrame, known: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """The links (a, b, delta or null) among ``pairs``: by their leaders' difference where it decides, else by their own."""
+def derived_links(pairs: DataFrame, known: DataFrame, rows: DataFrame, slim: DataFrame, scratch: Scratch) -> DataFrame:
+    """The links (a, b) among ``pairs``: by their leaders' difference where it decides, else by their own."""
     side = lambda s: known.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in ("n", "lead", "d")])
     met = pairs.join(side("a"), "a").join(side("b"), "b")
-    met = scratch.stored(met.withColumns({"p": F.least("lead_a", "lead_b"), "q": F.greatest("lead_a", "lead_b")}), "led")
-    leads = scratch.stored(differences(met.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), texts), "answers")
-    both = met.join(leads.select(F.col("a").alias("p"), F.col("b").alias("q"), "delta"), ["p", "q"])
-    spread = F.col("d_a") + F.col("d_b")
-    verdict = F.when(F.col("delta") + spread <= _allowed(), "link").when(F.col("delta") - spread > _allowed(), "none").otherwise("open")
-    both = scratch.stored(both.select("a", "b", verdict.alias("verdict")).where("verdict <> 'none'"), "verdicts")
-    own = _linked(differences(both.where("verdict = 'open'"), texts))
-    return both.where("verdict = 'link'").select("a", "b", F.lit(None).cast("long").alias("delta")).unionByName(scratch.stored(own, "verified"))
+    with Scratch(rows.sparkSession) as own:
+        met = own.stored(met.withColumns({"p": F.least("lead_a", "lead_b"), "q": F.greatest("lead_a", "lead_b")}), "led")
+        texts = texts_of(_ends(met, "a", "b", "p", "q"), rows, slim, own)
+        leads = own.stored(differences(met.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), texts), "answers")
+        both = met.join(leads.select(F.col("a").alias("p"), F.col("b").alias("q"), "delta"), ["p", "q"])
+        spread = F.col("d_a") + F.col("d_b")
+        verdict = F.when(F.col("delta") + spread <= _allowed(), "link").when(F.col("delta") - spread > _allowed(), "none").otherwise("open")
+        both = own.stored(both.select("a", "b", verdict.alias("verdict")).where("verdict <> 'none'"), "verdicts")
+        own_links = own.stored(_linked(differences(both.where("verdict = 'open'"), texts)), "verified")
+        return scratch.stored(both.where("verdict = 'link'").select("a", "b").unionByName(own_links.select("a", "b")), "links3")
 
 
 # --- the join --------------------------------------------------------------------------------------------------------
 def _all_links(rows: DataFrame, classes: DataFrame, lists: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (a, b) between classes; every two linked classes are linked here or joined by a chain of links."""
     slim = scratch.stored(classes.select("c", "n", "bits", "of").join(lists.select("c").distinct(), "c"), "slim")
-    number = lambda c: F.coalesce(c, F.lit(NO_ID)).alias("id")
-    of = slim.select("c", number(F.col("of.doc_id")), F.col("of.text_hash").alias("text_hash"))
-    # rows that repeat id and text give the same text again; any one does, and no further exchange is needed
-    texts = rows.select(number(F.col("doc_id")), "text_hash", "text").join(of, ["id", "text_hash"])
-    texts = scratch.stored(texts.groupBy("id", "text_hash").agg(F.first("c").alias("c"), F.first("text").alias("text")).select("c", "text"), "texts")
     pairs = lists.where("lead is not null").select(F.least("lead", "c").alias("a"), F.greatest("lead", "c").alias("b")).distinct()
-    links = scratch.stored(_linked(differences(likely(pairs, slim), texts)), "links1")
+    links = verified(pairs, rows, slim, scratch, "links1")
     members = _mixed(lists, components(links, scratch), scratch)
     # once more with another class of each list and band, for those that the first one missed
     first = members.groupBy("token", "band").agg(F.min_by(F.struct("c", "n", "pos", "root"), F.xxhash64("c", "token")).alias("p"))
@@ -396,14 +479,14 @@ def _all_links(rows: DataFrame, classes: DataFrame, lists: DataFrame, scratch: S
     left = F.least(F.col("n") - F.col("pos"), F.col("p.n") - F.col("p.pos"))
     again = again.where((DEN * small >= NUM * big) & (left >= F.ceil(NUM * (big + small) / F.lit(NUM + DEN))))
     again = again.select(F.least("c", "p.c").alias("a"), F.greatest("c", "p.c").alias("b")).distinct()
-    links = links.unionByName(scratch.stored(_linked(differences(likely(again, slim), texts)), "links2"))
+    links = links.unionByName(verified(again, rows, slim, scratch, "links2"))
     members = _mixed(lists, components(links, scratch), scratch)
     known = scratch.stored(leaders(links, slim), "leads")
     links, told, wide = links.select("a", "b"), TOLD, WIDE
     while True:
         met = _across(members, slim, told, wide, scratch)
         first = met.where(F.col("rank") <= told)
-        new = scratch.stored(derived_links(first.select("a", "b"), known, texts, scratch).select("a", "b"), "links3")
+        new = derived_links(first.select("a", "b"), known, rows, slim, scratch)
         links = links.unionByName(new)
         left = _undecided(met, first.join(new, ["a", "b"]), scratch)
         if not left.limit(1).count():

@@ -167,6 +167,59 @@ def test_lists_across_batches():
     assert Counter(r[0] & 15 for r in run(5)) == Counter({t: k for t, k in several.items() if k > 1})
 
 
+def test_entries_without_partner_go():
+    """Of lists that aren't salted only entries that may meet another are left, whatever the batches' borders."""
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    rows = sorted((draw.randrange(40), draw.randrange(20, 90), c, draw.randrange(12)) for c in range(160))
+    rows += sorted((41 | 1 << jaccard_join.LEVEL_BITS, 10 * 2**k, 200 + k, 0) for k in range(5))  # salted
+    table = pa.table({name: pa.array([r[k] for r in rows], pa.int64()) for name, k in (("token", 0), ("n", 1), ("c", 2), ("pos", 3))})
+    want = [r for r in rows if r[0] > 40 or any(r[0] == q[0] and r[2] != q[2] and may_meet(r[1], r[1] - r[3], q[1], q[1] - q[3]) for q in rows)]
+    assert 5 < len(want) < len(rows) - 5
+    for size in (1, 2, 7, 1000):
+        for part in (table, table.slice(0, 160)):
+            kept = [tuple(r.values()) for b in jaccard_join._meeting([1, 2] + [1] * 30)(iter(part.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+            assert kept == [r for r in want if r in rows[: part.num_rows]]
+    one = table.slice(160).set_column(0, "token", pa.array([7] * 5, pa.int64()))  # a single list, none of which may meet
+    assert list(jaccard_join._meeting([1] * 32)(iter(one.to_batches(max_chunksize=2)))) == []
+
+
+def test_lists_hold_what_may_meet(spark):
+    """A passage that texts of all sizes share brings no entry of them into the lists."""
+    rows = [(0, k, 30 * 2**k, [5] + [100 + 10 * k + j for j in range(2)]) for k in range(6)] + [(1, k, 50, [9, 200 + k, 300]) for k in range(10, 13)]
+    classes = spark.createDataFrame([r[1:] for r in rows], "c long, n long, prefix array<long>")
+    assert {r["c"] for r in jaccard_join.index_lists(classes, 1000.0).collect()} == {10, 11, 12}
+
+
+def test_only_texts_of_pairs_are_exchanged(spark, monkeypatch):
+    """Texts of which each two share a passage, and that bitmaps tell apart, are not looked up; the answer is that of brute force."""
+    draw = random.Random(7)
+    words = [f"w{k}" for k in range(10_000)]
+    passages = [" ".join(draw.sample(words, 15)) for _ in range(200)]
+    texts = [" ".join(draw.sample(words, draw.randrange(60, 70))) + " " + p for p in passages for _ in range(2)] + family(draw, draw.sample(words, 80), 6, 0.01)
+    rows, asked = list(enumerate(texts)), []
+    differences = jaccard_join.differences
+
+    def counted(pairs, texts):
+        asked.append(texts.count())
+        return differences(pairs, texts)
+
+    monkeypatch.setattr(jaccard_join, "differences", counted)
+    assert got(jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert asked and max(asked) < 60
+
+
+def test_asked_rows(spark):
+    """All rows that are asked for, also with null ids, and few others."""
+    rows = spark.range(4000).selectExpr("if(id < 3, null, id) AS doc_id", "id * 7 AS text_hash", "string(id) AS text")
+    rows = rows.select(*jaccard_join._text_key(rows["doc_id"], rows["text_hash"]), "text")
+    of = rows.where("text_hash < 700 or text_hash = 21000").select("id", "text_hash")
+    kept = {int(r["text"]) for r in jaccard_join.asked_rows(rows, of).collect()}
+    assert {*range(100), 3000} <= kept and len(kept) < 101 + 4000 / 8
+    assert jaccard_join.asked_rows(rows, of.limit(0)).count() == 0
+
+
 def test_bands_hold_what_may_meet():
     n = np.arange(1, 3000)
     band = jaccard_join.bands(n)
