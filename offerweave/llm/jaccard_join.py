@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from offerweave.llm.components import components
@@ -41,6 +41,7 @@ from offerweave.llm.words import slices
 NUM, DEN = 80, 100
 SLOTS = 1 << 17  # whatever the input: a count of each slot goes out of every task
 HOT = 2  # times the mean load
+TASK = 1 << 18  # shingles of the input for each task that writes a table, where Spark would deal it to more
 LEVEL_BITS = 58  # a token is the level of its slot above so many bits of its hash
 LIST = 1 << 14  # entries of a list, or of a salted part of a hot one, that are read in one stream
 BLOCK = 1 << 10  # entries of a long list's block
@@ -97,7 +98,7 @@ def slot_levels(rows: DataFrame) -> tuple[np.ndarray, float]:
     """How many times over the mean load each slot is, as a power of two (0: not hot), and the mean."""
     loads = rows.select("text").mapInArrow(_loads, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     level = np.zeros(SLOTS, np.uint8)
-    with Scratch(rows.sparkSession) as scratch:
+    with Scratch(rows.sparkSession, _parallel(rows.sparkSession)) as scratch:  # never more than SLOTS rows
         loads = scratch.stored(loads, "loads")
         mean = max(1.0, (loads.agg(F.sum("n")).first()[0] or 0) / SLOTS)
         for r in loads.where(F.col("n") > HOT * mean).collect():  # fewer than half of the slots
@@ -105,6 +106,15 @@ def slot_levels(rows: DataFrame) -> tuple[np.ndarray, float]:
     return level, mean
 
 
+def _parallel(spark: SparkSession) -> int:
+    return 2 * spark.sparkContext.defaultParallelism
+
+
+def tasks_for(spark: SparkSession, shingles: float) -> int:
+    """Tasks that write a table made from so many shingles: the rest of them would have next to nothing to do."""
+    return max(_parallel(spark), math.ceil(shingles / TASK))
+
+
 def tokens(s: np.ndarray, level: np.ndarray) -> np.ndarray:
     """A set's prefix, in order, as numbers that sort in that order."""
     slot = (s % np.uint64(len(level))).astype(np.int64)
@@ -325,7 +335,7 @@ def _linked(found: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, rows: DataFrame, slim: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """The links among ``pairs``; what is needed only to find them goes at once."""
-    with Scratch(rows.sparkSession) as own:
+    with Scratch(rows.sparkSession, scratch.tasks) as own:
         pairs = own.stored(likely(pairs, slim), "likely")
         return scratch.stored(_linked(differences(pairs, texts_of(_ends(pairs, "a", "b"), rows, slim, own))), name)
 
@@ -453,7 +463,7 @@ def derived_links(pairs: DataFrame, known: DataFrame, rows: DataFrame, slim: Dat
     """The links (a, b) among ``pairs``: by their leaders' difference where it decides, else by their own."""
     side = lambda s: known.select(F.col("c").alias(s), *[F.col(x).alias(f"{x}_{s}") for x in ("n", "lead", "d")])
     met = pairs.join(side("a"), "a").join(side("b"), "b")
-    with Scratch(rows.sparkSession) as own:
+    with Scratch(rows.sparkSession, scratch.tasks) as own:
         met = own.stored(met.withColumns({"p": F.least("lead_a", "lead_b"), "q": F.greatest("lead_a", "lead_b")}), "led")
         texts = texts_of(_ends(met, "a", "b", "p", "q"), rows, slim, own)
         leads = own.stored(differences(met.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), texts), "answers")
@@ -466,12 +476,13 @@ def derived_links(pairs: DataFrame, known: DataFrame, rows: DataFrame, slim: Dat
 
 
 # --- the join --------------------------------------------------------------------------------------------------------
-def _all_links(rows: DataFrame, classes: DataFrame, lists: DataFrame, scratch: Scratch) -> DataFrame:
-    """Links (a, b) between classes; every two linked classes are linked here or joined by a chain of links."""
+def _all_roots(rows: DataFrame, classes: DataFrame, lists: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) of every class that is linked with another; links that are found later only join what is known by then."""
     slim = scratch.stored(classes.select("c", "n", "bits", "of").join(lists.select("c").distinct(), "c"), "slim")
     pairs = lists.where("lead is not null").select(F.least("lead", "c").alias("a"), F.greatest("lead", "c").alias("b")).distinct()
     links = verified(pairs, rows, slim, scratch, "links1")
-    members = _mixed(lists, components(links, scratch), scratch)
+    roots = components(links, scratch)
+    members = _mixed(lists, roots, scratch)
     # once more with another class of each list and band, for those that the first one missed
     first = members.groupBy("token", "band").agg(F.min_by(F.struct("c", "n", "pos", "root"), F.xxhash64("c", "token")).alias("p"))
     again = members.join(scratch.stored(first, "firsts"), ["token", "band"]).where("root <> p.root")
@@ -479,20 +490,20 @@ def _all_links(rows: DataFrame, classes: DataFrame, lists: DataFrame, scratch: S
     left = F.least(F.col("n") - F.col("pos"), F.col("p.n") - F.col("p.pos"))
     again = again.where((DEN * small >= NUM * big) & (left >= F.ceil(NUM * (big + small) / F.lit(NUM + DEN))))
     again = again.select(F.least("c", "p.c").alias("a"), F.greatest("c", "p.c").alias("b")).distinct()
-    links = links.unionByName(verified(again, rows, slim, scratch, "links2"))
-    members = _mixed(lists, components(links, scratch), scratch)
-    known = scratch.stored(leaders(links, slim), "leads")
-    links, told, wide = links.select("a", "b"), TOLD, WIDE
+    more = verified(again, rows, slim, scratch, "links2")
+    roots = components(more, scratch, roots)
+    members = _mixed(lists, roots, scratch)
+    known = scratch.stored(leaders(links.unionByName(more), slim), "leads")
+    told, wide = TOLD, WIDE
     while True:
         met = _across(members, slim, told, wide, scratch)
         first = met.where(F.col("rank") <= told)
         new = derived_links(first.select("a", "b"), known, rows, slim, scratch)
-        links = links.unionByName(new)
+        roots = components(new, scratch, roots)
         left = _undecided(met, first.join(new, ["a", "b"]), scratch)
         if not left.limit(1).count():
-            return links
+            return roots
         # a component that is open stays open as what it has become
-        roots = components(links, scratch)
         open_ = left.join(roots.select(F.col("node").alias("r"), "root"), "r", "left").select(F.coalesce("root", "r").alias("root")).distinct()
         members = _mixed(members.drop("root", "members"), roots, scratch, open_)
         told, wide = told * MORE, wide * MORE
@@ -515,8 +526,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"), F.col("text").cast("string").alias("text"))
     level, mean = slot_levels(rows)
-    with Scratch(docs.sparkSession) as scratch:
-        with Scratch(docs.sparkSession) as early:  # tables with prefixes go as soon as the lists are made
+    tasks = tasks_for(docs.sparkSession, mean * SLOTS)
+    with Scratch(docs.sparkSession, tasks) as scratch:
+        with Scratch(docs.sparkSession, tasks) as early:  # tables with prefixes go as soon as the lists are made
             sets = early.stored(rows.mapInArrow(_sets(level), _SETS), "sets")
             made = scratch.stored(sets.select("doc_id", "n_shingles", "node"), "rows")
             classes = sets.where("node is not null").groupBy("node").agg(
@@ -525,9 +537,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             classes = early.stored(classes.withColumn("c", F.monotonically_increasing_id()), "prefixes")
             lists = scratch.stored(index_lists(classes, mean), "lists")
             classes = scratch.stored(classes.drop("prefix"), "classes")
-        roots = components(_all_links(rows, classes, lists, scratch), scratch)
+        roots = _all_roots(rows, classes, lists, scratch)
         named = classes.select("c", "node", "least_id").join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         ids = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
         label = scratch.stored(named.join(ids, "root").select("node", "component_id"), "labels")
         own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-        return stored(made.select("doc_id", "n_shingles", "node").join(label, "node", "left").select("doc_id", "n_shingles", own), "jaccard")
+        out = made.select("doc_id", "n_shingles", "node").join(label, "node", "left").select("doc_id", "n_shingles", own)
+        return stored(out.coalesce(tasks), "jaccard")

@@ -28,15 +28,18 @@ def apart(docs: DataFrame, name: str) -> str:
 
 
 class Scratch:
-    """Stored tables that an operator needs only until its own last table is written; then they are deleted."""
+    """Stored tables that an operator needs only until its own last table is written; then they are deleted.
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark, self.paths = spark, []
+    ``tasks``: where a table's last stage has more partitions than that, neighbouring ones share a task and a file.
+    """
+
+    def __init__(self, spark: SparkSession, tasks: int | None = None) -> None:
+        self.spark, self.tasks, self.paths = spark, tasks, []
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         path = new_path(self.spark, name)
         self.paths.append(path)
-        return stored(df, name, path)
+        return stored(df.coalesce(self.tasks) if self.tasks else df, name, path)
 
     def __enter__(self) -> Scratch:
         return self

@@ -11,8 +11,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from offerweave.llm import jaccard_join, queries
+from offerweave.llm import jaccard_join, queries, shared
+from offerweave.llm.components import components
 from offerweave.llm.jaccard_join import differing, may_meet, needed, parity, prefix_length
+from offerweave.llm.shared import Scratch
 from tests.llm.test_llm import SCHEMA, awkward, found
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -210,6 +212,54 @@ def test_only_texts_of_pairs_are_exchanged(spark, monkeypatch):
     assert asked and max(asked) < 60
 
 
+def test_components_of_further_edges(spark):
+    """Edges in turns give the components of all at once; edges within what is known need no round."""
+    draw = random.Random(1)
+    ends = [*range(60), None]
+    turns = [[(draw.choice(ends), draw.choice(ends)) for _ in range(n)] for n in (25, 20)] + [[(70, 71), (72, 71)], []]
+    least = {}
+    table = lambda edges: spark.createDataFrame(edges, "a long, b long")
+    with Scratch(spark) as scratch:
+        known = None
+        for edges in turns:
+            known = components(table(edges), scratch, known)
+            for a, b in edges:
+                if a is not None and b is not None and a != b:
+                    x, y = sorted((least.setdefault(a, a), least.setdefault(b, b)))
+                    least = {node: x if root == y else root for node, root in least.items()}
+            assert sorted(map(tuple, known.collect())) == sorted(least.items())
+        tables = len(scratch.paths)
+        inside = known.where("node <> root").select(known["node"].alias("a"), known["root"].alias("b"))
+        assert components(inside, scratch, known).count() == known.count() and len(scratch.paths) == tables + 1
+
+
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """Many shuffle partitions don't make as many files of every small table; the answer is that of brute force."""
+    draw, files, stored = random.Random(9), {}, shared.stored
+    words = [f"w{k}" for k in range(10_000)]
+    texts = [t for _ in range(8) for t in family(draw, draw.sample(words, 60), 12, 0.02)]
+
+    def counted(df, name, path=None):
+        out = stored(df, name, path)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(shared, "stored", counted)
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    changed = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        rows = list(enumerate(texts))
+        mine = got(jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert mine == brute(rows)
+    assert files["labels"] > 1 and max(files.values()) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_asked_rows(spark):
     """All rows that are asked for, also with null ids, and few others."""
     rows = spark.range(4000).selectExpr("if(id < 3, null, id) AS doc_id", "id * 7 AS text_hash", "string(id) AS text")
