@@ -52,3 +52,10 @@ def test_written_tables_leave_no_shuffle_files(spark):
     out = tables.written(spark.range(1000).repartition(3, "id"))
     assert _shuffle_files(spark) <= before and out.count() == 1000
     assert spark.conf.get(tables._CLEANUP) == setting
+
+
+def test_the_bridge_is_read_once(spark, sf_dir, monkeypatch):
+    """The portal's rows are made of the landed offers, so the bridge's joins aren't run a second time."""
+    made, calls = catalogue.bridge.offers, []
+    monkeypatch.setattr(catalogue.bridge, "offers", lambda *of: calls.append(of) or made(*of))
+    assert catalogue.adzuna_store_loop(spark, sf_dir).count() and len(calls) == 1
