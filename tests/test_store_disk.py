@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from offerweave.operators import store, tables
@@ -42,6 +43,17 @@ def test_keys_that_repeat_or_are_null(spark):
     ]
 
 
+def test_a_bucket_that_cannot_be_replaced_stays(spark, tmp_path):
+    table = store.OffersTable(spark, str(tmp_path / "offers"), buckets=1)
+    rows = spark.createDataFrame([("s", "a", "old")], KEYED).withColumns({"imported_at": F.lit(JUNE), "updated_at": F.lit(JUNE)})
+    table.create(rows)
+    with pytest.raises(Exception):  # noqa: B017  there is no new folder
+        table._put_in_place(str(tmp_path / "offers/_upsert-x"), [0])
+    assert [r["title"] for r in table.read().collect()] == ["old"]
+    assert table.upsert(rows.select(F.lit(1).alias("ord"), "source", "external_id", F.lit("new").alias("title")), AS_OF) == 1
+    assert [r["title"] for r in table.read().collect()] == ["new"]
+
+
 def _shuffle_files(spark) -> int:
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return sum(files.apply(k).getName().startswith("shuffle_") for k in range(files.length()))
